@@ -214,5 +214,206 @@ def reports() -> dict[str, str]:
     }
 
 
+STRING_COLUMNS = (
+    "gender", "partner", "dependents", "phone_service", "multiple_lines", "internet_service",
+    "online_security", "online_backup", "device_protection", "tech_support", "streaming_tv",
+    "streaming_movies", "contract_type", "paperless_billing", "payment_method",
+)
+NUMBER_COLUMNS = ("senior_citizen", "tenure_months", "monthly_charges", "total_charges")
+DERIVED_COLUMNS = (
+    "tenure_years", "is_new_customer", "is_loyal_customer", "total_revenue", "avg_monthly_spend",
+    "is_month_to_month",
+)
+
+
+def _mode(column: str) -> str:
+    return (
+        f"(select {column} from deduped where {column} is not null "
+        f"group by 1 order by count(*) desc, 1 limit 1)"
+    )
+
+
+CLEANED = (
+    """, deduped as (
+  select * exclude (place) from (
+    select *, row_number() over (partition by customer_id order by tenure_months) as place
+    from churn_dataset) where place = 1
+), cleaned as (
+  select * replace (
+    """
+    + ",\n    ".join(
+        [f"coalesce({c}, {_mode(c)}) as {c}" for c in STRING_COLUMNS]
+        + [
+            f"coalesce({c}, (select median({c}) from deduped)) as {c}"
+            for c in ("monthly_charges", "total_charges")
+        ]
+    )
+    + """) from deduped
+), engineered as (
+  select *, tenure_months / 12 as tenure_years, (tenure_months <= 6)::int as is_new_customer,
+         (tenure_months >= 24)::int as is_loyal_customer,
+         monthly_charges * tenure_months as total_revenue,
+         monthly_charges * tenure_months / (tenure_months + 1) as avg_monthly_spend,
+         (contract_type = 'Month-to-month')::int as is_month_to_month
+  from cleaned
+)"""
+)
+
+ENCODED = (
+    CLEANED
+    + """, codes as (
+  select "column", "value", cast(row_number() over (partition by "column" order by "value") - 1
+                                 as integer) as code
+  from ("""
+    + " union ".join(f"select '{c}' as \"column\", {c} as \"value\" from engineered" for c in STRING_COLUMNS)
+    + """)
+), encoded as (
+  select * replace ("""
+    + ", ".join(
+        f"(select code from codes where \"column\" = '{c}' and \"value\" = {c}) as {c}"
+        for c in STRING_COLUMNS
+    )
+    + """) from engineered
+)"""
+)
+
+SPREAD = "(customer_id % 1000003 * 7919 + 42) % 1000003"
+SPLIT = (
+    CLEANED
+    + f""", placed as (
+  select *, row_number() over (partition by churn order by {SPREAD}, customer_id) as place,
+         count(*) over (partition by churn) as n
+  from deduped
+), split as (
+  select customer_id, churn, if(place <= round(n * 0.2), 'test', 'train') as split from placed
+)"""
+)
+
+
+def cleaning() -> dict[str, str]:
+    rounded = ", ".join(f"round({c}, 6) as {c}" for c in ("monthly_charges", "total_charges"))
+    counted = STRING_COLUMNS + NUMBER_COLUMNS + ("customer_id", "churn")
+    texts = ", ".join(f"'{c}'" for c in STRING_COLUMNS)
+    return {
+        "dedupe": _with("select * from deduped", CLEANED),
+        "duplicate_report": _with(
+            """select count(*) as n_records, count(distinct customer_id) as n_distinct,
+                      count(*) - count(distinct customer_id) as n_removed from churn_dataset"""
+        ),
+        "table_shape": _with(
+            """select count(*) as n_records, 21 as n_columns from churn_dataset"""
+        ),
+        "null_counts": _with(
+            "select * from ("
+            + " union all ".join(
+                f"select '{c}' as \"column\", count(*) - count({c}) as n_missing from churn_dataset"
+                for c in counted
+            )
+            + ") where n_missing > 0"
+        ),
+        "medians": _with(
+            " union all ".join(
+                f"select '{c}' as \"column\", round(median({c}), 6) as median from churn_dataset"
+                for c in NUMBER_COLUMNS
+            )
+        ),
+        "modes": _with(
+            f"select unnest([{texts}]) as \"column\", unnest([{', '.join(_mode(c) for c in STRING_COLUMNS)}])"
+            " as mode",
+            CLEANED,
+        ),
+        "clean": _with(f"select * replace ({rounded}) from cleaned", CLEANED),
+        "class_distribution": _with("select churn, count(*) as n from churn_dataset group by 1"),
+        "imbalance_ratio": _with(
+            """select round(min(n) / max(n), 6) as imbalance_ratio
+               from (select count(*)::double as n from churn_dataset group by churn)"""
+        ),
+        "tenure_by_churn": _with(
+            """select churn, round(median(tenure_months), 6) as median_tenure_months
+               from churn_dataset group by 1"""
+        ),
+        "class_weights": _with(
+            """select churn, count(*) as n,
+                      round((select count(*) from churn_dataset)::double
+                            / ((select count(distinct churn) from churn_dataset) * count(*)), 6)
+                        as weight
+               from churn_dataset group by 1"""
+        ),
+    }
+
+
+def features() -> dict[str, str]:
+    names = STRING_COLUMNS + NUMBER_COLUMNS + DERIVED_COLUMNS
+    return {
+        "engineer": _with(
+            "select * from engineered",
+            CLEANED,
+        ),
+        "label_codes": _with("select * from codes", ENCODED),
+        "feature_moments": _with(
+            " union all ".join(
+                f"select '{c}' as feature, round(avg({c}), 6) as mean, round(stddev_pop({c}), 6) as sd "
+                "from encoded"
+                for c in names
+            ),
+            ENCODED,
+        ),
+        "prepare": _with(
+            "select customer_id, churn, "
+            + ", ".join(
+                f"round(({c} - avg({c}) over ()) / "
+                f"if(stddev_pop({c}) over () = 0, 1, stddev_pop({c}) over ()), 6) as {c}"
+                for c in names
+            )
+            + " from encoded",
+            ENCODED,
+        ),
+        "stratified_split": _with("select * from split", SPLIT),
+        "split_profile": _with(
+            """select split, count(*) as n_records, cast(sum(churn) as bigint) as n_positive,
+                      round(avg(churn), 6) as positive_rate from split group by 1""",
+            SPLIT,
+        ),
+        "stratified_folds": _with(
+            """select customer_id, churn,
+                      cast((place > n // 5)::int + (place > n * 2 // 5)::int
+                           + (place > n * 3 // 5)::int + (place > n * 4 // 5)::int as integer) as fold
+               from placed""",
+            SPLIT,
+        ),
+        "smote": _with(
+            """
+            select customer_id, churn, round(tenure_months, 6) as tenure_months,
+                   round(monthly_charges, 6) as monthly_charges, copy_no
+            from (
+              select customer_id, churn, tenure_months::double as tenure_months, monthly_charges,
+                     0::bigint as copy_no from cleaned
+              union all
+              select q.customer_id, 1, q.a + along * (near.a - q.a), q.b + along * (near.b - q.b), copy_no
+              from copies q join near on near.customer_id = q.customer_id and near.place = q.choice
+            )""",
+            CLEANED
+            + f""", minority as (
+  select customer_id, tenure_months::double as a, monthly_charges as b, {SPREAD} as h,
+         min(customer_id) over (partition by tenure_months, monthly_charges) as pid,
+         row_number() over (order by {SPREAD}, customer_id) as turn, count(*) over () as n
+  from cleaned where churn = 1
+), near as (
+  select q.customer_id, p.a, p.b,
+         row_number() over (partition by q.customer_id
+           order by (q.a - p.a) * (q.a - p.a) + (q.b - p.b) * (q.b - p.b), p.pid, p.customer_id) - 1
+           as place
+  from minority q join minority p on p.customer_id <> q.customer_id
+), copies as (
+  select *, (h * 31 + copy_no * 17) % least(5, n - 1) as choice,
+         ((h * 131 + copy_no * 7919 + 42) % 1000003)::double / 1000003 as along
+  from (select *, unnest(range(1, needed // n + (turn <= needed % n)::int + 1)) as copy_no
+        from minority cross join (
+          select sum(1 - churn)::bigint - sum(churn)::bigint as needed from cleaned))
+)""",
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**base_tables(), **reports()}
+    return {**base_tables(), **reports(), **cleaning(), **features()}

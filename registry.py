@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keepwell.operators import balance, cleaning, features
 from keepwell.plans import extract, reports
+from keepwell.scratch import materialise
 from keepwell.sources import star_binding as star
 from keepwell.sources.star_binding import StarBinding
+from keepwell.sources.tables import numeric_columns, string_columns, table_shape
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,5 +87,91 @@ def _reports() -> dict[str, Query]:
     }
 
 
+def unique_customers(bound: StarBinding) -> DataFrame:
+    return cleaning.drop_duplicate_keys(churn_table(bound))
+
+
+def prepared(bound: StarBinding) -> tuple[features.FittedFeatures, DataFrame]:
+    """Cleaned and engineered churn table with a preparation fitted on all of it."""
+    table = materialise(features.engineer(cleaning.clean(churn_table(bound))), "engineered")
+    return features.fit_features(table), table
+
+
+def _stored_churn(bound: StarBinding) -> DataFrame:
+    return materialise(churn_table(bound), "churn")
+
+
+def _medians(bound: StarBinding) -> DataFrame:
+    churn = _stored_churn(bound)
+    return cleaning.medians(
+        churn, [c for c in numeric_columns(churn) if c not in ("customer_id", "churn")]
+    )
+
+
+def _modes(bound: StarBinding) -> DataFrame:
+    unique = unique_customers(bound)
+    return cleaning.modes(unique, string_columns(unique))
+
+
+def _cleaning() -> dict[str, Query]:
+    return {
+        "dedupe": _bound(unique_customers),
+        "duplicate_report": _bound(lambda b: cleaning.duplicate_report(churn_table(b))),
+        "table_shape": _bound(lambda b: table_shape(churn_table(b))),
+        "null_counts": _bound(lambda b: cleaning.null_counts(churn_table(b))),
+        "medians": _bound(lambda b: rounded(_medians(b))),
+        "modes": _bound(_modes),
+        "clean": _bound(lambda b: rounded(cleaning.clean(churn_table(b)))),
+        "class_distribution": _bound(lambda b: cleaning.class_distribution(churn_table(b))),
+        "imbalance_ratio": _bound(lambda b: rounded(cleaning.imbalance_ratio(churn_table(b)))),
+        "tenure_by_churn": _bound(lambda b: rounded(cleaning.median_by_class(_stored_churn(b)))),
+        "class_weights": _bound(lambda b: rounded(balance.class_weights(_stored_churn(b)))),
+    }
+
+
+def _split(bound: StarBinding) -> DataFrame:
+    unique = materialise(unique_customers(bound).select("customer_id", "churn"), "unique")
+    return features.stratified_split(unique)
+
+
+def _folds(bound: StarBinding) -> DataFrame:
+    unique = materialise(unique_customers(bound).select("customer_id", "churn"), "unique")
+    return features.stratified_folds(unique, "churn", "customer_id", 5)
+
+
+def _moments(bound: StarBinding) -> DataFrame:
+    fitted, table = prepared(bound)
+    return features.feature_moments(fitted.encode(table), fitted.names)
+
+
+def _prepare(bound: StarBinding) -> DataFrame:
+    fitted, table = prepared(bound)
+    return fitted.transform(table)
+
+
+def _label_codes(bound: StarBinding) -> DataFrame:
+    table = features.engineer(cleaning.clean(churn_table(bound)))
+    return features.fit_labels(table, string_columns(table))
+
+
+def _smote(bound: StarBinding) -> DataFrame:
+    return balance.smote(
+        materialise(cleaning.clean(churn_table(bound)), "cleaned"), ["tenure_months", "monthly_charges"]
+    )
+
+
+def _features() -> dict[str, Query]:
+    return {
+        "engineer": _bound(lambda b: features.engineer(cleaning.clean(churn_table(b)))),
+        "label_codes": _bound(_label_codes),
+        "feature_moments": _bound(lambda b: rounded(_moments(b))),
+        "prepare": _bound(lambda b: rounded(_prepare(b))),
+        "stratified_split": _bound(_split),
+        "split_profile": _bound(lambda b: rounded(cleaning.label_profile(_split(b), "split"))),
+        "stratified_folds": _bound(_folds),
+        "smote": _bound(lambda b: rounded(_smote(b))),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_base_tables(), **_reports()}
+    return {**_base_tables(), **_reports(), **_cleaning(), **_features()}
