@@ -415,5 +415,167 @@ def features() -> dict[str, str]:
     }
 
 
+def _auc(score: str) -> str:
+    """Pairwise definition of the area, computed from counts per score."""
+    return f"""(select sum(a.pos * (b.neg * (b.p < a.p)::int + 0.5::double * b.neg * (b.p = a.p)::int))
+                       / (sum(a.pos * b.neg))
+                from (select p, count(*) filter (where label = 1) as pos from {score} group by p) a
+                cross join (select p, count(*) filter (where label = 0) as neg from {score} group by p) b)"""
+
+
+def _metrics(score: str) -> str:
+    return f"""
+      round(avg((label = prediction)::int), 6) as accuracy,
+      round({_auc(score)}, 6) as roc_auc,
+      round(coalesce(2.0::double * sum(label * prediction) / nullif(sum(label) + sum(prediction), 0), 0), 6)
+        as f1_score,
+      round(coalesce(sum(label * prediction)::double / nullif(sum(prediction), 0), 0), 6)
+        as churn_precision,
+      round(coalesce(sum(label * prediction)::double / nullif(sum(label), 0), 0), 6) as churn_recall,
+      round(coalesce(2.0::double * sum(label * prediction) / nullif(sum(label) + sum(prediction), 0), 0), 6)
+        as churn_f1 from {score}"""
+
+
+MODELS = """, contract_rule as (
+  select churn as label, month_to_month_risk::double as p, (month_to_month_risk > 0.5)::int as prediction
+  from signals
+), tenure_rule as (
+  select churn as label, 1.0::double / (tenure_months + 1) as p,
+         (1.0::double / (tenure_months + 1) > 0.05)::int as prediction
+  from signals
+)"""
+
+COMPARISON = " union all ".join(
+    f"select '{model}' as model, {order} as train_order, {_metrics(table)}"
+    for order, (model, table) in enumerate(
+        {"risk_score": "scored", "contract": "contract_rule", "tenure": "tenure_rule"}.items()
+    )
+)
+
+
+def evaluation() -> dict[str, str]:
+    order = "order by p desc, customer_id, label"
+    return {
+        "rule_scores": _with("select * from scored"),
+        "confusion_matrix": _with(
+            """select label, prediction, count(s.p) as n
+               from (values (0), (1)) as actual(label) cross join (values (0), (1)) as said(prediction)
+               left join scored s using (label, prediction) group by 1, 2"""
+        ),
+        "classification_report": _with(
+            """
+            select "class", round(p, 6) as "precision", round(r, 6) as recall, round(f, 6) as f1_score,
+                   support from per_class
+            union all
+            select 'accuracy', round(a, 6), round(a, 6), round(a, 6), n
+            from (select avg((label = prediction)::int) as a, count(*) as n from scored)
+            union all
+            select 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6),
+                   sum(support)::bigint from per_class
+            union all
+            select 'weighted avg', round(sum(p * support) / sum(support), 6),
+                   round(sum(r * support) / sum(support), 6),
+                   round(sum(f * support) / sum(support), 6), sum(support)::bigint from per_class""",
+            """, per_class as (
+  select c::varchar as "class", coalesce(tp::double / nullif(predicted, 0), 0) as p,
+         coalesce(tp::double / nullif(support, 0), 0) as r,
+         coalesce(2 * tp::double / nullif(predicted + support, 0), 0) as f, support
+  from (select c, count(*) filter (where label = c and prediction = c) as tp,
+               count(*) filter (where prediction = c) as predicted,
+               count(*) filter (where label = c) as support
+        from scored cross join (values (0), (1)) as classes(c) group by c)
+)""",
+        ),
+        "roc_auc": _with(f"select round({_auc('scored')}, 6) as roc_auc"),
+        "roc_curve": _with(
+            """
+            select null::double as threshold, 0.0::double as fpr, 0.0::double as tpr
+            union all
+            select round(p, 6), round(sum(sum(1 - label)) over (order by p desc)::double
+                                      / (select sum(1 - label) from scored), 6),
+                   round(sum(sum(label)) over (order by p desc)::double
+                         / (select sum(label) from scored), 6)
+            from scored group by p"""
+        ),
+        "metric_summary": _with(f"select {_metrics('scored')}"),
+        "model_comparison": _with(COMPARISON, MODELS),
+        "best_model": _with(
+            f"select * from ({COMPARISON}) order by roc_auc desc, train_order limit 1", MODELS
+        ),
+        "decile_lift": _with(
+            f"""
+            select tile::int as tile, count(*) as customers, sum(label)::bigint as churners,
+                   round(avg(label), 6) as churn_rate,
+                   round(sum(sum(label)) over (order by tile)::double / (select sum(label) from scored), 6)
+                     as cumulative_capture,
+                   round(avg(label) / (select avg(label) from scored), 6) as lift
+            from (select label, ntile(10) over ({order}) as tile from scored) group by tile"""
+        ),
+        "high_risk_band": _with(
+            f"""
+            select fraction, count(*) as customers, sum(label)::bigint as churners,
+                   round(avg(label), 6) as churn_rate,
+                   round(avg(label) / (select avg(label) from scored), 6) as lift
+            from (select label, row_number() over ({order}) as place, count(*) over () as n from scored)
+            cross join (values (0.15::double), (0.2::double)) as bands(fraction)
+            where place <= round(n * fraction) group by fraction"""
+        ),
+        "retention_impact": _with(
+            """
+            select round(base, 6) as baseline_retention_rate, round(new, 6) as new_retention_rate,
+                   round((new - base) / base * 100, 6) as retention_improvement_pct,
+                   targeted as customers_targeted, saved as customers_saved,
+                   saved * 1200 as annual_revenue_saved
+            from (select 1 - avg(label) as base, 1 - (sum(label) - saved)::double / count(*) as new,
+                         targeted, saved
+                  from scored cross join (
+                    select count(*) filter (where p > 0.5) as targeted, targeted // 2 as saved
+                    from scored)
+                  group by targeted, saved)"""
+        ),
+        "impact_scenarios": _with(
+            """
+            select threshold, success_rate, count(*) filter (where p > threshold) as customers_targeted,
+                   floor(count(*) filter (where p > threshold) * success_rate)::bigint
+                     as customers_saved,
+                   round(floor(count(*) filter (where p > threshold) * success_rate)::double
+                         / sum(label), 6) as churn_reduction
+            from scored
+            cross join (values (0.3::double), (0.5::double), (0.7::double)) as cuts(threshold)
+            cross join (values (0.45::double), (0.5::double), (0.55::double)) as rates(success_rate)
+            group by 1, 2"""
+        ),
+    }
+
+
+def sources() -> dict[str, str]:
+    return {
+        "csv_round_trip": _with("select * from churn_dataset"),
+        "report_round_trip": evaluation()["retention_impact"],
+        "date_functions": _with(
+            """
+            select k as customer_id,
+                   cast(date_diff('month', signup_date, until) as integer) as months_crossed,
+                   cast(until - signup_date as integer) as days_between,
+                   signup_date - 90 as days_back,
+                   cast(signup_date - interval 12 month as date) as months_back,
+                   cast(date_trunc('month', signup_date) as date) as month_start, until as end_date
+            from (select k, signup_date, coalesce(churn_date, date '2001-08-01') as until from fx_dated)"""
+        ),
+        "value_functions": _with(
+            """
+            select customer_id, abs(monthly_charges - 70) as charge_gap,
+                   round(monthly_charges, 2) as charge_rounded,
+                   monthly_charges / nullif(tenure_months - 6, 0) as charge_per_month_past_six,
+                   if(monthly_charges > 70, 1, 0) as is_expensive,
+                   coalesce(tech_support, 'nan') as support_token,
+                   floor(total_charges)::bigint as whole_charges
+            from churn_dataset"""
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**base_tables(), **reports(), **cleaning(), **features()}
+    return {
+        **base_tables(), **sources(), **reports(), **cleaning(), **features(), **evaluation(),
+    }

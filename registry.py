@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keepwell.functions import columns
 from keepwell.operators import balance, cleaning, features
-from keepwell.plans import extract, reports
-from keepwell.scratch import materialise
+from keepwell.plans import evaluation, extract, impact, reports, training
+from keepwell.scratch import materialise, scratch_path
+from keepwell.sources import runs
 from keepwell.sources import star_binding as star
 from keepwell.sources.star_binding import StarBinding
-from keepwell.sources.tables import numeric_columns, string_columns, table_shape
+from keepwell.sources.tables import (
+    CHURN_SCHEMA, load_csv, numeric_columns, string_columns, table_shape, write_report,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,5 +177,169 @@ def _features() -> dict[str, Query]:
     }
 
 
+def scored_customers(bound: StarBinding) -> DataFrame:
+    return materialise(evaluation.rule_scores(churn_table(bound), star.SCORE_THRESHOLD), "scored")
+
+
+def _rule_models(bound: StarBinding) -> dict[str, DataFrame]:
+    """Three deterministic scores, standing in for trained models."""
+    churn = _stored_churn(bound)
+    tenure = F.lit(1.0) / (F.col("tenure_months") + 1)
+    contract = F.col("month_to_month_risk").cast("double")
+    return {
+        "risk_score": evaluation.rule_scores(churn, star.SCORE_THRESHOLD),
+        "contract": evaluation.rule_scores(churn, 0.5, contract),
+        "tenure": evaluation.rule_scores(churn, 0.05, tenure),
+    }
+
+
+def _comparison(bound: StarBinding) -> DataFrame:
+    return rounded(evaluation.compare_models(_rule_models(bound)))
+
+
+def _scored(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _bound(lambda b: rounded(build(scored_customers(b))))
+
+
+def _evaluation() -> dict[str, Query]:
+    return {
+        "rule_scores": _bound(
+            lambda b: evaluation.rule_scores(churn_table(b), star.SCORE_THRESHOLD)
+        ),
+        "confusion_matrix": _scored(evaluation.confusion_matrix),
+        "classification_report": _scored(evaluation.classification_report),
+        "roc_auc": _scored(evaluation.roc_auc),
+        "roc_curve": _scored(evaluation.roc_curve),
+        "metric_summary": _scored(evaluation.metric_row),
+        "model_comparison": _bound(_comparison),
+        "best_model": _bound(lambda b: evaluation.best_model(_comparison(b))),
+        "decile_lift": _scored(evaluation.decile_lift),
+        "high_risk_band": _scored(evaluation.high_risk_band),
+        "retention_impact": _scored(lambda s: impact.retention_impact(s, star.SCORE_THRESHOLD)),
+        "impact_scenarios": _scored(lambda s: impact.impact_scenarios(s, (0.3, 0.5, 0.7))),
+    }
+
+
+def _engineered(bound: StarBinding) -> DataFrame:
+    return materialise(features.engineer(cleaning.clean(churn_table(bound))), "engineered")
+
+
+# Short grids for the registered queries; the full ones are the defaults of the grid functions.
+SHORT_LOGISTIC = training.logistic_grid((0.1, 1.0), ("l2",), (None,))
+SHORT_FOREST = training.forest_grid((20,), (5,), (1, 2), ("balanced",))
+
+
+def _training_table(bound: StarBinding) -> training.TrainingTable:
+    fitted, table = prepared(bound)
+    return training.TrainingTable(materialise(fitted.transform(table), "train"), fitted.names)
+
+
+def _search(candidates: list[training.Candidate]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        table = _training_table(StarBinding(spark, folder))
+        return training.grid_search(table, candidates, folds=3).table(spark)
+
+    return run
+
+
+def _drivers(candidate: training.Candidate, report: Callable) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        table = _training_table(StarBinding(spark, folder))
+        model = training.fit_candidate(table.rebalanced(), candidate)
+        return training.top_rows(report(spark, model, table.names), 15)
+
+    return run
+
+
+def _train(bound: StarBinding, run_log: str | None = None) -> training.TrainingRun:
+    grids = [SHORT_LOGISTIC[:1], SHORT_FOREST[:1]]
+    return training.train_select(_engineered(bound), grids, folds=3, run_log=run_log)
+
+
+def _run_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "runs")
+    _train(StarBinding(spark, folder), path)
+    return runs.read_runs(spark, path)
+
+
+def _reloaded_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Fit, save, load and score the whole table without its label."""
+    table = _engineered(StarBinding(spark, folder))
+    fitted = features.fit_features(table)
+    rows = training.TrainingTable(materialise(fitted.transform(table), "train"), fitted.names)
+    model = training.fit_candidate(rows, SHORT_LOGISTIC[0])
+    assembler = training.VectorAssembler(inputCols=fitted.names, outputCol="features")
+    path = scratch_path(spark, "model")
+    runs.save_model(path, training.PipelineModel(stages=[assembler, model]), fitted)
+    pipeline, preparation = runs.load_model(spark, path)
+    return training.score_customers(pipeline, preparation, table)
+
+
+def _training() -> dict[str, Query]:
+    return {
+        "logistic_search": _search(SHORT_LOGISTIC),
+        "forest_search": _search(SHORT_FOREST),
+        "train_select": _bound(lambda b: _train(b).comparison),
+        "coefficients": _drivers(SHORT_LOGISTIC[0], training.coefficients),
+        "feature_importance": _drivers(SHORT_FOREST[0], training.feature_importance),
+        "score_customers": _reloaded_scores,
+        "run_metrics": _run_metrics,
+    }
+
+
+def _csv_round_trip(bound: StarBinding) -> DataFrame:
+    churn = churn_table(bound)
+    path = scratch_path(churn.sparkSession, "churn-csv")
+    write_report(churn, path, "csv")
+    return load_csv(churn.sparkSession, path, CHURN_SCHEMA)
+
+
+def _report_round_trip(bound: StarBinding) -> DataFrame:
+    scored = scored_customers(bound)
+    spark, path = scored.sparkSession, scratch_path(scored.sparkSession, "impact-csv")
+    report = rounded(impact.retention_impact(scored, star.SCORE_THRESHOLD))
+    write_report(report, path, "csv")
+    return load_csv(spark, path, report.schema, required=())
+
+
+def _date_functions(bound: StarBinding) -> DataFrame:
+    signup = F.col("signup_date")
+    until = F.coalesce("churn_date", F.lit(star.AS_OF))
+    return bound.base().select(
+        F.col("c_custkey").alias("customer_id"),
+        columns.month_boundaries(signup, until).alias("months_crossed"),
+        F.datediff(until, signup).alias("days_between"),
+        F.date_sub(signup, 90).alias("days_back"),
+        F.add_months(signup, -12).alias("months_back"),
+        columns.month_bucket(signup).alias("month_start"),
+        until.alias("end_date"),
+    )
+
+
+def _value_functions(bound: StarBinding) -> DataFrame:
+    tenure, monthly, support = F.col("tenure_months"), F.col("monthly_charges"), F.col("tech_support")
+    return churn_table(bound).select(
+        "customer_id",
+        F.abs(monthly - 70).alias("charge_gap"),
+        F.round(monthly, 2).alias("charge_rounded"),
+        columns.ratio(monthly, F.nullif(tenure - 6, F.lit(0))).alias("charge_per_month_past_six"),
+        columns.flag(monthly > 70).alias("is_expensive"),
+        columns.text_token(support).alias("support_token"),
+        F.floor(F.col("total_charges")).cast("long").alias("whole_charges"),
+    )
+
+
+def _sources() -> dict[str, Query]:
+    return {
+        "csv_round_trip": _bound(_csv_round_trip),
+        "report_round_trip": _bound(_report_round_trip),
+        "date_functions": _bound(_date_functions),
+        "value_functions": _bound(_value_functions),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_base_tables(), **_reports(), **_cleaning(), **_features()}
+    return {
+        **_base_tables(), **_sources(), **_reports(), **_cleaning(), **_features(), **_evaluation(),
+        **_training(),
+    }
