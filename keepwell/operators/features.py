@@ -191,7 +191,7 @@ def fit_features(df: DataFrame, key: str = "customer_id", label: str = "churn")
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     scaled = [f.name for f in fields if not isinstance(f.dataType, T.BooleanType)]
     empty = df.sparkSession.createDataFrame([], "column string, value string, code int")
-    labels = materialise(fit_labels(df, text), "codes") if text else empty
+    labels = fit_labels(df, text) if text else empty
     fitted = FittedFeatures(labels, {}, names, text, key, label)._with_inline()
     if scaled:
         for row in feature_moments(fitted.encode(df), scaled).collect():

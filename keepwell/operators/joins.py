@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,37 +13,51 @@ HOT_KEY_ROWS = 1_000_000
 HOT_KEY_SPLITS = 200
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list:
-    """Keys that occur more than about ``min_rows`` times.
+def hot_keys(tables: Sequence[DataFrame], key: str, min_rows: int = HOT_KEY_ROWS) -> list[list]:
+    """Per table, the keys that occur more than about ``min_rows`` times.
 
-    A frequent-items sketch of fixed size: one scan of the key column, no shuffle by key. At most
-    1000 keys come back. A key that the sketch misses is still joined correctly, only unsalted.
+    One job with a frequent-items sketch of fixed size per table: the key columns are scanned, only
+    sketches are shuffled and at most 1000 keys per table come back. A key that a sketch misses is
+    still joined correctly, only unsalted.
     """
-    counted = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, 1000, 10000)").alias("top")
-    )
-    return [row["item"] for row in counted.first()["top"] or [] if row["count"] > min_rows]
+    keys = None
+    for place, table in enumerate(tables):
+        part = table.filter(F.col(key).isNotNull()).select(F.lit(place).alias("place"), key)
+        keys = part if keys is None else keys.unionByName(part)
+    sketches = keys.groupBy("place").agg(F.expr(f"approx_top_k(`{key}`, 1000, 10000)").alias("top"))
+    heavy: list[list] = [[] for _ in tables]
+    for row in sketches.collect():
+        heavy[row["place"]] = [k["item"] for k in row["top"] if k["count"] > min_rows]
+    return heavy
 
 
-def left_join(
+def left_joins(
     left: DataFrame,
-    right: DataFrame,
+    rights: Sequence[DataFrame],
     key: str,
     min_rows: int = HOT_KEY_ROWS,
     splits: int = HOT_KEY_SPLITS,
+) -> DataFrame:
+    """A chain of left outer joins on ``key``, each by way of :func:`left_join`."""
+    for right, heavy in zip(rights, hot_keys(rights, key, min_rows)):
+        left = left_join(left, right, key, heavy, splits)
+    return left
+
+
+def left_join(
+    left: DataFrame, right: DataFrame, key: str, heavy: Sequence, splits: int = HOT_KEY_SPLITS
 ) -> DataFrame:
     """Left outer join on ``key``, keeping every match of every row.
 
     Adaptive execution can split a heavy key on the left side of a left join, but not on the right.
-    Rows of keys that are heavy on the right are therefore joined on (key, salt): the right rows are
-    dealt over the salts and each left row is repeated once per salt. Such keys occur on the right,
-    so for them the left join and the inner join are the same. The salted rows are written before the
-    join, so that a task that is run again cannot deal them differently.
+    Rows of the ``heavy`` keys, which must occur on the right, are therefore joined on (key, salt):
+    the right rows are dealt over the salts and each left row is repeated once per salt. For them
+    the left join and the inner join are the same. The salted rows are written before the join, so
+    that a task that is run again cannot deal them differently.
     """
-    heavy = hot_keys(right, key, min_rows)
     if not heavy:
         return left.join(right, key, "left")
-    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    is_heavy = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
     light = left.filter(~is_heavy).join(right.filter(~is_heavy), key, "left")
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(splits)).cast("int")
     dealt = materialise(right.filter(is_heavy).withColumn("_salt", salt), "salted")

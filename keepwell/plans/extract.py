@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.columns import as_of_column, flag, month_boundaries
-from keepwell.operators.joins import left_join
+from keepwell.operators.joins import left_joins
 
 CUSTOMER_COLUMNS = ("customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months")
 SERVICE_COLUMNS = (
@@ -36,10 +36,12 @@ def churn_dataset(
     eligible = customers.filter(
         F.col("status").isin(*statuses) & (F.col("signup_date") >= F.lit(signup_from))
     ).select(*CUSTOMER_COLUMNS)
-    events = churn_events.select("customer_id", "churn_date")
-    joined = left_join(eligible, services.select("customer_id", *SERVICE_COLUMNS), "customer_id")
-    joined = left_join(joined, billing.select("customer_id", *BILLING_COLUMNS), "customer_id")
-    joined = left_join(joined, events, "customer_id")
+    rights = [
+        services.select("customer_id", *SERVICE_COLUMNS),
+        billing.select("customer_id", *BILLING_COLUMNS),
+        churn_events.select("customer_id", "churn_date"),
+    ]
+    joined = left_joins(eligible, rights, "customer_id")
     return joined.select(
         *CUSTOMER_COLUMNS,
         *SERVICE_COLUMNS,

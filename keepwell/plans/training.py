@@ -26,6 +26,9 @@ from keepwell.sources.runs import log_run, new_run_id
 
 LOGISTIC, FOREST = "Logistic Regression", "Random Forest"
 DEEPEST_TREE = 30
+# Iteration limit and stopping tolerance of the logistic fits.
+MAX_ITERATIONS = 1000
+TOLERANCE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -55,7 +58,8 @@ class Candidate:
             common["weightCol"] = "weight"
         if self.family == LOGISTIC:
             return LogisticRegression(
-                maxIter=1000,
+                maxIter=MAX_ITERATIONS,
+                tol=TOLERANCE,
                 regParam=1.0 / (options["C"] * total_weight),
                 elasticNetParam=1.0 if options["penalty"] == "l1" else 0.0,
                 standardization=False,
@@ -157,14 +161,17 @@ def _fit_all(candidates, table: DataFrame, weight: float, seed: int, parallelism
         table.unpersist()
 
 
-def cross_validate(
-    table: TrainingTable,
-    candidates: Sequence[Candidate],
-    folds: int = 5,
-    rebalance: str | None = "fold",
-    parallelism: int = 4,
-) -> list[float]:
-    """Mean ROC-AUC of every candidate over stratified folds.
+@dataclass
+class Fold:
+    """Model input of one training part, its total weight, and the rows held out from it."""
+
+    training: DataFrame
+    weight: float
+    held_out: DataFrame
+
+
+def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fold") -> list[Fold]:
+    """Stratified folds, made once and shared by every grid.
 
     ``rebalance="fold"`` oversamples the training part of each fold only. ``"train"`` oversamples
     before the folds are cut, so synthetic rows also fall into validation parts. None: never.
@@ -174,20 +181,36 @@ def cross_validate(
     folded = materialise(
         stratified_folds(table.rows, table.label, table.key, folds, table.seed), "folds"
     )
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="target", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
-    )
-    scores = [0.0] * len(candidates)
-    for fold in range(folds):
+
+    def build(fold: int) -> Fold:
         part = table.with_rows(folded.filter(F.col("fold") != fold).drop("fold"))
         if rebalance == "fold":
             part = part.rebalanced()
         held_out, _ = table.with_rows(folded.filter(F.col("fold") == fold)).model_input()
-        models = _fit_all(candidates, *part.model_input(), table.seed, parallelism)
-        held_out.persist()
-        for i, model in enumerate(models):
-            scores[i] += evaluator.evaluate(model.transform(held_out)) / folds
-        held_out.unpersist()
+        return Fold(*part.model_input(), held_out)
+
+    with ThreadPool(folds) as pool:
+        return pool.map(inheritable_thread_target(build), range(folds))
+
+
+def cross_validate(
+    folds: Sequence[Fold], candidates: Sequence[Candidate], seed: int = 42, parallelism: int = 4
+) -> list[float]:
+    """Mean ROC-AUC of every candidate over the folds."""
+    evaluator = BinaryClassificationEvaluator(
+        labelCol="target", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
+    )
+    scores = [0.0] * len(candidates)
+    for fold in folds:
+        models = _fit_all(candidates, fold.training, fold.weight, seed, parallelism)
+        fold.held_out.persist()
+        with ThreadPool(parallelism) as pool:
+            areas = pool.map(
+                inheritable_thread_target(lambda m: evaluator.evaluate(m.transform(fold.held_out))),
+                models,
+            )
+        fold.held_out.unpersist()
+        scores = [total + area / len(folds) for total, area in zip(scores, areas)]
     return scores
 
 
@@ -216,16 +239,14 @@ class Search:
 
 def grid_search(
     table: TrainingTable,
+    folds: Sequence[Fold],
     candidates: Sequence[Candidate],
-    folds: int = 5,
-    rebalance: str | None = "fold",
     parallelism: int = 4,
 ) -> Search:
-    """Cross-validate the candidates and refit the best on all rows."""
-    scores = cross_validate(table, candidates, folds, rebalance, parallelism)
+    """Cross-validate the candidates and refit the best on all rows of ``table``."""
+    scores = cross_validate(folds, candidates, table.seed, parallelism)
     search = Search(candidates[0].family, list(candidates), scores)
-    whole = table.rebalanced() if rebalance else table
-    search.model = fit_candidate(whole, candidates[search.best])
+    search.model = fit_candidate(table, candidates[search.best])
     return search
 
 
@@ -311,9 +332,11 @@ def train_select(
     )
     test, _ = train.with_rows(materialise(fitted.transform(test_part), "test")).model_input()
 
+    parts = make_folds(train, folds, rebalance)
+    whole = train.rebalanced() if rebalance else train
     searches, scored = {}, {}
     for candidates in grids:
-        search = grid_search(train, candidates, folds, rebalance, parallelism)
+        search = grid_search(whole, parts, candidates, parallelism)
         searches[search.family] = search
         scored[search.family] = materialise(score(search.model, test, key), "scored")
     comparison = materialise(compare_models(scored), "comparison")

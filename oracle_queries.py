@@ -565,7 +565,7 @@ def sources() -> dict[str, str]:
         "value_functions": _with(
             """
             select customer_id, abs(monthly_charges - 70) as charge_gap,
-                   round(monthly_charges, 2) as charge_rounded,
+                   round(monthly_charges / 7, 2) as weekly_charge,
                    monthly_charges / nullif(tenure_months - 6, 0) as charge_per_month_past_six,
                    if(monthly_charges > 70, 1, 0) as is_expensive,
                    coalesce(tech_support, 'nan') as support_token,

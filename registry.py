@@ -237,7 +237,8 @@ def _training_table(bound: StarBinding) -> training.TrainingTable:
 def _search(candidates: list[training.Candidate]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         table = _training_table(StarBinding(spark, folder))
-        return training.grid_search(table, candidates, folds=3).table(spark)
+        folds = training.make_folds(table, 3)
+        return training.grid_search(table.rebalanced(), folds, candidates).table(spark)
 
     return run
 
@@ -321,7 +322,7 @@ def _value_functions(bound: StarBinding) -> DataFrame:
     return churn_table(bound).select(
         "customer_id",
         F.abs(monthly - 70).alias("charge_gap"),
-        F.round(monthly, 2).alias("charge_rounded"),
+        F.round(monthly / 7, 2).alias("weekly_charge"),
         columns.ratio(monthly, F.nullif(tenure - 6, F.lit(0))).alias("charge_per_month_past_six"),
         columns.flag(monthly > 70).alias("is_expensive"),
         columns.text_token(support).alias("support_token"),
