@@ -129,7 +129,7 @@ def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
                 "distance": [float(h[2]) for h in hits],
                 "near_pid": near["pid"].to_numpy()[found_at],
                 "copies": near["copies"].to_numpy()[found_at],
-                "vector": list(near["vector"].to_numpy()[found_at]),
+                "vector": pd.Series(list(near["vector"].to_numpy()[found_at]), dtype=object),
             }
         )
 
@@ -235,7 +235,7 @@ def _reachable(boxed: DataFrame, first: DataFrame, k: int) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "pid": part["pid"].to_numpy()[who],
-                        "vector": list(part["vector"].to_numpy()[who]),
+                        "vector": pd.Series(list(part["vector"].to_numpy()[who]), dtype=object),
                         "box": names[where],
                     }
                 )
