@@ -156,7 +156,7 @@ def _fit_all(candidates, table: DataFrame, weight: float, seed: int, parallelism
     table.persist()
     try:
         with ThreadPool(parallelism) as pool:
-            return pool.map(inheritable_thread_target(fit), candidates)
+            return pool.map(inheritable_thread_target(table.sparkSession)(fit), candidates)
     finally:
         table.unpersist()
 
@@ -190,7 +190,7 @@ def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fo
         return Fold(*part.model_input(), held_out)
 
     with ThreadPool(folds) as pool:
-        return pool.map(inheritable_thread_target(build), range(folds))
+        return pool.map(inheritable_thread_target(folded.sparkSession)(build), range(folds))
 
 
 def cross_validate(
@@ -205,10 +205,10 @@ def cross_validate(
         models = _fit_all(candidates, fold.training, fold.weight, seed, parallelism)
         fold.held_out.persist()
         with ThreadPool(parallelism) as pool:
-            areas = pool.map(
-                inheritable_thread_target(lambda m: evaluator.evaluate(m.transform(fold.held_out))),
-                models,
+            area_of = inheritable_thread_target(fold.held_out.sparkSession)(
+                lambda model: evaluator.evaluate(model.transform(fold.held_out))
             )
+            areas = pool.map(area_of, models)
         fold.held_out.unpersist()
         scores = [total + area / len(folds) for total, area in zip(scores, areas)]
     return scores
