@@ -74,8 +74,8 @@ def smote(
 
 def _synthetic(rows, features, label, key, n, needed, k, seed, box_rows) -> DataFrame:
     rows = materialise(rows.withColumn("vector", F.array(*features)), "minority")
-    points = rows.groupBy("vector").agg(F.min(key).alias("pid"), F.count("*").alias("copies"))
-    near = nearest_neighbours(points, k, box_rows)
+    distinct = rows.groupBy("vector").agg(F.min(key).alias("pid"), F.count("*").alias("copies"))
+    near = nearest_neighbours(materialise(distinct, "points"), k, box_rows)
     cuts = class_cuts(rows, label, key, lambda _: [needed % n], seed)
     extra = (cuts_passed(rows, label, key, cuts, seed) == 0).cast("long")
     quota = F.lit(needed // n) + extra
@@ -85,8 +85,9 @@ def _synthetic(rows, features, label, key, n, needed, k, seed, box_rows) -> Data
     blocks = (
         rows.withColumn("quota", quota)
         .filter(F.col("quota") > 0)
+        .join(near, "vector")
         .select(
-            key, label, "vector", "quota", key_hash(rows, key, seed).alias("hash"),
+            key, label, "vector", "neighbours", "quota", key_hash(rows, key, seed).alias("hash"),
             F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("block"),
         )
     )
@@ -94,7 +95,7 @@ def _synthetic(rows, features, label, key, n, needed, k, seed, box_rows) -> Data
         blocks = blocks.repartition(key, "block")
     start = F.col("block") * COPIES_PER_BLOCK + 1
     stop = F.least(F.col("quota"), start + (COPIES_PER_BLOCK - 1))
-    copies = blocks.join(near, "vector").withColumn("copy_no", F.explode(F.sequence(start, stop)))
+    copies = blocks.withColumn("copy_no", F.explode(F.sequence(start, stop)))
 
     choice = F.pmod(
         F.col("hash") * 31 + F.col("copy_no") * 17, F.greatest(F.size("neighbours"), F.lit(1))

@@ -51,9 +51,13 @@ def null_counts(df: DataFrame) -> DataFrame:
     return wide.unpivot([], df.columns, "column", "n_missing").filter(F.col("n_missing") > 0)
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact median per numeric column."""
-    found = exact_quantiles(df, {c: F.col(c) for c in columns})
+def medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """Median per numeric column: exact, or with ``accuracy`` from one pass of quantile sketches."""
+    if accuracy is None:
+        found = exact_quantiles(df, {c: F.col(c) for c in columns})
+    else:
+        row = df.agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double") for c in columns]).first()
+        found = dict(zip(columns, row))
     return df.sparkSession.createDataFrame(list(found.items()), "column string, median double")
 
 

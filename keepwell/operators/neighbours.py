@@ -21,6 +21,7 @@ from keepwell.scratch import materialise
 
 BOX_ROWS = 2_048
 SAMPLE_ROWS = 200_000
+SAMPLE_CELLS = 5_000_000
 MIN_SAMPLE_PER_BOX = 16
 QUERY_ROWS = 4_096
 BLOCK_CELLS = 2_000_000
@@ -144,9 +145,15 @@ def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
 
 
 def _boxed(points: DataFrame, size: int, box_rows: int) -> DataFrame:
-    """Number the box of every point."""
-    sample = points.select("vector").sample(min(1.0, SAMPLE_ROWS / size), seed=7).toPandas()
-    sample_rows = max(MIN_SAMPLE_PER_BOX, int(box_rows * min(1.0, SAMPLE_ROWS / size)))
+    """Number the box of every point.
+
+    The tree grows on a sample of bounded size, so tree and box table stay small for any input;
+    boxes then grow with the input.
+    """
+    sample_size = min(SAMPLE_ROWS, max(1, SAMPLE_CELLS // len(points.first()["vector"])))
+    share = min(1.0, sample_size / size)
+    sample = points.select("vector").sample(share, seed=7).toPandas()
+    sample_rows = max(MIN_SAMPLE_PER_BOX, int(box_rows * share)) if share < 1 else box_rows
     tree = points.sparkSession.sparkContext.broadcast(
         BoxTree.grow(_stack(sample["vector"]), sample_rows)
     )

@@ -20,6 +20,22 @@ TREND_MONTHS = 24
 CAMPAIGN_MONTHS = 6
 SCORE_THRESHOLD = 0.5
 
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
 
 def _yes(predicate: Column) -> Column:
     return F.when(predicate, "Yes").otherwise("No")
@@ -33,7 +49,9 @@ class StarBinding:
         self._folder = folder
 
     def source(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        """Scan with a declared schema, which saves a look into the files."""
+        reader = self._spark.read.schema(SOURCE_SCHEMAS[name])
+        return reader.parquet(f"{self._folder}/{name}.parquet")
 
     def base(self) -> DataFrame:
         orders = (

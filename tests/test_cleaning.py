@@ -76,3 +76,8 @@ def test_class_tables(raw):
     assert cleaning.imbalance_ratio(raw.filter("churn = 0 or n = 99")).first()[0] == 0.25
     got = {r["churn"]: r["median_n"] for r in cleaning.median_by_class(raw, "n").collect()}
     assert got == {0: 4.0, 1: 11.5}
+
+
+def test_approximate_medians(raw):
+    got = {r["column"]: r["median"] for r in cleaning.medians(raw, ["n"], accuracy=100).collect()}
+    assert got == {"n": 10.0}

@@ -129,3 +129,10 @@ def test_event_rows_multiply_customers(spark):
     events = spark.sql("select 1L customer_id, d churn_date from values (date'2022-01-01'), (null) t(d)")
     rows = extract.churn_dataset(customers, others, others, events).collect()
     assert sorted(r["churn"] for r in rows) == [0, 1]
+
+
+def test_approximate_counts_read_each_row_once(stored):
+    exact = extract.activity_metrics(stored["customer_activity"], star.ACTIVITY_AS_OF, 20)
+    quick = extract.activity_metrics(stored["customer_activity"], star.ACTIVITY_AS_OF, 20, True)
+    assert "Expand" in plan(exact) and "Expand" not in plan(quick)
+    assert quick.columns == exact.columns and quick.count() == exact.count()

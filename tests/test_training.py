@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 import registry
 from keepwell.plans import evaluation, training
-from keepwell.sources import runs
+from keepwell.plans.churn_run import run_churn_model
+from keepwell.sources import runs, tables
 from keepwell.sources.star_binding import StarBinding
 
 DATA = "/root/testdata/sf0.01"
@@ -133,8 +134,22 @@ def test_balanced_training_parts(engineered):
     assert balanced.rebalanced() is balanced
 
 
-def test_all_rows_may_be_used_for_fitting(engineered):
+def test_whole_run_from_a_file(spark, folder):
+    churn = registry.churn_table(StarBinding(spark, DATA))
+    tables.write_report(churn, f"{folder}/in", "csv")
     grid = [training.logistic_grid((1.0,), ("l2",), (None,))]
-    result = training.train_select(engineered, grid, folds=2, fit_scope="all", rebalance=None)
-    mean, _ = result.fitted.moments["tenure_months"]
-    assert mean == pytest.approx(engineered.agg(F.avg("tenure_months")).first()[0])
+    result = run_churn_model(
+        f"{folder}/in", f"{folder}/out", spark, tables.CHURN_SCHEMA, grid,
+        threshold=0.2, folds=2, fit_scope="all", rebalance=None,
+    )
+    mean, sd = result.fitted.moments["senior_citizen"]
+    rows = registry.unique_customers(StarBinding(spark, DATA))
+    assert mean == pytest.approx(rows.agg(F.avg("senior_citizen")).first()[0])
+    impact = spark.read.option("header", True).csv(f"{folder}/out/reports/business_impact").first()
+    scored = result.scored[result.best_name]
+    assert int(impact["customers_targeted"]) == scored.filter("p > 0.2").count()
+    assert spark.read.option("header", True).csv(f"{folder}/out/reports/model_coefficients").count() == 25
+    stages = {r["stage"] for r in runs.read_runs(spark, f"{folder}/out/runs").collect()}
+    assert stages == {"setup", "data", "search", "test", "selection", "impact"}
+    pipeline, fitted = runs.load_model(spark, f"{folder}/out/model")
+    assert fitted.names == result.fitted.names and len(pipeline.stages) == 2
