@@ -180,8 +180,8 @@ def class_cuts(
 
     ``ranks`` maps a class size to ascending row counts. The cut points are found by counting hash
     ranges, then single hash values, then the keys that share the one hash value at the cut, so the
-    table itself is never sorted or shuffled. Exact when keys are unique; a repeated key is kept
-    whole on the side where its last row falls.
+    table itself is never sorted or shuffled; it is read up to three times, label and key only. Exact
+    when keys are unique; a repeated key is kept whole on one side.
     """
     hashed = df.select(
         F.col(label).alias("label"), F.col(key).alias("key"), key_hash(df, key, seed).alias("hash")

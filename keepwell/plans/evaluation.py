@@ -120,9 +120,8 @@ def roc_curve(scored: DataFrame) -> DataFrame:
         [F.desc("p")],
         {"true_positives": F.col("positives"), "false_positives": F.col("negatives")},
     )
-    totals = scored.agg(
-        F.count(F.when(F.col("label") == 1, 1)).alias("p"),
-        F.count(F.when(F.col("label") == 0, 1)).alias("n"),
+    totals = steps.agg(
+        F.max("true_positives").alias("p"), F.max("false_positives").alias("n")
     ).first()
     points = steps.select(F.col("p").alias("threshold"), "false_positives", "true_positives")
     none = F.lit(0).cast("long")
@@ -168,6 +167,13 @@ def best_model(comparison: DataFrame) -> DataFrame:
     return comparison.orderBy(F.desc("roc_auc"), "train_order").limit(1)
 
 
+def _placed_groups(scored: DataFrame) -> DataFrame:
+    """Equal rows with their number and the last position they take in the score order."""
+    groups = scored.groupBy("p", "customer_id", "label").agg(F.count("*").alias("rows"))
+    order = [F.desc("p"), F.col("customer_id"), F.col("label")]
+    return running_totals(groups, order, {"upto": F.col("rows")})
+
+
 def decile_lift(scored: DataFrame, tiles: int = 10) -> DataFrame:
     """Churn by tile of the score order, tile 1 holding the highest scores.
 
@@ -175,10 +181,8 @@ def decile_lift(scored: DataFrame, tiles: int = 10) -> DataFrame:
     scores are ordered by customer id, then label. Equal rows are counted first and a group that
     crosses a tile edge is divided between the tiles by count.
     """
-    groups = scored.groupBy("p", "customer_id", "label").agg(F.count("*").alias("rows"))
-    order = [F.desc("p"), F.col("customer_id"), F.col("label")]
-    placed = running_totals(groups, order, {"upto": F.col("rows")})
-    total = scored.count()
+    placed = _placed_groups(scored)
+    total = placed.agg(F.max("upto")).first()[0] or 0
     size, larger = divmod(total, tiles)
     edges = [size * t + min(t, larger) for t in range(tiles + 1)]
     parts = [
@@ -228,15 +232,16 @@ def _with_lift(bands: DataFrame, band: str) -> DataFrame:
 
 def high_risk_band(scored: DataFrame, fractions: Sequence[float] = (0.15, 0.20)) -> DataFrame:
     """Churn rate of the top share of customers by score and its multiple of the average rate."""
-    groups = scored.groupBy("p", "customer_id", "label").agg(F.count("*").alias("rows"))
-    order = [F.desc("p"), F.col("customer_id"), F.col("label")]
-    placed = running_totals(groups, order, {"upto": F.col("rows")})
-    sums = scored.agg(F.count("*").alias("n"), F.sum("label").alias("churners")).first()
-    average = sums["churners"] / sums["n"] if sums["n"] else 0.0
+    placed = _placed_groups(scored)
+    sums = placed.agg(
+        F.sum("rows").alias("n"), F.sum(F.col("rows") * F.col("label")).alias("churners")
+    ).first()
+    total = sums["n"] or 0
+    average = sums["churners"] / total if total else 0.0
     before = F.col("upto") - F.col("rows")
     bands = []
     for fraction in fractions:
-        size = int(sums["n"] * fraction + 0.5)
+        size = int(total * fraction + 0.5)
         inside = F.greatest(F.least("upto", F.lit(size)) - before, F.lit(0))
         bands.append(
             F.struct(

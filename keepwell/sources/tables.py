@@ -53,26 +53,43 @@ def load_csv(
     Fields are read as text so that every missing-value token can be turned into NULL before the
     cast. Without a schema the types are inferred, which costs one extra pass over the file.
     """
-    header = spark.read.option("header", True)
+    reader = spark.read.option("header", True)
+    if schema is not None:
+        text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        reader = reader.option("enforceSchema", False).schema(text_schema)
+    raw = require_columns(reader.csv(path), required)
+    text = raw.select(
+        *[F.when(~F.upper(F.trim(F.col(c))).isin(*MISSING_TOKENS), F.col(c)).alias(c) for c in raw.columns]
+    )
     if schema is None:
-        df = header.option("inferSchema", True).option("nanValue", "NaN").csv(path)
-        fields = {f.name: f.dataType for f in df.schema.fields}
-        cleaned = [
-            F.when(F.upper(F.trim(F.col(n))).isin(*MISSING_TOKENS), None).otherwise(F.col(n)).alias(n)
-            if isinstance(t, T.StringType)
-            else F.col(n)
-            for n, t in fields.items()
-        ]
-        return require_columns(df.select(*cleaned), required)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = header.option("enforceSchema", False).schema(text_schema).csv(path)
-    typed = [
-        F.when(~F.upper(F.trim(F.col(f.name))).isin(*MISSING_TOKENS), F.col(f.name))
-        .cast(f.dataType)
-        .alias(f.name)
-        for f in schema.fields
-    ]
-    return require_columns(raw.select(*typed), required)
+        kinds = _inferred_types(text)
+    else:
+        kinds = {f.name: f.dataType for f in schema.fields}
+    return text.select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
+
+
+def _inferred_types(text: DataFrame) -> dict[str, T.DataType]:
+    """Narrowest of bigint, double and boolean that holds every value of a column, else string."""
+    tests = {
+        "bigint": lambda c: F.col(c).try_cast("bigint").isNotNull(),
+        "double": lambda c: F.col(c).try_cast("double").isNotNull(),
+        "boolean": lambda c: F.lower(F.trim(F.col(c))).isin("true", "false"),
+    }
+    kinds = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+    row = text.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(text.columns)],
+        *[
+            F.count(F.when(test(c), 1)).alias(f"{kind}{i}")
+            for i, c in enumerate(text.columns)
+            for kind, test in tests.items()
+        ],
+    ).first()
+    return {
+        c: next(
+            (kinds[k] for k in kinds if row[f"n{i}"] and row[f"{k}{i}"] == row[f"n{i}"]), T.StringType()
+        )
+        for i, c in enumerate(text.columns)
+    }
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

@@ -25,7 +25,7 @@ def test_csv_tokens_become_null(spark, folder):
     with open(path, "w") as f:
         f.write("\n".join(lines) + "\n")
     inferred = tables.load_csv(spark, path).orderBy("customer_id").collect()
-    assert [r["gender"] for r in inferred] == [None, None, "Male"]
+    assert [tuple(r) for r in inferred] == [(1, 0, None, 2.5), (2, 1, None, None), (3, None, "Male", None)]
     schema = tables.T.StructType(
         [f for f in tables.CHURN_SCHEMA.fields if f.name in ("customer_id", "churn", "gender", "monthly_charges")]
     )
@@ -34,6 +34,14 @@ def test_csv_tokens_become_null(spark, folder):
     assert [tuple(r) for r in typed] == [(1, 0, None, 2.5), (2, 1, None, None), (3, None, "Male", None)]
 
 
+def test_inferred_types(spark, folder):
+    with open(f"{folder}/t.csv", "w") as f:
+        f.write("a,b,c,d,e\n1,1.5,true,x,NA\nNA,2,False,1,\n-7,nan,TRUE,2,null\n")
+    assert tables.load_csv(spark, f"{folder}/t.csv", required=()).dtypes == [
+        ("a", "bigint"), ("b", "double"), ("c", "boolean"), ("d", "string"), ("e", "string"),
+    ]
+
+
 def test_csv_without_required_columns_is_refused(spark, folder):
     with open(f"{folder}/bad.csv", "w") as f:
         f.write("customer_id,gender\n1,Male\n")
