@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keepwell.operators.neighbours import BOX_ROWS, nearest_neighbours
 from keepwell.operators.ordering import HASH_PRIME, class_cuts, cuts_passed, key_hash
@@ -72,9 +73,16 @@ def smote(
     return result
 
 
+def _stand_in(rows: DataFrame, key: str) -> Column:
+    """Identifies the one point whose rows have no key; sorts before the keys."""
+    whole = isinstance(rows.schema[key].dataType, T.IntegralType)
+    return F.lit(-(2**63)) if whole else F.lit("")
+
+
 def _synthetic(rows, features, label, key, n, needed, k, seed, box_rows) -> DataFrame:
     rows = materialise(rows.withColumn("vector", F.array(*features)), "minority")
-    distinct = rows.groupBy("vector").agg(F.min(key).alias("pid"), F.count("*").alias("copies"))
+    smallest = F.coalesce(F.min(key), _stand_in(rows, key)).alias("pid")
+    distinct = rows.groupBy("vector").agg(smallest, F.count("*").alias("copies"))
     near = nearest_neighbours(materialise(distinct, "points"), k, box_rows)
     cuts = class_cuts(rows, label, key, lambda _: [needed % n], seed)
     extra = (cuts_passed(rows, label, key, cuts, seed) == 0).cast("long")

@@ -102,6 +102,19 @@ def test_few_and_repeated_minority_rows(spark):
     assert len(made) == 10 and made["a"].between(5, 7).all()
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_a_row_without_key_takes_part(spark, kind):
+    rows = [(i, 0, float(i), 1.0) for i in range(30)]
+    rows += [(None, 1, 3.0, 2.0), (2**60 + 1, 1, 5.0, 4.0), (2**60 + 2, 1, 9.0, 6.0)]
+    df = spark.createDataFrame(rows, "customer_id bigint, churn int, a double, b double")
+    df = df.withColumn("customer_id", F.col("customer_id").cast(kind))
+    made = balance.smote(df, ["a", "b"]).filter("copy_no > 0")
+    assert made.count() == 27
+    assert made.groupBy("customer_id").count().filter("count = 9").count() == 3
+    corners = [(3.0, 2.0), (5.0, 4.0), (9.0, 6.0)]
+    assert made.filter(F.struct("a", "b").isin(*[F.struct(F.lit(x), F.lit(y)) for x, y in corners])).count() < 5
+
+
 def test_large_quota_is_generated_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(balance, "COPIES_PER_BLOCK", 7)
     df = spark.range(103).select(
