@@ -8,11 +8,12 @@ few per query and never the pairs.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,46 +27,48 @@ MIN_SAMPLE_PER_BOX = 16
 QUERY_ROWS = 4_096
 BLOCK_CELLS = 2_000_000
 
+# The functions of this module travel to the executors with the job, installed there or not.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
-@dataclass
-class BoxTree:
-    """Binary splits as parallel arrays; ``feature`` is -1 in a leaf and a node number names a box."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-
-    @classmethod
-    def grow(cls, sample: np.ndarray, box_rows: int) -> BoxTree:
-        nodes: list[list] = [[-1, 0.0, 0, 0]]
-        open_nodes = [(0, sample)]
-        while open_nodes:
-            node, rows = open_nodes.pop()
-            spread = rows.var(axis=0) if len(rows) > box_rows else np.zeros(1)
-            if not spread.max() > 0:
-                continue
-            feature = int(spread.argmax())
-            values = rows[:, feature]
-            threshold = np.partition(values, (len(values) - 1) // 2)[(len(values) - 1) // 2]
-            if threshold == values.max():
-                threshold = values[values < threshold].max()
-            nodes[node] = [feature, threshold, len(nodes), len(nodes) + 1]
-            lower = values <= threshold
-            open_nodes += [(len(nodes), rows[lower]), (len(nodes) + 1, rows[~lower])]
-            nodes += [[-1, 0.0, 0, 0], [-1, 0.0, 0, 0]]
-        columns = list(zip(*nodes))
-        return cls(
-            np.array(columns[0]), np.array(columns[1], float), np.array(columns[2]), np.array(columns[3])
-        )
 
-    def box_of(self, points: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(points), dtype=np.int64)
-        while (inner := np.flatnonzero(self.feature[node] >= 0)).size:
-            at = node[inner]
-            low = points[inner, self.feature[at]] <= self.threshold[at]
-            node[inner] = np.where(low, self.left[at], self.right[at])
-        return node
+def grow_tree(sample: np.ndarray, box_rows: int) -> Tree:
+    """Binary splits as parallel arrays (feature, threshold, left, right).
+
+    A node without a split has feature -1; its number names a box.
+    """
+    nodes: list[list] = [[-1, 0.0, 0, 0]]
+    open_nodes = [(0, sample)]
+    while open_nodes:
+        node, rows = open_nodes.pop()
+        spread = rows.var(axis=0) if len(rows) > box_rows else np.zeros(1)
+        if not spread.max() > 0:
+            continue
+        feature = int(spread.argmax())
+        values = rows[:, feature]
+        middle = (len(values) - 1) // 2
+        threshold = np.partition(values, middle)[middle]
+        if threshold == values.max():
+            threshold = values[values < threshold].max()
+        nodes[node] = [feature, threshold, len(nodes), len(nodes) + 1]
+        lower = values <= threshold
+        open_nodes += [(len(nodes), rows[lower]), (len(nodes) + 1, rows[~lower])]
+        nodes += [[-1, 0.0, 0, 0], [-1, 0.0, 0, 0]]
+    feature, threshold, left, right = zip(*nodes)
+    return np.array(feature), np.array(threshold, float), np.array(left), np.array(right)
+
+
+def box_of(tree: Tree, points: np.ndarray) -> np.ndarray:
+    """Box number of every point."""
+    feature, threshold, left, right = tree
+    node = np.zeros(len(points), dtype=np.int64)
+    while (inner := np.flatnonzero(feature[node] >= 0)).size:
+        at = node[inner]
+        low = points[inner, feature[at]] <= threshold[at]
+        node[inner] = np.where(low, left[at], right[at])
+    return node
 
 
 def squared_distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -155,12 +158,12 @@ def _boxed(points: DataFrame, size: int, box_rows: int) -> DataFrame:
     sample = points.select("vector").sample(share, seed=7).toPandas()
     sample_rows = max(MIN_SAMPLE_PER_BOX, int(box_rows * share)) if share < 1 else box_rows
     tree = points.sparkSession.sparkContext.broadcast(
-        BoxTree.grow(_stack(sample["vector"]), sample_rows)
+        grow_tree(_stack(sample["vector"]), sample_rows)
     )
 
     @F.pandas_udf(T.LongType())
     def box(vectors: pd.Series) -> pd.Series:
-        return pd.Series(tree.value.box_of(_stack(vectors)))
+        return pd.Series(box_of(tree.value, _stack(vectors)))
 
     return points.withColumn("box", box("vector"))
 

@@ -26,11 +26,11 @@ def running_totals(
     The rows are range-partitioned into slices, each slice is summed on its own, and the sums of the
     slices before it are added: one shuffle by range, one by slice, and a table with one row per
     slice as the only broadcast. The slices are written down in between, so every later step sees
-    the same boundaries. ``order_by`` has to identify a row: aggregate equal rows first.
+    the same boundaries. Their number is at most the number of shuffle partitions and follows the
+    amount of data unless given. ``order_by`` has to identify a row: aggregate equal rows first.
     """
-    if slices is None:
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *order_by)
+    number = () if slices is None else (slices,)
+    ranged = df.repartitionByRange(*number, *order_by)
     sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -35,8 +35,7 @@ def test_neighbours_match_brute_force(spark, box_rows, partitions):
 def test_box_distance_never_exceeds_a_point_inside():
     rng = np.random.default_rng(2)
     points, queries = rng.normal(size=(200, 6)), rng.normal(size=(50, 6)) * 3
-    tree = neighbours.BoxTree.grow(points, 10)
-    boxes = tree.box_of(points)
+    boxes = neighbours.box_of(neighbours.grow_tree(points, 10), points)
     for box in np.unique(boxes):
         inside = points[boxes == box]
         assert len(inside) <= 10
@@ -46,7 +45,7 @@ def test_box_distance_never_exceeds_a_point_inside():
 
 def test_tree_splits_mostly_equal_values():
     points = np.array([[0.0, i] for i in range(5)] + [[1.0, i] for i in range(95)])
-    boxes = neighbours.BoxTree.grow(points, 8).box_of(points)
+    boxes = neighbours.box_of(neighbours.grow_tree(points, 8), points)
     assert np.unique(boxes, return_counts=True)[1].max() <= 8
 
 

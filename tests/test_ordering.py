@@ -4,10 +4,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keepwell.operators import joins
+from keepwell.operators import joins, ordering
 from keepwell.operators.ordering import (
     class_cuts, cuts_passed, exact_quantiles, key_hash, running_totals,
 )
+from keepwell.scratch import materialise
 
 
 def doubles(spark, values):
@@ -98,3 +99,17 @@ def test_heavy_text_keys(spark):
     left = spark.createDataFrame([("x",), ("y",)], "k string")
     right = spark.createDataFrame([("x", i) for i in range(30)], "k string, r int")
     assert joins.left_joins(left, [right], "k", min_rows=5, splits=3).count() == 31
+
+
+def test_slices_follow_the_data_and_keep_the_order(spark, monkeypatch):
+    written = []
+
+    def keep(df, label):
+        written.append(materialise(df, label))
+        return written[-1]
+
+    monkeypatch.setattr(ordering, "materialise", keep)
+    df = spark.range(2_000_000).select("id", (F.col("id") % 3).alias("v"))
+    got = ordering.running_totals(df, [F.desc("id")], {"place": F.lit(1)})
+    assert got.filter(F.col("place") != 2_000_000 - F.col("id")).count() == 0
+    assert written[0].select("_slice").distinct().count() > 1
