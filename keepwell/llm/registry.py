@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import quality_rules, sql
+from keepwell.llm import quality_rules, simhash, sql
 from keepwell.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,15 @@ def _quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(docs, carry=["doc_id"])[0]
 
 
+def _simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    grouped = simhash.simhash_groups(docs, shingle=3, radius=3)
+    return grouped.select("doc_id", "fingerprint", "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_simhash_dedup": _simhash,
         "op10_quality_rules": _quality_rules,
     }
 
