@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import quality_rules, simhash, sql
+from keepwell.llm import line_dedup, quality_rules, simhash, sql, substring_dedup
 from keepwell.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,14 +24,36 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.select("doc_id", "fingerprint", "component_id")
 
 
+def _with_spans(cut: DataFrame) -> DataFrame:
+    """Spans as text, which both engines write alike."""
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return cut.select(
+        "doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", spans).alias("removed")
+    )
+
+
+def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return _with_spans(substring_dedup.substring_dedup(docs, carry=["doc_id", "text"]))
+
+
+def _line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return _with_spans(line_dedup.line_dedup(docs, carry=["doc_id", "text"]))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_simhash_dedup": _simhash,
+        "op4_substring_dedup": _substring_dedup,
+        "op5_line_dedup": _line_dedup,
         "op10_quality_rules": _quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op5_line_dedup": sql.LINE_DEDUP,
         "op10_quality_rules": sql.QUALITY_RULES,
     }

@@ -64,3 +64,90 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND rid NOT IN (SELECT rid FROM outside) AS kept
 FROM f
 """
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, text FROM documents
+), marked AS (
+  SELECT rid, doc_id, regexp_replace(regexp_replace(regexp_replace(text,
+    '(\n)', '\1' || chr(1), 'g'), '([ \t\r])(\p{Lu})', '\1' || chr(1) || '\2', 'g'),
+    '([.!?][ \t\r])([^\s\x01])', '\1' || chr(1) || '\2', 'g') AS t
+  FROM d
+), split AS (
+  SELECT rid, doc_id, string_split(t, chr(1)) AS units FROM marked
+), listed AS (
+  SELECT rid, doc_id, unnest(units) AS unit, unnest(range(len(units))) AS place FROM split
+), sized AS (
+  SELECT *, coalesce(sum(length(unit)) OVER (PARTITION BY rid ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    regexp_replace(trim(lower(unit), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g') AS plain
+  FROM listed
+), worded AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY place) AS number, len(string_split(plain, ' ')) AS words
+  FROM sized WHERE plain <> ''
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id, number) AS nth FROM worded
+), islands AS (
+  SELECT *, number - row_number() OVER (PARTITION BY rid ORDER BY number) AS island FROM ranked WHERE nth > 1
+), runs AS (
+  SELECT rid, min(place) AS p, max(place) AS q, min(start) AS start, max(start + length(unit)) AS stop
+  FROM islands GROUP BY rid, island HAVING sum(words) >= 30
+), kept AS (
+  SELECT s.rid, string_agg(s.unit, '' ORDER BY s.place) AS text
+  FROM sized s WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.rid = s.rid AND s.place BETWEEN r.p AND r.q)
+  GROUP BY s.rid
+), spans AS (
+  SELECT rid, string_agg(start::BIGINT || '-' || stop::BIGINT, ',' ORDER BY start) AS removed, count(*) AS n
+  FROM runs GROUP BY rid
+)
+SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
+  coalesce(spans.n, 0)::BIGINT AS n_removed, coalesce(spans.removed, '') AS removed
+FROM d LEFT JOIN kept ON d.rid = kept.rid LEFT JOIN spans ON d.rid = spans.rid
+"""
+
+LINE_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, text FROM documents
+), split AS (
+  SELECT rid, doc_id, text, string_split(text, chr(10)) AS lines FROM d
+), listed AS (
+  SELECT rid, doc_id, text, unnest(lines) AS bare, unnest(range(len(lines))) AS line, len(lines) AS n_lines FROM split
+), sized AS (
+  SELECT *, bare || CASE WHEN line < n_lines - 1 THEN chr(10) ELSE '' END AS content,
+    regexp_extract_all(bare, '[^\x20\x09-\x0D]+') AS tokens
+  FROM listed
+), placed AS (
+  SELECT *, coalesce(sum(length(content)) OVER (PARTITION BY rid ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized
+), leafed AS (
+  SELECT *, len(tokens) || ' ' || array_to_string(list_transform(list_slice(tokens, 1, 3),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END), ' ') AS leaf
+  FROM placed WHERE len(tokens) > 0
+), inner_lines AS (
+  SELECT * FROM leafed
+  WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text) >= 10)
+), fields AS (
+  SELECT rid, doc_id, text, line, leaf, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM inner_lines
+), constant AS (
+  SELECT leaf, pos, token FROM fields GROUP BY ALL HAVING count(DISTINCT text) >= 10
+), parsed AS (
+  SELECT f.rid, f.doc_id, f.text, f.line,
+    string_agg(CASE WHEN c.pos IS NULL THEN '<*>' ELSE f.token END, ' ' ORDER BY f.pos) AS template
+  FROM fields f LEFT JOIN constant c ON f.leaf = c.leaf AND f.pos = c.pos AND f.token = c.token
+  GROUP BY ALL HAVING 2 * count(c.pos) >= count(*)
+), recurring AS (
+  SELECT template FROM parsed GROUP BY template HAVING count(DISTINCT text) >= 10
+), dropped AS (
+  SELECT rid, line
+  FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, line) AS nth
+    FROM parsed SEMI JOIN recurring USING (template))
+  WHERE nth > 1
+), kept AS (
+  SELECT rid, string_agg(content, '' ORDER BY line) AS text FROM placed ANTI JOIN dropped USING (rid, line) GROUP BY rid
+), spans AS (
+  SELECT rid, count(*) AS n, string_agg(start::BIGINT || '-' || (start + length(content))::BIGINT, ',' ORDER BY line) AS removed
+  FROM placed SEMI JOIN dropped USING (rid, line) GROUP BY rid
+)
+SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
+  coalesce(spans.n, 0)::BIGINT AS n_removed, coalesce(spans.removed, '') AS removed
+FROM d LEFT JOIN kept ON d.rid = kept.rid LEFT JOIN spans ON d.rid = spans.rid
+"""
