@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import line_dedup, quality_rules, simhash, sql, substring_dedup
+from keepwell.llm import line_dedup, packing, quality_rules, simhash, sql, substring_dedup
 from keepwell.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,11 +43,17 @@ def _line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _with_spans(line_dedup.line_dedup(docs, carry=["doc_id", "text"]))
 
 
+def _packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_simhash_dedup": _simhash,
         "op4_substring_dedup": _substring_dedup,
         "op5_line_dedup": _line_dedup,
+        "op7_packing": _packing,
         "op10_quality_rules": _quality_rules,
     }
 
