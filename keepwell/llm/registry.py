@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import line_dedup, packing, quality_rules, simhash, sql, substring_dedup
+from keepwell.llm import (
+    exact_search, line_dedup, packing, quality_rules, sharding, simhash, sql, substring_dedup, token_counts,
+)
 from keepwell.llm.common import read_table
+from keepwell.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,18 +51,36 @@ def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    cache = scratch_path(spark, "token-counts")
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), cache)
+
+
+def _sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_by_bytes(read_table(spark, folder, "documents"), 16)
+
+
+def _exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_search.exact_top_k(read_table(spark, folder, "embeddings"), 5)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_exact_search": _exact_search,
         "op3_simhash_dedup": _simhash,
         "op4_substring_dedup": _substring_dedup,
         "op5_line_dedup": _line_dedup,
+        "op6_token_counts": _token_counts,
         "op7_packing": _packing,
+        "op8_sharding": _sharding,
         "op10_quality_rules": _quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_exact_search": sql.EXACT_SEARCH,
         "op4_substring_dedup": sql.SUBSTRING_DEDUP,
         "op5_line_dedup": sql.LINE_DEDUP,
         "op10_quality_rules": sql.QUALITY_RULES,

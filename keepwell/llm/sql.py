@@ -151,3 +151,19 @@ SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS
   coalesce(spans.n, 0)::BIGINT AS n_removed, coalesce(spans.removed, '') AS removed
 FROM d LEFT JOIN kept ON d.rid = kept.rid LEFT JOIN spans ON d.rid = spans.rid
 """
+
+EXACT_SEARCH = """
+WITH points AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, p.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM points q JOIN points p ON q.vec_id <> p.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
