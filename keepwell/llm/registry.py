@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.llm import (
-    exact_search, line_dedup, packing, quality_rules, sharding, simhash, sql, substring_dedup, token_counts,
+    exact_search, line_dedup, packing, quality_rules, sharding, simhash, sql, substring_dedup, token_counts, tool_chat,
 )
 from keepwell.llm.common import read_table
 from keepwell.scratch import scratch_path
@@ -65,6 +65,38 @@ def _exact_search(spark: SparkSession, folder: str) -> DataFrame:
     return exact_search.exact_top_k(read_table(spark, folder, "embeddings"), 5)
 
 
+#: The tools that the turns of ``conversations`` are read as calls of.
+TOOLS = {
+    "ask": (tool_chat.Parameter("text", "string"), tool_chat.Parameter("words", "integer")),
+    "note": (tool_chat.Parameter("text", "string"), tool_chat.Parameter("words", "string", required=False)),
+}
+
+
+def turn_events(turns: DataFrame) -> DataFrame:
+    """User turns as calls, the turn after each as its result, all others as messages.
+
+    A call with up to eight words is of the tool ``note``, whose schema its integer does not fit; of two
+    calls in a row, the second uses the result of the first.
+    """
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("[^ ]+"))
+    user, answer = F.col("role") == "user", F.col("role") == "assistant"
+    identifier = F.concat(F.lit("q"), F.when(user, F.col("turn")).when(answer, F.col("turn") - 1).cast("string"))
+    uses = F.when(user & (F.col("turn") % 4 >= 2), F.concat(F.lit("q"), (F.col("turn") - 2).cast("string")))
+    arguments = F.to_json(F.struct(words.cast("long").alias("words"), F.col("text").alias("text")))
+    return turns.select(
+        "conv_id", F.col("turn").alias("place"),
+        F.when(user, "call").when(answer, "result").otherwise("message").alias("kind"),
+        identifier.alias("call_id"), uses.alias("depends_on"),
+        F.when(user, F.when(words <= 8, "note").otherwise("ask")).alias("name"),
+        F.when(user, arguments).alias("arguments"), F.when(~user, F.col("text")).alias("content"), "role",
+    )
+
+
+def _tool_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read_table(spark, folder, "conversations")
+    return tool_chat.link_tool_calls(turn_events(turns), tool_chat.tool_table(spark, TOOLS))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_search": _exact_search,
@@ -74,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op6_token_counts": _token_counts,
         "op7_packing": _packing,
         "op8_sharding": _sharding,
+        "op9_tool_chat": _tool_chat,
         "op10_quality_rules": _quality_rules,
     }
 
@@ -83,5 +116,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_exact_search": sql.EXACT_SEARCH,
         "op4_substring_dedup": sql.SUBSTRING_DEDUP,
         "op5_line_dedup": sql.LINE_DEDUP,
+        "op9_tool_chat": sql.TOOL_CHAT,
         "op10_quality_rules": sql.QUALITY_RULES,
     }

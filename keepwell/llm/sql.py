@@ -167,3 +167,36 @@ WITH points AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+TOOL_CHAT = """
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn AS place, role, text,
+    CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+    CASE role WHEN 'user' THEN 'q' || turn WHEN 'assistant' THEN 'q' || (turn - 1) END AS call_id,
+    CASE WHEN role = 'user' AND turn % 4 >= 2 THEN 'q' || (turn - 2) END AS depends_on,
+    len(regexp_extract_all(coalesce(text, ''), '[^ ]+')) AS words
+  FROM conversations
+), n AS (
+  SELECT *, CASE kind WHEN 'call' THEN 'c:' || call_id WHEN 'result' THEN 'r:' || call_id END AS node,
+    CASE kind WHEN 'result' THEN 'c:' || call_id WHEN 'call' THEN 'r:' || depends_on END AS parent,
+    CASE WHEN kind = 'call' THEN CASE WHEN words <= 8 THEN 'note' ELSE 'ask' END END AS name
+  FROM e
+), chain AS (
+  SELECT rid, conv_id, parent, place AS ready, 0 AS depth FROM n
+  UNION ALL
+  SELECT c.rid, c.conv_id, p.parent, greatest(c.ready, p.place), c.depth + 1
+  FROM chain c JOIN n p ON p.conv_id = c.conv_id AND p.node = c.parent
+), ranks AS (
+  SELECT rid, max(ready) AS ready, max(depth) AS depth FROM chain GROUP BY rid
+)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY ready, depth, place) - 1 AS position, kind, call_id,
+  CASE WHEN kind = 'message' THEN 'message'
+    WHEN kind = 'result' AND depth = 0 THEN 'orphan'
+    WHEN kind = 'call' AND NOT EXISTS (SELECT 1 FROM n r WHERE r.conv_id = n.conv_id AND r.node = 'r:' || n.call_id)
+    THEN 'unanswered' ELSE 'ok' END AS status,
+  CASE WHEN name = 'note' THEN 'type words' ELSE '' END AS errors,
+  '{"arguments":' || CASE WHEN kind = 'call' THEN json_object('text', text, 'words', words)::VARCHAR ELSE 'null' END || ',' ||
+    substr(json_object('call_id', call_id, 'content', CASE WHEN kind <> 'call' THEN text END, 'depends_on', depends_on,
+      'kind', kind, 'name', name, 'role', role)::VARCHAR, 2) AS json
+FROM n JOIN ranks USING (rid)
+"""
