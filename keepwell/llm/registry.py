@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.llm import (
-    exact_search, line_dedup, packing, quality_rules, sharding, simhash, sql, substring_dedup, token_counts, tool_chat,
+    exact_search, line_dedup, packing, quality_rules, sampled_pieces, sharding, simhash, sql, substring_dedup, token_counts, tool_chat,
 )
 from keepwell.llm.common import read_table
 from keepwell.scratch import scratch_path
@@ -51,6 +51,12 @@ def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def _sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the sampled segmentations, and of the texts that they decode to."""
+    docs = read_table(spark, folder, "documents")
+    return sampled_pieces.sample_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
 def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     cache = scratch_path(spark, "token-counts")
@@ -99,6 +105,7 @@ def _tool_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sampled_pieces": _sampled_pieces,
         "op2_exact_search": _exact_search,
         "op3_simhash_dedup": _simhash,
         "op4_substring_dedup": _substring_dedup,
