@@ -33,6 +33,17 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Round a double half away from zero, by floor(|value| * 10**digits + 1/2).
+
+    The same few double operations give the same last digit in every engine.
+    """
+    scale = F.lit(10.0**digits)
+    size = F.floor(F.abs(value) * scale + 0.5).cast("double") / scale
+    rounded = F.when(value < 0, -size).otherwise(size)
+    return F.when(F.abs(value) * scale < 2.0**52, rounded).otherwise(value)
+
+
 def percent(flag_column: Column) -> Column:
     """Share of ones in percent, two decimals."""
     return F.round(F.avg(flag_column) * 100, 2)

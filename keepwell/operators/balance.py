@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keepwell.operators.cleaning import class_values
 from keepwell.operators.neighbours import BOX_ROWS, nearest_neighbours
 from keepwell.operators.ordering import HASH_PRIME, class_cuts, cuts_passed, key_hash
 from keepwell.scratch import materialise
@@ -17,13 +18,15 @@ COPIES_PER_BLOCK = 10_000
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class, one small row each."""
-    return {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
+    """Rows per class, one small row each; rows without a label count nowhere."""
+    class_values(df, label)
+    known = df.filter(F.col(label).isNotNull())
+    return {row[label]: row["count"] for row in known.groupBy(label).count().collect()}
 
 
 def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
     """Balanced weight of each class: rows / (classes * rows of the class)."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
     totals = counts.agg((F.sum("n") / F.count("*")).alias("share"))
     return counts.withColumn("weight", totals.scalar() / F.col("n"))
 
@@ -39,8 +42,8 @@ def weight_column(counts: dict, label: str) -> Column:
 
 
 def needs_rebalancing(counts: dict, balanced_above: float = BALANCED_ABOVE) -> bool:
-    """True when the smallest class is below the given share of the largest."""
-    return min(counts.values()) / max(counts.values()) < balanced_above
+    """True when the smallest class is below the given share of the largest; not without any class."""
+    return bool(counts) and min(counts.values()) / max(counts.values()) < balanced_above
 
 
 def smote(
@@ -58,10 +61,11 @@ def smote(
     rows the key of their source row and 1, 2, ... Quotas are dealt evenly in key-hash order, and
     neighbour and position on the segment come from key, copy number and seed, so the outcome does
     not depend on partitioning. ``key`` must be unique. Fewer than k neighbours: all of them are
-    used.
+    used. Rows without a label belong to no class and are left out.
     """
+    df = df.filter(F.col(label).isNotNull())
     counts = class_counts(df, label)
-    target = max(counts.values())
+    target = max(counts.values(), default=0)
     doubles = [F.col(c).cast("double").alias(c) for c in features]
     result = df.select(key, label, *doubles, F.lit(0).cast("long").alias("copy_no"))
     for value, n in counts.items():

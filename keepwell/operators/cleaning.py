@@ -14,6 +14,9 @@ from keepwell.scratch import materialise
 from keepwell.sources.tables import numeric_columns, string_columns
 
 
+MAX_CLASSES = 1000
+
+
 def drop_duplicate_keys(
     df: DataFrame, key: str = "customer_id", order_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -56,7 +59,9 @@ def medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = None)
     if accuracy is None:
         found = exact_quantiles(df, {c: F.col(c) for c in columns})
     else:
-        row = df.agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double") for c in columns]).first()
+        missing = F.lit(None).cast("double")
+        values = [F.nanvl(F.col(c).cast("double"), missing) for c in columns]
+        row = df.agg(*[F.percentile_approx(v, 0.5, accuracy) for v in values]).first()
         found = dict(zip(columns, row))
     return df.sparkSession.createDataFrame(list(found.items()), "column string, median double")
 
@@ -102,6 +107,14 @@ def clean(
     return unique.withColumns(fills) if fills else unique
 
 
+def class_values(df: DataFrame, label: str) -> list:
+    """Values of a label, NULL left out; an error beyond ``MAX_CLASSES``, for then it is no class label."""
+    found = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"column {label!r} has more than {MAX_CLASSES} values")
+    return sorted(row[0] for row in found)
+
+
 def class_distribution(df: DataFrame, label: str = "churn") -> DataFrame:
     """Rows per class, largest class first."""
     return df.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label)
@@ -125,7 +138,7 @@ def label_profile(df: DataFrame, by: str, label: str = "churn") -> DataFrame:
 def median_by_class(df: DataFrame, measure: str = "tenure_months", label: str = "churn") -> DataFrame:
     """Exact median of a measure in every class of the label."""
     known = df.filter(F.col(label).isNotNull())
-    classes = [row[0] for row in known.groupBy(label).count().collect()]
+    classes = class_values(known, label)
     found = exact_quantiles(
         known, {c: F.when(F.col(label) == F.lit(c), F.col(measure)) for c in classes}
     )

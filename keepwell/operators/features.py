@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -93,10 +94,13 @@ class FittedFeatures:
     def encode(self, df: DataFrame) -> DataFrame:
         """Replace strings by codes. A value not seen in fitting is an error when the row is computed.
 
-        String columns without fitted labels are dropped.
+        String columns without fitted labels are dropped, with a warning.
         """
         known_names = {self.key, self.label, *self.encoded}
-        df = df.drop(*[c for c in string_columns(df) if c not in known_names])
+        unknown = [c for c in string_columns(df) if c not in known_names]
+        if unknown:
+            warnings.warn(f"columns without fitted labels are dropped: {unknown}", stacklevel=2)
+        df = df.drop(*unknown)
         for column in self.encoded:
             token = text_token(F.col(column))
             unseen = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), token))
@@ -172,10 +176,13 @@ class FittedFeatures:
         return self
 
 
-def fit_features(df: DataFrame, key: str = "customer_id", label: str = "churn") -> FittedFeatures:
+def fit_features(
+    df: DataFrame, key: str = "customer_id", label: str = "churn", labels_from: DataFrame | None = None
+) -> FittedFeatures:
     """Learn label codes and scaling moments for every column but key and label.
 
-    Numeric and string columns are used and scaled, booleans are used as they are.
+    Numeric and string columns are used and scaled, booleans are used as they are. ``labels_from`` is a
+    table with further rows, such as the test part, whose categories have codes too.
     """
     if label not in df.columns:
         raise ValueError(f"target column {label!r} not found")
@@ -191,7 +198,7 @@ def fit_features(df: DataFrame, key: str = "customer_id", label: str = "churn")
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     scaled = [f.name for f in fields if not isinstance(f.dataType, T.BooleanType)]
     empty = df.sparkSession.createDataFrame([], "column string, value string, code int")
-    labels = fit_labels(df, text) if text else empty
+    labels = fit_labels(df if labels_from is None else labels_from, text) if text else empty
     fitted = FittedFeatures(labels, {}, names, text, key, label)._with_inline()
     if scaled:
         for row in feature_moments(fitted.encode(df), scaled).collect():

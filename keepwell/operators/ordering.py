@@ -59,15 +59,20 @@ class _Rank:
     expr: Column
     rank: int
     rows: int
-    low: float = -math.inf
-    high: float = math.inf
+    low: float | None = None
+    high: float | None = None
     below: int = 0
     value: float | None = None
 
     @property
     def inside(self) -> Column:
-        """The values strictly inside the bracket, NULL elsewhere."""
-        return F.when((self.expr > F.lit(self.low)) & (self.expr < F.lit(self.high)), self.expr)
+        """The values strictly inside the bracket, whose open ends are None, NULL elsewhere."""
+        inside = self.expr.isNotNull()
+        if self.low is not None:
+            inside &= self.expr > F.lit(self.low)
+        if self.high is not None:
+            inside &= self.expr < F.lit(self.high)
+        return F.when(inside, self.expr)
 
 
 def _narrow(df: DataFrame, searches: Sequence[_Rank]) -> None:
@@ -116,16 +121,14 @@ def exact_quantiles(
     """Exact interpolated quantile of each numeric expression, NULLs skipped.
 
     A bracket around the wanted rank is narrowed with quantile sketches of fixed size until at most
-    ``exact_rows`` values are left inside, and only those are ranked exactly. NaN and infinite values
-    count as missing. Values tied at the edge
-    of a bracket are settled by counting. All expressions share the passes; the driver sees counts
+    ``exact_rows`` values are left inside, and only those are ranked exactly. NULL and NaN are missing;
+    infinite values are values. Values tied at the edge of a bracket are settled by counting. All expressions share the passes; the driver sees counts
     and bracket edges only.
     """
     missing = F.lit(None).cast("double")
     values = {}
     for name, expr in exprs.items():
-        value = F.nanvl(expr.cast("double"), missing)
-        values[name] = F.when(F.abs(value) < F.lit(math.inf), value)
+        values[name] = F.nanvl(expr.cast("double"), missing)
     sizes = df.agg(*[F.count(v).alias(str(i)) for i, v in enumerate(values.values())]).first()
     searches: dict[str, tuple[float, list[_Rank]]] = {}
     for i, (name, expr) in enumerate(values.items()):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keepwell.functions.columns import flag, ratio
 from keepwell.operators.ordering import running_totals
 from keepwell.plans.reports import RISK_SIGNALS, with_risk_signals
+from keepwell.scratch import materialise
 
 METRICS = ("accuracy", "roc_auc", "f1_score", "churn_precision", "churn_recall", "churn_f1")
 
@@ -110,16 +111,32 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     return steps.agg(ratio(outranked, F.sum(positives) * F.sum(negatives)).alias("roc_auc"))
 
 
-def roc_curve(scored: DataFrame) -> DataFrame:
+def _without_collinear(steps: DataFrame) -> DataFrame:
+    """Steps that differ from the step after them, and the first and the last; joined by their place."""
+    after = steps.select(
+        (F.col("place") - 1).alias("place"),
+        F.col("positives").alias("next_positives"),
+        F.col("negatives").alias("next_negatives"),
+    )
+    same = (F.col("positives") == F.col("next_positives")) & (F.col("negatives") == F.col("next_negatives"))
+    keep = (F.col("place") == 1) | ~F.coalesce(same, F.lit(False))
+    return steps.join(after, "place", "left").filter(keep)
+
+
+def roc_curve(scored: DataFrame, all_points: bool = False) -> DataFrame:
     """Curve points per distinct score, highest first, after the origin (whose threshold is NULL).
 
-    A rate is NULL when its class is missing.
+    A point between two equal steps lies on the line through its neighbours and is left out unless
+    ``all_points``; the points of the highest and the lowest score always stay. A rate is NULL when its
+    class is missing.
     """
     steps = running_totals(
         _score_steps(scored),
         [F.desc("p")],
-        {"true_positives": F.col("positives"), "false_positives": F.col("negatives")},
+        {"true_positives": F.col("positives"), "false_positives": F.col("negatives"), "place": F.lit(1)},
     )
+    if not all_points:
+        steps = _without_collinear(materialise(steps, "steps"))
     totals = steps.agg(
         F.max("true_positives").alias("p"), F.max("false_positives").alias("n")
     ).first()

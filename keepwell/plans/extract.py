@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.columns import as_of_column, flag, month_boundaries
@@ -50,6 +50,12 @@ def churn_dataset(
     )
 
 
+def _exact_average(measure: str) -> Column:
+    """Average of a column from its exact sum in millionths, the same in every order of the rows."""
+    total = F.sum(F.col(measure).cast("decimal(18,6)")).cast("double")
+    return F.try_divide(total, F.count(measure).cast("double"))
+
+
 def activity_metrics(
     activity: DataFrame,
     as_of: date | None = None,
@@ -72,7 +78,7 @@ def activity_metrics(
             month_boundaries(start, end).alias("activity_tenure_months"),
             F.datediff(end, start).alias("tenure_days"),
             distinct("login_date").alias("total_logins_last_90_days"),
-            F.avg("session_duration_minutes").alias("avg_session_duration"),
+            _exact_average("session_duration_minutes").alias("avg_session_duration"),
             distinct("support_ticket_id").alias("total_support_tickets"),
             F.sum(flag(F.col("ticket_status") == "Unresolved")).alias("unresolved_tickets"),
             F.sum(flag(F.col("payment_status") == "Late")).alias("late_payments"),

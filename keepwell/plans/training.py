@@ -317,8 +317,8 @@ def train_select(
 ) -> TrainingRun:
     """Split, prepare, search every grid, evaluate on the test part and pick the best model.
 
-    ``df`` is cleaned and engineered. ``fit_scope="train"`` learns codes and moments on the training
-    part only, ``"all"`` on every row.
+    ``df`` is cleaned and engineered. Label codes come from every row, so a category may be absent from
+    the training part; ``fit_scope="train"`` learns moments on that part only, ``"all"`` on every row.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError("fit_scope is 'train' or 'all'")
@@ -326,7 +326,7 @@ def train_select(
     split = materialise(stratified_split(df, label, key, test_fraction, seed), "split")
     train_part = split.filter(F.col("split") == "train").drop("split")
     test_part = split.filter(F.col("split") == "test").drop("split")
-    fitted = fit_features(train_part if fit_scope == "train" else df, key, label)
+    fitted = fit_features(train_part if fit_scope == "train" else df, key, label, labels_from=df)
     train = TrainingTable(
         materialise(fitted.transform(train_part), "train"), fitted.names, key, label, seed
     )

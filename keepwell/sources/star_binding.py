@@ -45,13 +45,13 @@ class StarBinding:
     """Lazily built churn tables over one test-data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark = spark
-        self._folder = folder
+        self.spark = spark
+        self.folder = folder
 
     def source(self, name: str) -> DataFrame:
         """Scan with a declared schema, which saves a look into the files."""
-        reader = self._spark.read.schema(SOURCE_SCHEMAS[name])
-        return reader.parquet(f"{self._folder}/{name}.parquet")
+        reader = self.spark.read.schema(SOURCE_SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def base(self) -> DataFrame:
         orders = (

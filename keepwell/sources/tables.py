@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REQUIRED_COLUMNS = ("customer_id", "churn")
+# Stands for no field at all, so that an empty one is still seen as a field.
+NO_FIELD = "\x00"
 
-# Text tokens read as missing in delimited files (compared in upper case).
+# Fields read as missing in delimited files, compared as they stand.
 MISSING_TOKENS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NAN", "1.#IND", "1.#QNAN", "<NA>", "N/A",
-    "NA", "NAN", "NONE", "NULL",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# What a field must look like before it is taken for a number.
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(inf|Infinity)\s*$"
+
 CHURN_SCHEMA = T.StructType(
     [T.StructField("customer_id", T.LongType())]
     + [T.StructField("gender", T.StringType()), T.StructField("senior_citizen", T.IntegerType())]
@@ -47,20 +53,33 @@ def load_csv(
     path: str,
     schema: T.StructType | None = None,
     required: Iterable[str] = REQUIRED_COLUMNS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a delimited file with a header.
 
-    Fields are read as text so that every missing-value token can be turned into NULL before the
-    cast. Without a schema the types are inferred, which costs one extra pass over the file.
+    Fields may be quoted; a quote inside one is doubled. Fields are read as text so that every
+    missing-value token can be turned into NULL before the cast. Rows with fewer fields than the header
+    end in NULLs, and a row with more is an error when it is read. Without a schema the types are
+    inferred, which costs one extra pass over the file. Line ends inside quotes need ``multi_line``, for
+    which each file is read by one task; turn it off for large files that are known to have none.
     """
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        reader = reader.option("enforceSchema", False).schema(text_schema)
-    raw = require_columns(reader.csv(path), required)
-    text = raw.select(
-        *[F.when(~F.upper(F.trim(F.col(c))).isin(*MISSING_TOKENS), F.col(c)).alias(c) for c in raw.columns]
+    reader = (
+        spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("nullValue", NO_FIELD)
+        .option("multiLine", multi_line)
     )
+    names = reader.csv(path).columns
+    if schema is not None and names != schema.names:
+        raise ValueError(f"header {names} differs from the schema {schema.names}")
+    extra = "_beyond_header"
+    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, extra]])
+    read = reader.schema(text_schema).csv(path)
+    overlong = F.raise_error(F.lit(f"row with more than {len(names)} fields")).cast("boolean")
+    whole = read.filter(F.when(F.col(extra).isNotNull(), overlong).otherwise(F.lit(True)))
+    raw = require_columns(whole.drop(extra), required)
+    text = raw.select(*[F.when(~F.col(c).isin(*MISSING_TOKENS), F.col(c)).alias(c) for c in raw.columns])
     if schema is None:
         kinds = _inferred_types(text)
     else:
@@ -71,8 +90,8 @@ def load_csv(
 def _inferred_types(text: DataFrame) -> dict[str, T.DataType]:
     """Narrowest of bigint, double and boolean that holds every value of a column, else string."""
     tests = {
-        "bigint": lambda c: F.col(c).try_cast("bigint").isNotNull(),
-        "double": lambda c: F.col(c).try_cast("double").isNotNull(),
+        "bigint": lambda c: F.col(c).rlike(WHOLE_NUMBER) & F.col(c).try_cast("bigint").isNotNull(),
+        "double": lambda c: F.col(c).rlike(NUMBER) & F.col(c).try_cast("double").isNotNull(),
         "boolean": lambda c: F.lower(F.trim(F.col(c))).isin("true", "false"),
     }
     kinds = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
@@ -112,8 +131,12 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite a report. The file count follows the partitions of ``df``."""
+    """Overwrite a report. The file count follows the partitions of ``df``.
+
+    Delimited files keep white space at the ends of fields and double the quotes inside.
+    """
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.format(fmt).save(path)

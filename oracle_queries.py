@@ -119,7 +119,8 @@ METRICS = """, metrics as (
          cast(coalesce(max(churn_date), date '2024-01-31') - min(signup_date) as integer)
            as tenure_days,
          count(distinct login_date) as total_logins_last_90_days,
-         round(avg(session_duration_minutes), 6) as avg_session_duration,
+         floor(sum(session_duration_minutes::decimal(18, 6))::double / count(session_duration_minutes)
+               * 1e6 + 0.5) / 1e6 as avg_session_duration,
          count(distinct support_ticket_id) as total_support_tickets,
          cast(sum(if(ticket_status = 'Unresolved', 1, 0)) as bigint) as unresolved_tickets,
          cast(sum(if(payment_status = 'Late', 1, 0)) as bigint) as late_payments,
@@ -453,6 +454,21 @@ COMPARISON = " union all ".join(
 )
 
 
+def _curve(scored: str, all_points: bool, digits: int = 6) -> str:
+    return _with(
+        f"""
+        select null::double as threshold, 0.0::double as fpr, 0.0::double as tpr
+        union all
+        select round(p, {digits}), round(n::double / (select sum(1 - label) from {scored}), {digits}),
+               round(m::double / (select sum(label) from {scored}), {digits})
+        from (select *, sum(pos) over down as m, sum(neg) over down as n, row_number() over down as place,
+                     lead(pos) over down as next_pos, lead(neg) over down as next_neg
+              from (select p, sum(label) as pos, sum(1 - label) as neg from {scored} group by p)
+              window down as (order by p desc))
+        where {all_points} or place = 1 or next_pos is null or next_pos <> pos or next_neg <> neg"""
+    )
+
+
 def evaluation() -> dict[str, str]:
     order = "order by p desc, customer_id, label"
     return {
@@ -487,15 +503,11 @@ def evaluation() -> dict[str, str]:
 )""",
         ),
         "roc_auc": _with(f"select round({_auc('scored')}, 6) as roc_auc"),
-        "roc_curve": _with(
-            """
-            select null::double as threshold, 0.0::double as fpr, 0.0::double as tpr
-            union all
-            select round(p, 6), round(sum(sum(1 - label)) over (order by p desc)::double
-                                      / (select sum(1 - label) from scored), 6),
-                   round(sum(sum(label)) over (order by p desc)::double
-                         / (select sum(label) from scored), 6)
-            from scored group by p"""
+        "roc_curve": _curve("scored", False),
+        "roc_curve_all": _curve("scored", True),
+        "roc_curve_fine": _curve(
+            "(select churn as label, coalesce(total_charges, 0) + customer_id / 1e6::double as p from churn_dataset)",
+            False, 5,
         ),
         "metric_summary": _with(f"select {_metrics('scored')}"),
         "model_comparison": _with(COMPARISON, MODELS),
@@ -551,7 +563,39 @@ def evaluation() -> dict[str, str]:
 def sources() -> dict[str, str]:
     return {
         "csv_round_trip": _with("select * from churn_dataset"),
+        "csv_texts": """
+            select doc_id, case doc_id % 8 when 0 then 'none' when 1 then 'Na' when 2 then ' NA ' when 3 then '1D'
+              when 4 then null when 5 then null
+              else 'say "hi", ok' || chr(10) || ' ' || replace(text, chr(13), '') || ' ' end as note
+            from documents""",
         "report_round_trip": evaluation()["retention_impact"],
+        "medians_with_infinity": _with(
+            """
+            select 'charges' as "column", round(median(case when customer_id % 5 = 0 then 'inf'::double
+              when customer_id % 7 = 0 then '-inf'::double else monthly_charges end), 6) as median
+            from churn_dataset"""
+        ),
+        "test_part_prepared": _with(
+            "select customer_id, churn, "
+            + ", ".join(
+                f"round(({c} - (select avg({c}) from train)) / (select if(stddev_pop({c}) = 0, 1, stddev_pop({c})) "
+                f"from train), 6) as {c}"
+                for c in STRING_COLUMNS + NUMBER_COLUMNS + DERIVED_COLUMNS
+            )
+            + " from encoded where customer_id in (select customer_id from split where split = 'test')",
+            ENCODED
+            + SPLIT.removeprefix(CLEANED)
+            + """, train as (
+  select * from encoded where customer_id in (select customer_id from split where split = 'train')
+)""",
+        ),
+        "cohort_sql": _with(
+            """
+            select contract_type, payment_method, count(*) as total_customers,
+                   cast(sum(churn) as bigint) as churned_customers,
+                   round(avg(monthly_charges), 6) as avg_monthly_charges
+            from churn_dataset group by all"""
+        ),
         "date_functions": _with(
             """
             select k as customer_id,
@@ -565,7 +609,7 @@ def sources() -> dict[str, str]:
         "value_functions": _with(
             """
             select customer_id, abs(monthly_charges - 70) as charge_gap,
-                   round(monthly_charges / 7, 2) as weekly_charge,
+                   floor(monthly_charges / 7 * 100 + 0.5) / 100 as weekly_charge,
                    monthly_charges / nullif(tenure_months - 6, 0) as charge_per_month_past_six,
                    if(monthly_charges > 70, 1, 0) as is_expensive,
                    coalesce(tech_support, 'nan') as support_token,

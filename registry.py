@@ -16,7 +16,7 @@ from keepwell.sources import runs
 from keepwell.sources import star_binding as star
 from keepwell.sources.star_binding import StarBinding
 from keepwell.sources.tables import (
-    CHURN_SCHEMA, load_csv, numeric_columns, string_columns, table_shape, write_report,
+    CHURN_SCHEMA, load_csv, numeric_columns, register_views, string_columns, table_shape, write_report,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +26,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round the double columns, whose last digits depend on the order of summation."""
     return df.select(
         *[
-            F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            columns.half_up(F.col(f.name), digits).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType)
+            else F.col(f.name)
             for f in df.schema.fields
         ]
     )
@@ -201,6 +203,12 @@ def _scored(build: Callable[[DataFrame], DataFrame]) -> Query:
     return _bound(lambda b: rounded(build(scored_customers(b))))
 
 
+def _fine_curve(bound: StarBinding) -> DataFrame:
+    """Curve of a score with a value of its own for nearly every customer, with many points on one line."""
+    score = F.coalesce(F.col("total_charges"), F.lit(0.0)) + F.col("customer_id") / 1e6
+    return rounded(evaluation.roc_curve(evaluation.rule_scores(churn_table(bound), 0.5, score)), 5)
+
+
 def _evaluation() -> dict[str, Query]:
     return {
         "rule_scores": _bound(
@@ -210,6 +218,8 @@ def _evaluation() -> dict[str, Query]:
         "classification_report": _scored(evaluation.classification_report),
         "roc_auc": _scored(evaluation.roc_auc),
         "roc_curve": _scored(evaluation.roc_curve),
+        "roc_curve_all": _scored(lambda s: evaluation.roc_curve(s, all_points=True)),
+        "roc_curve_fine": _bound(_fine_curve),
         "metric_summary": _scored(evaluation.metric_row),
         "model_comparison": _bound(_comparison),
         "best_model": _bound(lambda b: evaluation.best_model(_comparison(b))),
@@ -243,11 +253,12 @@ def _search(candidates: list[training.Candidate]) -> Query:
     return run
 
 
-def _drivers(candidate: training.Candidate, report: Callable) -> Query:
+def _drivers(candidate: training.Candidate, report: Callable, top: int | None = None) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         table = _training_table(StarBinding(spark, folder))
         model = training.fit_candidate(table.rebalanced(), candidate)
-        return training.top_rows(report(spark, model, table.names), 15)
+        ranked = report(spark, model, table.names)
+        return ranked if top is None else training.top_rows(ranked, top)
 
     return run
 
@@ -283,6 +294,7 @@ def _training() -> dict[str, Query]:
         "train_select": _bound(lambda b: _train(b).comparison),
         "coefficients": _drivers(SHORT_LOGISTIC[0], training.coefficients),
         "feature_importance": _drivers(SHORT_FOREST[0], training.feature_importance),
+        "top_features": _drivers(SHORT_FOREST[0], training.feature_importance, 15),
         "score_customers": _reloaded_scores,
         "run_metrics": _run_metrics,
     }
@@ -303,6 +315,47 @@ def _report_round_trip(bound: StarBinding) -> DataFrame:
     return load_csv(spark, path, report.schema, required=())
 
 
+def _csv_texts(bound: StarBinding) -> DataFrame:
+    """Texts with quotes, commas, line ends and look-alikes of numbers and missing values, by way of a file."""
+    docs = bound.spark.read.parquet(f"{bound.folder}/documents.parquet")
+    case = F.col("doc_id") % 8
+    text = F.concat(F.lit('say "hi", ok\n '), F.regexp_replace("text", "\r", ""), F.lit(" "))
+    for place, value in enumerate(("none", "Na", " NA ", "1D", "NULL", "")):
+        text = F.when(case == place, F.lit(value)).otherwise(text)
+    path = scratch_path(bound.spark, "texts-csv")
+    write_report(docs.select("doc_id", text.alias("note")), path, "csv")
+    return load_csv(bound.spark, path, required=("doc_id", "note"))
+
+
+def _medians_with_infinity(bound: StarBinding) -> DataFrame:
+    """Median of the charges, with the charges of some customers infinite."""
+    key, infinite = F.col("customer_id"), F.lit(float("inf"))
+    charges = F.when(key % 5 == 0, infinite).when(key % 7 == 0, -infinite).otherwise(F.col("monthly_charges"))
+    churn = materialise(churn_table(bound).select(charges.alias("charges")), "charges")
+    return rounded(cleaning.medians(churn, ["charges"]))
+
+
+def _test_part_prepared(bound: StarBinding) -> DataFrame:
+    """Test rows coded with the categories of all rows and scaled with the moments of the training rows."""
+    table = _engineered(bound)
+    split = materialise(features.stratified_split(table), "split")
+    train, test = (split.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    return rounded(features.fit_features(train, labels_from=table).transform(test))
+
+
+def _cohort_sql(bound: StarBinding) -> DataFrame:
+    """A report written as SQL text over named views."""
+    register_views({"churn_dataset": churn_table(bound)})
+    report = bound.spark.sql(
+        """
+        SELECT contract_type, payment_method, count(*) AS total_customers,
+               sum(churn) AS churned_customers, avg(monthly_charges) AS avg_monthly_charges
+        FROM churn_dataset GROUP BY contract_type, payment_method
+        """
+    )
+    return rounded(report)
+
+
 def _date_functions(bound: StarBinding) -> DataFrame:
     signup = F.col("signup_date")
     until = F.coalesce("churn_date", F.lit(star.AS_OF))
@@ -322,7 +375,7 @@ def _value_functions(bound: StarBinding) -> DataFrame:
     return churn_table(bound).select(
         "customer_id",
         F.abs(monthly - 70).alias("charge_gap"),
-        F.round(monthly / 7, 2).alias("weekly_charge"),
+        columns.half_up(monthly / 7, 2).alias("weekly_charge"),
         columns.ratio(monthly, F.nullif(tenure - 6, F.lit(0))).alias("charge_per_month_past_six"),
         columns.flag(monthly > 70).alias("is_expensive"),
         columns.text_token(support).alias("support_token"),
@@ -333,7 +386,11 @@ def _value_functions(bound: StarBinding) -> DataFrame:
 def _sources() -> dict[str, Query]:
     return {
         "csv_round_trip": _bound(_csv_round_trip),
+        "csv_texts": _bound(_csv_texts),
         "report_round_trip": _bound(_report_round_trip),
+        "medians_with_infinity": _bound(_medians_with_infinity),
+        "test_part_prepared": _bound(_test_part_prepared),
+        "cohort_sql": _bound(_cohort_sql),
         "date_functions": _bound(_date_functions),
         "value_functions": _bound(_value_functions),
     }
