@@ -25,10 +25,10 @@ def segmentations(vocabulary, text):
         return {(): 1.0}
     found = {}
     for k in range(1, len(text) + 1):
-        piece = vocabulary.weights.get(text[:k])
+        piece = vocabulary.pieces.get(text[:k])
         if piece:
             for rest, w in segmentations(vocabulary, text[k:]).items():
-                found[(piece[0], *rest)] = found.get((piece[0], *rest), 0) + w * math.exp(piece[1])
+                found[piece, *rest] = w * vocabulary.weights[piece]
     return found
 
 
