@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.functions.columns import ratio
-from keepwell.operators.ordering import exact_quantiles
+from keepwell.operators.ordering import EXACT_ROWS, exact_quantiles
 from keepwell.scratch import materialise
 from keepwell.sources.tables import numeric_columns, string_columns
 
@@ -54,10 +54,12 @@ def null_counts(df: DataFrame) -> DataFrame:
     return wide.unpivot([], df.columns, "column", "n_missing").filter(F.col("n_missing") > 0)
 
 
-def medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
+def medians(
+    df: DataFrame, columns: Sequence[str], accuracy: int | None = None, exact_rows: int = EXACT_ROWS
+) -> DataFrame:
     """Median per numeric column: exact, or with ``accuracy`` from one pass of quantile sketches."""
     if accuracy is None:
-        found = exact_quantiles(df, {c: F.col(c) for c in columns})
+        found = exact_quantiles(df, {c: F.col(c) for c in columns}, exact_rows=exact_rows)
     else:
         missing = F.lit(None).cast("double")
         values = [F.nanvl(F.col(c).cast("double"), missing) for c in columns]

@@ -37,10 +37,12 @@ def engineer(df: DataFrame) -> DataFrame:
     return df.withColumns(added) if added else df
 
 
-def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fit_labels(
+    df: DataFrame, columns: Sequence[str], windowed_labels: int = WINDOWED_LABELS
+) -> DataFrame:
     """Codes 0 .. k-1 in string order for the distinct values of each column.
 
-    Values are counted for all columns in one shuffle. Up to ``WINDOWED_LABELS`` values per column
+    Values are counted for all columns in one shuffle. Up to ``windowed_labels`` values per column
     are numbered per column; beyond that the numbering runs over range slices.
     """
     tokens = df.select(*[text_token(F.col(c)).alias(c) for c in columns])
@@ -48,7 +50,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         tokens.unpivot([], list(columns), "column", "value").distinct(), "labels"
     )
     sizes = _label_sizes(values)
-    if max(sizes.values(), default=0) <= WINDOWED_LABELS:
+    if max(sizes.values(), default=0) <= windowed_labels:
         order = Window.partitionBy("column").orderBy("value")
         return values.withColumn("code", F.row_number().over(order) - 1)
     numbered = running_totals(values, [F.col("column"), F.col("value")], {"place": F.lit(1)})

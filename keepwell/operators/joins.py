@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keepwell.scratch import materialise
 
 HOT_KEY_ROWS = 1_000_000
-HOT_KEY_SPLITS = 200
+SKETCH_KEYS = 5_000
+SKETCH_SLOTS = 50_000
 
 
-def hot_keys(tables: Sequence[DataFrame], key: str, min_rows: int = HOT_KEY_ROWS) -> list[list]:
-    """Per table, the keys that occur more than about ``min_rows`` times.
+def hot_keys(tables: Sequence[DataFrame], key: str, min_rows: int = HOT_KEY_ROWS) -> list[dict]:
+    """Per table, the keys that occur more than about ``min_rows`` times, with their counts.
 
     One job with a frequent-items sketch of fixed size per table: the key columns are scanned, only
-    sketches are shuffled and at most 1000 keys per table come back. A key that a sketch misses is
-    still joined correctly, only unsalted.
+    sketches are shuffled and at most SKETCH_KEYS keys per table come back. Counts are too high by at
+    most about 1 / SKETCH_SLOTS of a table's rows, so a key above that share is always found. A key that a
+    sketch misses is still joined correctly, only unsalted.
     """
     keys = None
     for place, table in enumerate(tables):
         part = table.filter(F.col(key).isNotNull()).select(F.lit(place).alias("place"), key)
         keys = part if keys is None else keys.unionByName(part)
-    sketches = keys.groupBy("place").agg(F.expr(f"approx_top_k(`{key}`, 1000, 10000)").alias("top"))
-    heavy: list[list] = [[] for _ in tables]
+    sketch = F.expr(f"approx_top_k(`{key}`, {SKETCH_KEYS}, {SKETCH_SLOTS})")
+    sketches = keys.groupBy("place").agg(sketch.alias("top"))
+    heavy: list[dict] = [{} for _ in tables]
     for row in sketches.collect():
-        heavy[row["place"]] = [k["item"] for k in row["top"] if k["count"] > min_rows]
+        heavy[row["place"]] = {k["item"]: k["count"] for k in row["top"] if k["count"] > min_rows}
     return heavy
 
 
@@ -36,22 +40,22 @@ def left_joins(
     rights: Sequence[DataFrame],
     key: str,
     min_rows: int = HOT_KEY_ROWS,
-    splits: int = HOT_KEY_SPLITS,
 ) -> DataFrame:
     """A chain of left outer joins on ``key``, each by way of :func:`left_join`."""
     for right, heavy in zip(rights, hot_keys(rights, key, min_rows)):
-        left = left_join(left, right, key, heavy, splits)
+        left = left_join(left, right, key, heavy, min_rows)
     return left
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, key: str, heavy: Sequence, splits: int = HOT_KEY_SPLITS
+    left: DataFrame, right: DataFrame, key: str, heavy: Mapping, rows_per_salt: int = HOT_KEY_ROWS
 ) -> DataFrame:
     """Left outer join on ``key``, keeping every match of every row.
 
     Adaptive execution can split a heavy key on the left side of a left join, but not on the right.
     Rows of the ``heavy`` keys, which must occur on the right, are therefore joined on (key, salt):
-    the right rows are dealt over the salts and each left row is repeated once per salt. For them
+    the right rows are dealt over the salts and each left row is repeated once per salt. A key has one
+    salt for every ``rows_per_salt`` of its rows, whose number ``heavy`` holds. For these keys
     the left join and the inner join are the same. The salted rows are written before the join, so
     that a task that is run again cannot deal them differently.
     """
@@ -59,9 +63,14 @@ def left_join(
         return left.join(right, key, "left")
     is_heavy = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
     light = left.filter(~is_heavy).join(right.filter(~is_heavy), key, "left")
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(splits)).cast("int")
-    dealt = materialise(right.filter(is_heavy).withColumn("_salt", salt), "salted")
-    repeated = left.filter(is_heavy).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
+    table = left.sparkSession.createDataFrame(
+        [(k, -(-n // rows_per_salt)) for k, n in heavy.items()],
+        T.StructType([T.StructField(key, right.schema[key].dataType), T.StructField("_salts", T.LongType())]),
     )
+    table = F.broadcast(table)  # one row per heavy key, of which a sketch gives at most SKETCH_KEYS
+    salt = F.pmod(F.monotonically_increasing_id(), F.col("_salts"))
+    salted = right.filter(is_heavy).join(table, key).withColumn("_salt", salt).drop("_salts")
+    dealt = materialise(salted, "salted")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
+    repeated = left.filter(is_heavy).join(table, key).withColumn("_salt", salts).drop("_salts")
     return light.unionByName(repeated.join(dealt, [key, "_salt"]).drop("_salt"))

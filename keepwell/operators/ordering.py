@@ -159,12 +159,17 @@ def exact_quantiles(
 
 
 def key_hash(df: DataFrame, key: str, seed: int) -> Column:
-    """Deterministic spread of a key over 0 .. 1000002, the same on every partitioning."""
+    """Deterministic spread of a key over 0 .. 1000002, the same on every partitioning.
+
+    Both the remainder and the quotient of a key count, so that keys with one remainder spread too.
+    """
     column = F.col(key)
     if not isinstance(df.schema[key].dataType, T.IntegralType):
         column = F.xxhash64(column)
-    reduced = F.pmod(column.cast("long"), F.lit(HASH_PRIME))
-    return F.coalesce(F.pmod(reduced * 7919 + seed, F.lit(HASH_PRIME)), F.lit(0))
+    prime, value = F.lit(HASH_PRIME), column.cast("long")
+    low = F.pmod(value, prime)
+    high = F.pmod(F.floor((value - low) / prime).cast("long"), prime)
+    return F.coalesce(F.pmod(low * 7919 + high * 104729 + seed, prime), F.lit(0))
 
 
 @dataclass(frozen=True)

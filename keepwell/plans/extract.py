@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.columns import as_of_column, flag, month_boundaries
-from keepwell.operators.joins import left_joins
+from keepwell.operators.joins import HOT_KEY_ROWS, left_joins
 
 CUSTOMER_COLUMNS = ("customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months")
 SERVICE_COLUMNS = (
@@ -28,6 +28,7 @@ def churn_dataset(
     churn_events: DataFrame,
     signup_from: date = date(2020, 1, 1),
     statuses: Sequence[str] = ("Active", "Churned"),
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """One row per customer and matching service, billing and event row; ``churn`` = an event exists.
 
@@ -41,7 +42,7 @@ def churn_dataset(
         billing.select("customer_id", *BILLING_COLUMNS),
         churn_events.select("customer_id", "churn_date"),
     ]
-    joined = left_joins(eligible, rights, "customer_id")
+    joined = left_joins(eligible, rights, "customer_id", hot_key_rows)
     return joined.select(
         *CUSTOMER_COLUMNS,
         *SERVICE_COLUMNS,

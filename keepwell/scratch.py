@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -11,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 @lru_cache(maxsize=None)
 def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="keepwell-")
+    root = tempfile.mkdtemp(prefix="keepwell-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; a cluster session must name
-    a folder that all executors can reach.
+    Only a local session without that setting gets a temporary folder, which goes when the process
+    ends; a cluster session must name a folder that all executors can reach.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:

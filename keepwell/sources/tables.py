@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REQUIRED_COLUMNS = ("customer_id", "churn")
-# Stands for no field at all, so that an empty one is still seen as a field.
-NO_FIELD = "\x00"
 
 # Fields read as missing in delimited files, compared as they stand.
 MISSING_TOKENS = (
@@ -59,7 +57,7 @@ def load_csv(
 
     Fields may be quoted; a quote inside one is doubled. Fields are read as text so that every
     missing-value token can be turned into NULL before the cast. Rows with fewer fields than the header
-    end in NULLs, and a row with more is an error when it is read. Without a schema the types are
+    end in NULLs, and a row with more (but for an empty one at its end) is an error when it is read. Without a schema the types are
     inferred, which costs one extra pass over the file. Line ends inside quotes need ``multi_line``, for
     which each file is read by one task; turn it off for large files that are known to have none.
     """
@@ -67,7 +65,6 @@ def load_csv(
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", NO_FIELD)
         .option("multiLine", multi_line)
     )
     names = reader.csv(path).columns

@@ -278,7 +278,7 @@ ENCODED = (
 )"""
 )
 
-SPREAD = "(customer_id % 1000003 * 7919 + 42) % 1000003"
+SPREAD = "(customer_id % 1000003 * 7919 + customer_id // 1000003 * 104729 + 42) % 1000003"
 SPLIT = (
     CLEANED
     + f""", placed as (
@@ -619,7 +619,15 @@ def sources() -> dict[str, str]:
     }
 
 
+#: Queries that take another path to the same rows.
+TWINS = {
+    "smote_boxed": "smote", "label_codes_sliced": "label_codes", "medians_narrowed": "medians",
+    "churn_dataset_salted": "churn_dataset",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         **base_tables(), **sources(), **reports(), **cleaning(), **features(), **evaluation(),
     }
+    return found | {twin: found[name] for twin, name in TWINS.items()}

@@ -34,9 +34,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def churn_table(bound: StarBinding) -> DataFrame:
+def churn_table(bound: StarBinding, **options) -> DataFrame:
     return extract.churn_dataset(
-        bound.customers(), bound.services(), bound.billing(), bound.churn_events(), star.SIGNUP_FROM
+        bound.customers(), bound.services(), bound.billing(), bound.churn_events(), star.SIGNUP_FROM, **options
     )
 
 
@@ -114,6 +114,13 @@ def _medians(bound: StarBinding) -> DataFrame:
     )
 
 
+def _medians_narrowed(bound: StarBinding) -> DataFrame:
+    """The medians, with brackets narrowed until no more than 50 values are left."""
+    churn = _stored_churn(bound)
+    columns_ = [c for c in numeric_columns(churn) if c not in ("customer_id", "churn")]
+    return cleaning.medians(churn, columns_, exact_rows=50)
+
+
 def _modes(bound: StarBinding) -> DataFrame:
     unique = unique_customers(bound)
     return cleaning.modes(unique, string_columns(unique))
@@ -160,10 +167,14 @@ def _label_codes(bound: StarBinding) -> DataFrame:
     return features.fit_labels(table, string_columns(table))
 
 
-def _smote(bound: StarBinding) -> DataFrame:
-    return balance.smote(
-        materialise(cleaning.clean(churn_table(bound)), "cleaned"), ["tenure_months", "monthly_charges"]
-    )
+def _smote(bound: StarBinding, **options) -> DataFrame:
+    cleaned = materialise(cleaning.clean(churn_table(bound)), "cleaned")
+    return balance.smote(cleaned, ["tenure_months", "monthly_charges"], **options)
+
+
+def _labels_in_slices(bound: StarBinding) -> DataFrame:
+    table = features.engineer(cleaning.clean(churn_table(bound)))
+    return features.fit_labels(table, string_columns(table), windowed_labels=0)
 
 
 def _features() -> dict[str, Query]:
@@ -176,6 +187,11 @@ def _features() -> dict[str, Query]:
         "split_profile": _bound(lambda b: rounded(cleaning.label_profile(_split(b), "split"))),
         "stratified_folds": _bound(_folds),
         "smote": _bound(lambda b: rounded(_smote(b))),
+        # The paths of large tables, by way of small parameters.
+        "smote_boxed": _bound(lambda b: rounded(_smote(b, box_rows=32))),
+        "label_codes_sliced": _bound(_labels_in_slices),
+        "medians_narrowed": _bound(lambda b: rounded(_medians_narrowed(b))),
+        "churn_dataset_salted": _bound(lambda b: churn_table(b, hot_key_rows=1)),
     }
 
 

@@ -142,3 +142,15 @@ def test_gate_and_weights(spark):
     assert weights == {0: 4 / 6, 1: 2.0}
     by_row = df.select("churn", balance.weight_column(balance.class_counts(df, "churn"), "churn"))
     assert {tuple(r) for r in by_row.collect()} == set(weights.items())
+
+
+def test_rows_without_a_label_belong_to_no_class(spark):
+    rows = [(k, None if k % 5 == 0 else int(k % 5 == 1), float(k)) for k in range(40)]
+    df = spark.createDataFrame(rows, "customer_id long, churn int, x double")
+    assert balance.class_counts(df, "churn") == {0: 24, 1: 8}
+    assert balance.smote(df, ["x"]).groupBy("churn").count().orderBy("churn").collect() == [(0, 24), (1, 24)]
+    assert {r.churn for r in balance.class_weights(df).collect()} == {0, 1}
+    assert balance.smote(df.filter("false"), ["x"]).count() == 0
+    assert not balance.needs_rebalancing({})
+    with pytest.raises(ValueError, match="values"):
+        balance.class_counts(spark.range(2000).withColumnRenamed("id", "churn"), "churn")

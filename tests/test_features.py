@@ -101,3 +101,16 @@ def test_split_and_folds_are_stratified(spark, partitions):
     for label in (0, 1):
         counts = [r["count"] for r in folds.filter(F.col("churn") == label).groupBy("fold").count().collect()]
         assert len(counts) == 5 and max(counts) - min(counts) <= 1
+
+
+def test_category_of_the_test_part_alone_has_a_code(spark):
+    rows = [(k, k % 2, "rare" if k == 9 else "ab"[k % 2], float(k)) for k in range(10)]
+    table = spark.createDataFrame(rows, "customer_id long, churn int, kind string, x double")
+    train, test = table.filter("customer_id < 8"), table.filter("customer_id >= 8")
+    fitted = features.fit_features(train, labels_from=table)
+    assert fitted.transform(test).count() == 2
+    assert fitted.moments["x"][0] == 3.5
+    with pytest.raises(Exception, match="unseen value in kind: rare"):
+        features.fit_features(train).transform(test).collect()
+    with pytest.warns(UserWarning, match="other"):
+        fitted.transform(test.withColumn("other", F.lit("t")))

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keepwell.operators import joins, ordering
+from keepwell.operators import cleaning, joins, ordering
 from keepwell.operators.ordering import (
     class_cuts, cuts_passed, exact_quantiles, key_hash, running_totals,
 )
@@ -89,8 +89,8 @@ def test_heavy_right_keys_are_salted_without_changing_the_join(spark):
         [(1, i % 3) for i in range(60)] + [(2, 1), (2, None), (None, 5), (9, 9)], "k bigint, r int"
     )
     plain = left.join(right, "k", "left")
-    assert joins.hot_keys([right, left], "k", min_rows=10) == [[1], []]
-    salted = joins.left_joins(left, [right], "k", min_rows=10, splits=4)
+    assert joins.hot_keys([right, left], "k", min_rows=10) == [{1: 60}, {}]
+    salted = joins.left_joins(left, [right], "k", min_rows=10)
     assert salted.columns == plain.columns
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
@@ -98,7 +98,29 @@ def test_heavy_right_keys_are_salted_without_changing_the_join(spark):
 def test_heavy_text_keys(spark):
     left = spark.createDataFrame([("x",), ("y",)], "k string")
     right = spark.createDataFrame([("x", i) for i in range(30)], "k string, r int")
-    assert joins.left_joins(left, [right], "k", min_rows=5, splits=3).count() == 31
+    assert joins.left_joins(left, [right], "k", min_rows=5).count() == 31
+
+
+def test_two_thousand_heavy_keys_and_one_with_a_third_of_the_rows(spark):
+    right = spark.range(60_000).select(
+        F.when(F.col("id") < 20_000, F.lit(7)).otherwise(F.col("id") % 2000).cast("bigint").alias("k"), F.col("id").alias("r")
+    )
+    left = spark.range(2100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("l"))
+    heavy = joins.hot_keys([right], "k", min_rows=15)[0]
+    assert len(heavy) == 2000 and heavy[7] == 20_020
+    plain, salted = left.join(right, "k", "left"), joins.left_joins(left, [right], "k", min_rows=15)
+    assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+
+
+def test_infinite_values_count_in_quantiles(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, inf, inf, inf, None, float("nan"))], "v double")
+    assert ordering.exact_quantiles(df, {"v": F.col("v")})["v"] == inf
+    assert ordering.exact_quantiles(df, {"v": F.col("v")}, exact_rows=1)["v"] == inf
+    assert cleaning.medians(df, ["v"], accuracy=1000).first()["median"] == inf
+    low = spark.createDataFrame([(v,) for v in (-inf, -inf, -1.0, 3.0, 4.0)], "v double")
+    for limit in (1, 100):
+        assert ordering.exact_quantiles(low, {"v": F.col("v")}, exact_rows=limit)["v"] == -1.0
 
 
 def test_slices_follow_the_data_and_keep_the_order(spark, monkeypatch):

@@ -42,6 +42,30 @@ def test_inferred_types(spark, folder):
     ]
 
 
+def test_csv_fields_are_read_as_they_stand(spark, folder):
+    with open(f"{folder}/q.csv", "w") as f:
+        f.write('customer_id,churn,note\n1,0,"say ""hi"", ok"\n2,1,"two\nlines"\n3,0,none\n4,0,Na\n5,1, NA \n6,0,None\n7,1\n')
+    got = tables.load_csv(spark, f"{folder}/q.csv").orderBy("customer_id").collect()
+    assert [r.note for r in got] == ['say "hi", ok', "two\nlines", "none", "Na", " NA ", None, None]
+    assert [r.customer_id for r in got] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_codes_that_end_in_letters_are_no_numbers(spark, folder):
+    with open(f"{folder}/codes.csv", "w") as f:
+        f.write("a,b,c\n1D,1e3,+7\n2F,.5,8\n")
+    assert tables.load_csv(spark, f"{folder}/codes.csv", required=()).dtypes == [
+        ("a", "string"), ("b", "double"), ("c", "bigint"),
+    ]
+
+
+@pytest.mark.parametrize("row", ["1,0,x,y", '1,0,"x","y"'])
+def test_csv_row_with_too_many_fields_is_an_error(spark, folder, row):
+    with open(f"{folder}/long.csv", "w") as f:
+        f.write(f"customer_id,churn,note\n2,1,z\n{row}\n")
+    with pytest.raises(Exception, match="more than 3 fields"):
+        tables.load_csv(spark, f"{folder}/long.csv", tables.T.StructType.fromDDL("customer_id long, churn int, note string")).collect()
+
+
 def test_csv_without_required_columns_is_refused(spark, folder):
     with open(f"{folder}/bad.csv", "w") as f:
         f.write("customer_id,gender\n1,Male\n")
