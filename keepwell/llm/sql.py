@@ -7,9 +7,11 @@ WITH d AS (
   SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d
+), placed_words AS (
+  SELECT rid, unnest(words) AS word, unnest(range(len(words))) AS i FROM w
 ), windows AS (
-  SELECT rid, i, list_slice(words, i, i + 4) AS g
-  FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM w)
+  SELECT rid, i, [word, lead(word, 1) OVER p, lead(word, 2) OVER p, lead(word, 3) OVER p, lead(word, 4) OVER p] AS g
+  FROM placed_words WINDOW p AS (PARTITION BY rid ORDER BY i) QUALIFY lead(word, 4) OVER p IS NOT NULL
 ), repeated AS (
   SELECT rid, g FROM windows GROUP BY rid, g HAVING count(*) > 1
 ), covered AS (
@@ -106,11 +108,11 @@ FROM d LEFT JOIN kept ON d.rid = kept.rid LEFT JOIN spans ON d.rid = spans.rid
 
 LINE_DEDUP = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id, text FROM documents
+  SELECT row_number() OVER () AS rid, doc_id, text, md5(text) AS text_key FROM documents
 ), split AS (
-  SELECT rid, doc_id, text, string_split(text, chr(10)) AS lines FROM d
+  SELECT rid, doc_id, text_key, string_split(text, chr(10)) AS lines FROM d
 ), listed AS (
-  SELECT rid, doc_id, text, unnest(lines) AS bare, unnest(range(len(lines))) AS line, len(lines) AS n_lines FROM split
+  SELECT rid, doc_id, text_key, unnest(lines) AS bare, unnest(range(len(lines))) AS line, len(lines) AS n_lines FROM split
 ), sized AS (
   SELECT *, bare || CASE WHEN line < n_lines - 1 THEN chr(10) ELSE '' END AS content,
     regexp_extract_all(bare, '[^\x20\x09-\x0D]+') AS tokens
@@ -124,18 +126,18 @@ WITH d AS (
   FROM placed WHERE len(tokens) > 0
 ), inner_lines AS (
   SELECT * FROM leafed
-  WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text) >= 10)
+  WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text_key) >= 10)
 ), fields AS (
-  SELECT rid, doc_id, text, line, leaf, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM inner_lines
+  SELECT rid, doc_id, text_key, line, leaf, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM inner_lines
 ), constant AS (
-  SELECT leaf, pos, token FROM fields GROUP BY ALL HAVING count(DISTINCT text) >= 10
+  SELECT leaf, pos, token FROM fields GROUP BY ALL HAVING count(DISTINCT text_key) >= 10
 ), parsed AS (
-  SELECT f.rid, f.doc_id, f.text, f.line,
+  SELECT f.rid, f.doc_id, f.text_key, f.line,
     string_agg(CASE WHEN c.pos IS NULL THEN '<*>' ELSE f.token END, ' ' ORDER BY f.pos) AS template
   FROM fields f LEFT JOIN constant c ON f.leaf = c.leaf AND f.pos = c.pos AND f.token = c.token
   GROUP BY ALL HAVING 2 * count(c.pos) >= count(*)
 ), recurring AS (
-  SELECT template FROM parsed GROUP BY template HAVING count(DISTINCT text) >= 10
+  SELECT template FROM parsed GROUP BY template HAVING count(DISTINCT text_key) >= 10
 ), dropped AS (
   SELECT rid, line
   FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, line) AS nth

@@ -20,7 +20,7 @@ def sentence(k, n=40):
 @pytest.fixture(scope="session")
 def awkward():
     """NULL and empty texts, NULL and repeated identifiers, repeated rows, ties, a very long text."""
-    long_text = "\n".join(sentence(k, 30) for k in range(3000))
+    long_text = "\n".join(sentence(k, 30) for k in range(600))
     return [
         (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, sentence(1)), (4, sentence(1)), (4, sentence(2)),
         (None, sentence(1)), (None, None), (None, sentence(3)), (5, long_text), (6, long_text + " end"),
