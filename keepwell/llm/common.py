@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +39,11 @@ def fresh_name(taken: Iterable[str], wanted: str) -> str:
 def row_key(row_id: Column, text: Column) -> Column:
     """Tells rows with one identifier but different texts apart; always used beside the identifier."""
     return F.xxhash64(row_id, text)
+
+
+def put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``array`` with the values from ``at`` on, made twice as long as often as needed."""
+    while at + len(values) > len(array):
+        array = np.concatenate((array, np.zeros_like(array)))
+    array[at : at + len(values)] = values
+    return array

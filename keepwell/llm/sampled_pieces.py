@@ -15,40 +15,44 @@ the space in pieces too, so decoding gives back every text.
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.common import fresh_name
+from keepwell.llm.common import fresh_name, put
 
 SPACE = "▁"
 WORD = re.compile(" *[^ ]+| +")
 #: Bounds of the cache of one worker process.
-CACHED_WORDS = 400_000
-CACHED_NODES = 4_000_000
+CACHED_WORDS = 600_000
+CACHED_NODES = 6_000_000
 BATCH_CHARS = 400_000
+#: Forward sums below SMALL are scaled; with weights above 32000 ** -MOST_ALPHA none gets lost before.
+SMALL = 1e-60
+MOST_ALPHA = 4
 
 
 class Vocabulary:
-    """Pieces with plain spaces, their weights, and the bytes they stand for."""
+    """Pieces with plain spaces as a trie in arrays, their weights, and the bytes they stand for."""
 
     def __init__(self, path: str, alpha: float):
         import sentencepiece
 
+        if not 0 <= alpha <= MOST_ALPHA:
+            raise ValueError(f"alpha is between 0 and {MOST_ALPHA}")
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        size = model.get_piece_size()
         self.table: list[bytes] = []
-        self.weights: dict[str, tuple[int, float]] = {}
-        self.byte_ids: dict[int, int] = {}
-        first = 1 + max(i for i in range(model.get_piece_size()) if model.is_byte(i))
-        for i in range(model.get_piece_size()):
+        self.pieces: dict[str, int] = {}
+        self.byte_ids = np.zeros(256, dtype=np.int32)
+        first = 1 + max(i for i in range(size) if model.is_byte(i))
+        for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.byte_ids[int(piece[3:5], 16)] = i
@@ -58,90 +62,136 @@ class Vocabulary:
             else:
                 plain = piece.replace(SPACE, " ")
                 self.table.append(plain.encode())
-                self.weights[plain] = (i, -alpha * math.log(i - first + 2))
-        self.byte_weight = -alpha * math.log(model.get_piece_size())
-        self.longest = max(map(len, self.weights))
-        self.prefixes = {p[:k] for p in self.weights for k in range(1, len(p) + 1)}
+                self.pieces[plain] = i
+        self.weights = np.full(size, float(size)) ** -alpha
+        self.weights[first:] = (np.arange(first, size) - first + 2.0) ** -alpha
+        self.longest = max(map(len, self.pieces))
+        self.single = np.zeros(0x110000, dtype=bool)
+        self.single[[ord(p) for p in self.pieces if len(p) == 1]] = True
+        if not all(self.single[ord(c)] for p in self.pieces for c in p):
+            raise ValueError("a character of a piece is not a piece itself")
+        states = {"": 0}
+        for piece in self.pieces:
+            for end in range(1, len(piece) + 1):
+                states.setdefault(piece[:end], len(states))
+        keys = np.array([(states[x[:-1]] << 21) + ord(x[-1]) for x in states if x], dtype=np.int64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.next = np.array([state for x, state in states.items() if x], dtype=np.int64)[order]
+        self.piece_at = np.full(len(states), -1, dtype=np.int32)
+        self.piece_at[[states[p] for p in self.pieces]] = list(self.pieces.values())
+
+    def symbols(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Code points of all words, or -1 - byte for the bytes of a character without a piece; and lengths."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        lengths = np.array(list(map(len, words)), dtype=np.int64)
+        known = self.single[points]
+        if known.all():
+            return points, lengths
+        sizes = np.where(known, 1, 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))
+        at = np.cumsum(sizes) - sizes
+        spread, n = np.repeat(points, sizes), np.repeat(sizes, sizes)
+        behind = n - 1 - (np.arange(len(spread)) - np.repeat(at, sizes))  # bytes of the character that follow
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[n] | (spread >> 6 * (n - 1))
+        octets = np.where(behind == n - 1, lead, 0x80 | (spread >> 6 * behind & 0x3F))
+        symbols = np.where(np.repeat(known, sizes), spread, -1 - octets)
+        return symbols, np.add.reduceat(sizes, np.cumsum(lengths) - lengths)
+
+    def edges(self, symbols: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(symbol where it starts, number of symbols, piece) of every edge; ``room``: symbols to the word's end."""
+        octets = np.flatnonzero(symbols < 0)
+        found = [(octets, np.ones_like(octets), self.byte_ids[-1 - symbols[octets]])]
+        at = np.flatnonzero(symbols >= 0)
+        state, depth = np.zeros(len(at), dtype=np.int64), 0
+        while len(at):
+            key = (state << 21) + symbols[at + depth]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[place] == key
+            at, state = at[hit], self.next[place[hit]]
+            depth += 1
+            whole = self.piece_at[state] >= 0
+            found.append((at[whole], np.full(np.count_nonzero(whole), depth), self.piece_at[state[whole]]))
+            more = room[at] > depth
+            at, state = at[more], state[more]
+            more = symbols[at + depth] >= 0
+            at, state = at[more], state[more]
+        return tuple(np.concatenate(column) for column in zip(*found))
 
 
 class Lattices:
-    """Forward sums of words, laid out in arrays: the edges into node n have ``sums`` in (n, n + 1]."""
+    """Forward sums of words in arrays, node after node.
+
+    A word has a node before its first and after each symbol. The edges into node n lie from ``first[n]``
+    on, with running sums of their shares, plus n, in ``sums``; the last of them is n + 1.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, tuple[int, int]] = {}
-        self.nodes = self.edges = 0
-        self.sums, self.sources, self.pieces = np.zeros(1 << 16), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
-
-    def _append(self, sums: list[float], sources: list[int], pieces: list[int]) -> None:
-        end = self.edges + len(sums)
-        while end > len(self.sums):
-            for name in ("sums", "sources", "pieces"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate((old, np.zeros_like(old))))
-        at = slice(self.edges, end)
-        self.sums[at], self.sources[at], self.pieces[at] = sums, sources, pieces
-        self.edges = end
-
-    def edges_into(self, word: str) -> list[list[tuple[int, int, float]]]:
-        """Per character node: (start, piece, weight); a character without a piece has one edge, piece -1."""
-        v = self.vocabulary
-        into: list[list[tuple[int, int, float]]] = [[] for _ in range(len(word) + 1)]
-        for start in range(len(word)):
-            for end in range(start + 1, min(len(word), start + v.longest) + 1):
-                part = word[start:end]
-                if part not in v.prefixes:
-                    break
-                if part in v.weights:
-                    into[end].append((start, *v.weights[part]))
-            if word[start] not in v.weights:
-                into[start + 1].append((start, -1, v.byte_weight * len(word[start].encode())))
-        return into
-
-    def _build(self, word: str) -> tuple[list[float], list[int], list[int]]:
-        base, place = self.nodes, [self.nodes]
-        forward, sums, sources, pieces = [0.0], [], [], []
-        self.nodes += 1
-        for end, edges in enumerate(self.edges_into(word)[1:], 1):
-            weights = [forward[start] + w for start, _, w in edges]
-            top = max(weights)
-            shares = [math.exp(w - top) for w in weights]
-            total = sum(shares)
-            forward.append(top + math.log(total))
-            found = []
-            for start, piece, _ in edges:
-                source = place[start]
-                if piece < 0:  # a chain of nodes, one edge for each byte
-                    *lead, last = word[start].encode()
-                    for byte in lead:
-                        sums.append(self.nodes + 1.0)
-                        sources.append(source)
-                        pieces.append(self.vocabulary.byte_ids[byte])
-                        source = self.nodes
-                        self.nodes += 1
-                    piece = self.vocabulary.byte_ids[last]
-                found.append((source, piece))
-            node = self.nodes
-            place.append(node)
-            self.nodes += 1
-            sums += [node + s / total for s in accumulate(shares)]
-            sums[-1] = node + 1.0
-            sources += [s for s, _ in found]
-            pieces += [p for _, p in found]
-        self.words[word] = (base, place[-1])
-        return sums, sources, pieces
+        self.words: dict[str, int] = {}
+        self.known = self.nodes = self.edges = 0
+        self.bases, self.lasts, self.first = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.sums = np.zeros(1 << 16)
+        self.sources, self.pieces = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
 
     def learn(self, words: set[str]) -> None:
+        """Build the lattices of new words together, one node of each at a time."""
         if len(self.words) > CACHED_WORDS or self.nodes > CACHED_NODES:
             self.clear()
-        columns: tuple[list, list, list] = ([], [], [])
-        for word in words.difference(self.words):
-            for column, values in zip(columns, self._build(word)):
-                column += values
-        self._append(*columns)
+        new = list(words.difference(self.words))
+        if not new:
+            return
+        symbols, lengths = self.vocabulary.symbols(new)
+        bases = np.cumsum(lengths + 1) - (lengths + 1)
+        offset = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        before = np.repeat(bases, lengths) + offset
+        start, span, piece = self.vocabulary.edges(symbols, np.repeat(lengths, lengths) - offset)
+        end, depth = before[start] + span, offset[start] + span
+        order = np.lexsort((end, depth))
+        end, source, piece, depth = end[order], before[start[order]], piece[order], depth[order]
+        sums = self._forward(end, source, self.vocabulary.weights[piece], depth, bases, len(symbols) + len(new))
+        order = np.argsort(end, kind="stable")
+        counts = np.bincount(end, minlength=len(symbols) + len(new))
+        self.first = put(self.first, self.nodes, self.edges + np.cumsum(counts) - counts)
+        self.sums = put(self.sums, self.edges, (sums + self.nodes)[order])
+        self.sources = put(self.sources, self.edges, (source + self.nodes)[order])
+        self.pieces = put(self.pieces, self.edges, piece[order])
+        self.bases = put(self.bases, self.known, bases + self.nodes)
+        self.lasts = put(self.lasts, self.known, bases + lengths + self.nodes)
+        self.words.update(zip(new, range(self.known, self.known + len(new))))
+        self.known += len(new)
+        self.nodes += len(symbols) + len(new)
+        self.edges += len(end)
+
+    def _forward(
+        self, end: np.ndarray, source: np.ndarray, weight: np.ndarray, depth: np.ndarray, bases: np.ndarray, nodes: int
+    ) -> np.ndarray:
+        """Node plus running share for every edge; edges come by depth of their end, then by end."""
+        forward, sums = np.zeros(nodes), np.empty(len(end))
+        forward[bases] = 1.0
+        is_base = np.zeros(nodes + 1, dtype=bool)
+        is_base[bases] = True
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(depth)[1:])))
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            ends = end[low:high]
+            heads = np.flatnonzero(np.diff(ends, prepend=-1))
+            group = np.cumsum(np.diff(ends, prepend=-1) != 0) - 1
+            shares = forward[source[low:high]] * weight[low:high]
+            totals = np.add.reduceat(shares, heads)
+            running = np.cumsum(shares / totals[group]) - group
+            running[np.append(heads[1:], len(ends)) - 1] = 1.0
+            sums[low:high] = ends + np.clip(running, 0.0, 1.0)
+            forward[ends[heads]] = totals
+            small = totals < SMALL
+            if small.any():
+                node, by = ends[heads][small], totals[small]
+                for _ in range(self.vocabulary.longest + 1):
+                    forward[node] /= by
+                    inner = ~is_base[node]
+                    node, by = node[inner] - 1, by[inner]
+        return sums
 
 
 def uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -161,22 +211,26 @@ class Sampler:
         """Piece ids of a sampled segmentation per text; none for an empty text."""
         split = [WORD.findall(" " + text) if text else [] for text in texts]
         self.lattices.learn({w for words in split for w in words})
-        find = self.lattices.words.__getitem__
-        flat = [find(w) for words in split for w in words]
-        if not flat:
+        counts = np.array([len(words) for words in split], dtype=np.int64)
+        words = (w for words in split for w in words)
+        codes = np.fromiter(map(self.lattices.words.__getitem__, words), np.int64, int(counts.sum()))
+        if not len(codes):
             return [np.zeros(0, np.int32) for _ in texts]
-        base, node = np.array(flat, dtype=np.int64).T
-        counts = np.array([len(words) for words in split])
+        base, node = self.lattices.bases[codes], self.lattices.lasts[codes]
         seed = np.repeat(np.array(seeds, dtype=np.int64).view(np.uint64), counts)
         shift = np.cumsum(node - base) - (node - base)
         heads = np.minimum(np.cumsum(counts) - counts, len(shift) - 1)  # first word of each text
         offset = (shift - np.repeat(shift[heads], counts)).astype(np.uint64)
         active, steps = np.arange(len(node)), []
-        sums = self.lattices.sums[: self.lattices.edges]
+        sums, first = self.lattices.sums, self.lattices.first
         while len(active):
             at = node[active]
-            drawn = uniform(seed[active], offset[active] + (at - base[active]).astype(np.uint64))
-            edge = np.searchsorted(sums, at + drawn, side="right")
+            drawn = at + uniform(seed[active], offset[active] + (at - base[active]).astype(np.uint64))
+            edge = first[at]
+            behind = np.flatnonzero(sums[edge] <= drawn)
+            while len(behind):
+                edge[behind] += 1
+                behind = behind[sums[edge[behind]] <= drawn[behind]]
             steps.append((active, self.lattices.pieces[edge]))
             node[active] = self.lattices.sources[edge]
             active = active[node[active] > base[active]]
