@@ -53,7 +53,7 @@ def churn_dataset(
 
 def _exact_average(measure: str) -> Column:
     """Average of a column from its exact sum in millionths, the same in every order of the rows."""
-    total = F.sum(F.col(measure).cast("decimal(18,6)")).cast("double")
+    total = F.sum(F.col(measure).cast("decimal(28,6)")).cast("double")
     return F.try_divide(total, F.count(measure).cast("double"))
 
 
