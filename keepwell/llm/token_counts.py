@@ -11,9 +11,9 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from keepwell.llm.common import fresh_name
 from keepwell.scratch import materialise
@@ -96,8 +96,9 @@ def token_counts(
             yield pd.DataFrame({"digest": frame["digest"], "tokenizer": version, "n_tokens": counts})
 
     misses.mapInPandas(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    counts = materialise(_stored(docs, cache, version), "counts")  # so that a hot digest can be split in the join
     names = [fresh_name([id_col], n) for n in ("n_bytes", "n_tokens", "over_limit")]
-    return rows.join(_stored(docs, cache, version), "digest").select(
+    return rows.join(counts, "digest").select(
         F.col("id").alias(id_col),
         F.col("n_bytes").alias(names[0]),
         F.col("n_tokens").alias(names[1]),
