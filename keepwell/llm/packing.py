@@ -11,7 +11,7 @@ partitioned, and no state leaves a task; a task that runs again makes its sequen
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ CAPACITY = 1024
 END_ID = 0
 #: Sequences of one partition are numbered from its number times this.
 PARTITION_STEP = 1 << 33
-FLUSH_ROWS = 20_000
+FLUSH_SEQUENCES = 1_000
 ENCODE_ROWS = 256
 
 
@@ -101,7 +101,8 @@ class Packer:
 
 
 def _rows(sequences: list[list[Piece]], first: int, schema: pa.Schema) -> pa.RecordBatch:
-    columns: list[list] = [[] for _ in range(8)]
+    """One row per piece, with the columns of the schema: all of them, or all but the ids."""
+    columns: list[list] = [[] for _ in schema]
     for number, pieces in enumerate(sequences, first):
         offset = 0
         for p in pieces:
@@ -133,8 +134,9 @@ def pack(
     id_type = docs.schema[id_col].dataType.simpleString()
     names = [fresh_name([id_col], n) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
     columns = [f"`{id_col}` {id_type}", *[f"{n} long" for n in names]]
+    ids_name = fresh_name([id_col], "ids")
     if with_ids:
-        columns.append(f"{fresh_name([id_col], 'ids')} array<int>")
+        columns.append(f"{ids_name} array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
@@ -144,10 +146,11 @@ def pack(
         def flushed() -> Iterator[pa.RecordBatch]:
             nonlocal number
             sequences = packer.take()
-            schema = pa.schema(list(zip([id_col, *names, "ids"], [id_kind, *kinds, pa.list_(pa.int32())])))
+            fields = list(zip([id_col, *names], [id_kind, *kinds]))
+            schema = pa.schema([*fields, (ids_name, pa.list_(pa.int32()))] if with_ids else fields)
             batch = _rows(sequences, number, schema)
             number += len(sequences)
-            yield batch if with_ids else batch.select([id_col, *names])
+            yield batch
 
         for batch in batches:
             id_kind = batch.schema.field(0).type
@@ -155,7 +158,7 @@ def pack(
                 part = batch.slice(at, ENCODE_ROWS)
                 for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
                     packer.add(doc, np.append(ids, np.uint32(end_id)))
-                if len(packer.closed) >= FLUSH_ROWS // 16:
+                if len(packer.closed) >= FLUSH_SEQUENCES:
                     yield from flushed()
         packer.finish()
         if packer.closed:

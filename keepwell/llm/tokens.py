@@ -5,12 +5,20 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
-#: Bounds of the cache of one worker process.
-CACHED_WORDS = 1_000_000
-CACHED_CHARS = 16_000_000
+from keepwell.llm.common import put
+
+#: Bounds of the cache of one worker process, about 400 MB.
+CACHED_WORDS = 2_000_000
+CACHED_CHARS = 32_000_000
+
+#: How byte-level vocabularies write the space, and how many words are encoded at a time; UNKNOWN: no code yet.
+BYTE_SPACE = "\u0120"
+JOINED_WORDS = 200
+UNKNOWN = -2
 
 
 class WordEncoder:
@@ -26,47 +34,70 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens_word[[i for piece, i in vocabulary.items() if piece.startswith(BYTE_SPACE)]] = True
         self.clear()
 
     def clear(self) -> None:
         self.codes: dict[str, int] = {}
-        self.chars = 0
-        self.lengths, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.chars = self.known = self.filled = 0
+        self.lengths, self.starts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat = np.zeros(1 << 16, np.uint32)
 
     def _plain(self, texts: Sequence[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(x.ids, dtype=np.uint32) for x in found]
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.codes) > CACHED_WORDS or self.chars > CACHED_CHARS:
-            self.clear()
-        new = list(words.difference(self.codes))
-        safe = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        self.codes.update(dict.fromkeys(new, -1))
-        self.codes.update(zip(safe, range(len(self.lengths), len(self.lengths) + len(safe))))
+    def _learn(self, new: set[str]) -> None:
+        """Encode new words, many in one string: only the first id of a word begins with a space.
+
+        Words that are empty or begin or end with white space get code -1.
+        """
+        safe = [w for w in new if w and w.strip() == w]
+        if len(safe) < len(new):
+            self.codes.update(dict.fromkeys(new, -1))
+        self.codes.update(zip(safe, range(self.known, self.known + len(safe))))
         if not safe:
             return
-        ids = self._plain([" " + w for w in safe])
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.flat = np.concatenate((self.flat, *ids))
+        joined = [" " + " ".join(safe[at : at + JOINED_WORDS]) for at in range(0, len(safe), JOINED_WORDS)]
+        ids = np.concatenate(self._plain(joined))
+        starts = np.flatnonzero(self.opens_word[ids])
+        lengths = np.diff(starts, append=len(ids))
+        self.starts = put(self.starts, self.known, starts + self.filled)
+        self.lengths = put(self.lengths, self.known, lengths)
+        self.flat = put(self.flat, self.filled, ids)
+        self.known += len(safe)
+        self.filled += len(ids)
         self.chars += sum(map(len, safe))
 
+    def _codes(self, words: list[str]) -> np.ndarray:
+        if len(self.codes) > CACHED_WORDS or self.chars > CACHED_CHARS:
+            self.clear()
+        codes = np.fromiter(map(self.codes.get, words, repeat(UNKNOWN)), np.int64, len(words))
+        new = np.flatnonzero(codes == UNKNOWN)
+        if len(new):
+            found = [words[i] for i in new.tolist()]
+            self._learn(set(found))
+            codes[new] = np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found))
+        return codes
+
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         split = [text.split(" ") for text in texts]
-        self._learn({w for words in split for w in words[1:]})
+        codes = self._codes([w for words in split for w in words[1:]])
         heads = self._plain([words[0] for words in split])
-        result = []
+        lengths = self.lengths[codes]  # of no use where the code is -1
+        starts = self.starts[codes]
+        result, at = [], 0
         for text, words, head in zip(texts, split, heads):
-            codes = np.fromiter(map(self.codes.__getitem__, words[1:]), np.int64, len(words) - 1)
-            if len(codes) and (codes.min() < 0 or words[0][-1:].isspace()):
+            part = slice(at, at + len(words) - 1)
+            at = part.stop
+            if len(words) > 1 and (codes[part].min() < 0 or words[0][-1:].isspace()):
                 result += self._plain([text])
                 continue
-            lengths = self.lengths[codes]
-            ends = np.cumsum(lengths)
-            places = np.repeat(self.starts[codes] - (ends - lengths), lengths)
+            size = lengths[part]
+            ends = np.cumsum(size)
+            places = np.repeat(starts[part] - (ends - size), size)
             body = self.flat[places + np.arange(len(places))]
             result.append(np.concatenate((head, body)))
         return result
