@@ -46,6 +46,7 @@ def remove_runs(
     key, cut_name = fresh_name(docs.columns, "key"), fresh_name(docs.columns, "cut")
     runs = runs.withColumnsRenamed({c: fresh_name(docs.columns, f"_run_{c}") for c in runs.columns})
     run_id, run_key, run_list = runs.columns
+    runs = runs.hint("shuffle_hash")  # the texts are moved once and never sorted, whatever the number of runs
     keyed = docs.withColumn(key, row_key(F.col(id_col), F.col(text_col)))
     joined = keyed.join(runs, (keyed[key] == runs[run_key]) & keyed[id_col].eqNullSafe(runs[run_id]), "left")
     hit = F.col(run_list).isNotNull()
