@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.common import row_key, words_of
+from keepwell.llm.common import SPACE_CLASS, SPACES, row_key, words_of
 from keepwell.llm.units import remove_runs, texts_replaced
 from keepwell.scratch import materialise
 
@@ -30,52 +30,86 @@ def lines_of(text: Column) -> Column:
 
 
 def list_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
-    """One row per line that has a word, with its tokens and its leaf."""
+    """One row per line that has a word, with its leading tokens, joined."""
     listed = docs.select(
         F.col(id_col).alias("id"),
         row_key(F.col(id_col), F.col(text_col)).alias("key"),
         F.xxhash64(text_col).alias("text_key"),
         F.posexplode(lines_of(F.col(text_col))).alias("line", "content"),
-    ).select("id", "key", "text_key", "line", words_of(F.col("content")).alias("tokens"))
-    lead = F.transform(
-        F.slice("tokens", 1, depth), lambda t: F.when(t.rlike("[0-9]"), WILDCARD).otherwise(t)
-    )
-    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), lead)
-    return listed.filter(F.size("tokens") > 0).withColumn("leaf", leaf)
+    ).withColumn("content", F.btrim("content", F.lit(SPACES)))
+    first = F.slice(F.split("content", SPACE_CLASS + "+", depth + 1), 1, depth)
+    lead = F.transform(first, lambda t: F.when(t.rlike("[0-9]"), WILDCARD).otherwise(t))
+    return listed.filter("content <> ''").withColumn("lead", F.concat_ws(" ", lead))
 
 
-def recurring_lines(
-    docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, similar: float
-) -> DataFrame:
-    """(id, key, line, template) of the lines to drop."""
+def candidate_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int) -> DataFrame:
+    """(id, key, text_key, line, leaf, plain) of the lines whose leaf is in ``min_docs`` texts.
+
+    Lines whose leading tokens alone are in too few texts are left out before all tokens are read.
+    """
     lines = list_lines(docs, id_col, text_col, depth)
-    seen = lines.select("leaf", "text_key").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
-    leaves = materialise(seen.filter(F.col("n") >= min_docs).select("leaf"), "leaves")
-    inner = materialise(lines.join(leaves, "leaf", "left_semi").distinct(), "lines")
-    placed = inner.select("id", "key", "text_key", "line", "leaf", F.posexplode("tokens").alias("at", "token"))
-    found = placed.select("leaf", "at", "token", "text_key").distinct()
-    counted = found.groupBy("leaf", "at", "token").agg(F.count("*").alias("n"))
-    constant = materialise(
-        counted.filter(F.col("n") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("constant")), "constant"
+    leads = materialise(_in_texts(lines, ["lead"], min_docs), "leads")
+    tokens = words_of(F.col("content"))
+    inner = lines.join(leads, "lead", "left_semi").select(
+        "id", "key", "text_key", "line",
+        F.concat_ws(" ", F.size(tokens).cast("string"), "lead").alias("leaf"),
+        F.array_join(tokens, " ").alias("plain"),
     )
+    inner = materialise(inner.distinct(), "lines")
+    return inner.join(_in_texts(inner, ["leaf"], min_docs), "leaf", "left_semi")
+
+
+def _in_texts(df: DataFrame, keys: Sequence[str], min_docs: int) -> DataFrame:
+    """The keys that are in ``min_docs`` different texts."""
+    seen = df.select(*keys, "text_key").distinct().groupBy(*keys).agg(F.count("*").alias("n"))
+    return seen.filter(F.col("n") >= min_docs).select(*keys)
+
+
+def _tokens(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(*columns, F.posexplode(F.split("plain", " ")).alias("at", "token"))
+
+
+def line_templates(lines: DataFrame, min_docs: int, similar: float) -> DataFrame:
+    """(leaf, plain, template) for every different line that has a template.
+
+    All tokens of a line that is itself in ``min_docs`` texts are constant, so the line is its own
+    template. A token of no such line is counted over the texts of the other lines alone.
+    """
+    counted = lines.select("leaf", "plain", "text_key").distinct().groupBy("leaf", "plain").agg(F.count("*").alias("n"))
+    contents = materialise(counted.withColumn("no", F.monotonically_increasing_id()), "contents")
+    common, rare = contents.filter(F.col("n") >= min_docs), contents.filter(F.col("n") < min_docs)
+    rare_lines = lines.join(rare.select("leaf", "plain"), ["leaf", "plain"], "left_semi")
+    counts = _in_texts(_tokens(rare_lines, "leaf", "text_key"), ["leaf", "at", "token"], min_docs)
+    constant = counts.unionByName(_tokens(common, "leaf")).distinct().withColumn("constant", F.lit(True))
+    constant = materialise(constant, "constant")
     field = F.when(F.col("constant"), F.col("token")).otherwise(WILDCARD)
     parsed = (
-        placed.join(constant, ["leaf", "at", "token"], "left")
-        .groupBy("id", "key", "text_key", "line")
+        _tokens(rare, "no", "leaf")
+        .join(constant, ["leaf", "at", "token"], "left")
+        .groupBy("no")
         .agg(
             F.sort_array(F.collect_list(F.struct("at", field.alias("field")))).alias("fields"),
             F.count("constant").alias("constants"),
-            F.count("*").alias("n"),
         )
-        .filter(F.col("constants") >= F.col("n") * similar)
-        .select("id", "key", "text_key", "line", F.concat_ws(" ", "fields.field").alias("template"))
+        .filter(F.col("constants") >= F.size("fields") * similar)
+        .select("no", F.concat_ws(" ", "fields.field").alias("template"))
     )
-    parsed = materialise(parsed, "templates")
-    texts = parsed.select("template", "text_key").distinct().groupBy("template").agg(F.count("*").alias("n"))
+    own = common.select("leaf", "plain", F.col("plain").alias("template"))
+    return rare.join(parsed, "no").select("leaf", "plain", "template").unionByName(own)
+
+
+def recurring_lines(
+    docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, similar: float
+) -> DataFrame:
+    """(id, key, line, template) of the lines to drop."""
+    lines = materialise(candidate_lines(docs, id_col, text_col, depth, min_docs), "candidates")
+    templates = materialise(line_templates(lines, min_docs, similar), "templates")
+    parsed = lines.join(templates, ["leaf", "plain"]).select("id", "key", "text_key", "line", "template")
+    parsed = materialise(parsed, "parsed")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key", "line")
     first = parsed.groupBy("template").agg(F.min(rank).alias("first"))
-    recurring = texts.filter(F.col("n") >= min_docs).join(first, "template")
-    later = parsed.join(materialise(recurring.select("template", "first"), "recurring"), "template")
+    recurring = materialise(_in_texts(parsed, ["template"], min_docs).join(first, "template"), "recurring")
+    later = parsed.join(recurring, "template")
     return later.filter(rank != F.col("first")).select("id", "key", "line", "template")
 
 
