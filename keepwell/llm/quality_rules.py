@@ -5,7 +5,7 @@ For the texts that pass them, four integer signals are measured and gathered, pe
 quantile sketches. A sketch counts values in log-linear buckets: values below 128 are exact, above that a
 bucket spans at most 1/64 of its value. Counts add up, so sketches merge in any order and give the same
 result on every partitioning; those of the sources of a language merge into the language's, and all
-into one. From the quartiles follow fences, and a text outside a fence of its group is not kept.
+into one. From quantiles follow fences, and a text outside a fence of its group is not kept.
 Everything runs as DataFrame operations; a hot source only adds to counts before the shuffle.
 """
 
@@ -38,6 +38,42 @@ class Fences:
     least: tuple[int, int, int, int] = (300, 60, 600, 200)
     min_rows: int = 30
 
+    def percents(self, signal: int) -> tuple[int, ...]:
+        return 25, 75
+
+    def bounds(self, signal: int) -> tuple[Column, Column]:
+        q1, q3 = quantile_name(25, signal), quantile_name(75, signal)
+        gap = F.greatest(self.spreads * (F.col(q3) - F.col(q1)), F.lit(self.least[signal]))
+        return F.col(q1) - gap, F.col(q3) + gap
+
+
+@dataclass(frozen=True)
+class TailFences:
+    """Fences that the group's own sketch decides.
+
+    ``upper`` is the percentage of each signal that counts as usual; its mirror image bounds the lower end.
+    A fence lies ``spreads`` times the way from the median to that quantile beyond it, and one bucket's
+    width at least, which decides only where the quantile equals the median. Repeated lines and
+    repeated words are absent from most texts, so their spread shows only far up.
+    """
+
+    upper: tuple[int, int, int, int] = (75, 75, 98, 98)
+    spreads: tuple[int, int, int, int] = (10, 10, 1, 2)
+    min_rows: int = 100
+
+    def percents(self, signal: int) -> tuple[int, ...]:
+        return 100 - self.upper[signal], 50, self.upper[signal]
+
+    def bounds(self, signal: int) -> tuple[Column, Column]:
+        low, mid, high = (F.col(quantile_name(p, signal)) for p in self.percents(signal))
+        below = F.greatest(self.spreads[signal] * (mid - low), bucket_width(low))
+        above = F.greatest(self.spreads[signal] * (high - mid), bucket_width(high))
+        return low - below, high + above
+
+
+def quantile_name(percent: int, signal: int) -> str:
+    return f"q{percent}_{signal}"
+
 
 def repeat_words(words: Column, size: int = WINDOW) -> Column:
     """Number of words that lie in windows of ``size`` words found twice or more in the text.
@@ -110,10 +146,13 @@ def signals(m: dict[str, str]) -> list[Column]:
     ]
 
 
+def bucket_width(value: Column) -> Column:
+    return F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - 7, F.lit(0))).cast("long")
+
+
 def bucket(value: Column) -> Column:
     """Lower end of the value's bucket: its seven leading binary digits, zeros behind."""
-    width = F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - 7, F.lit(0))).cast("long")
-    return value - value % width
+    return value - value % bucket_width(value)
 
 
 def build_sketches(measured: DataFrame, m: dict[str, str], keys: Sequence[str]) -> DataFrame:
@@ -128,25 +167,25 @@ def merge_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sketches.groupBy(*keys, "signal", "low").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: number of texts, and both outer quartiles of every signal."""
+def quantiles(sketches: DataFrame, keys: Sequence[str], fences: Fences | TailFences) -> DataFrame:
+    """One row per key: number of texts, and the quantiles of every signal that the fences need."""
     group = Window.partitionBy(*keys, "signal")
     upto = F.sum("n").over(group.orderBy("low").rowsBetween(Window.unboundedPreceding, 0))
     placed = sketches.withColumns({"upto": upto, "rows": F.sum("n").over(group)})
     aggs = [F.max("rows").alias("rows")]
     for i in range(len(SIGNALS)):
-        for q in (1, 3):
-            reached = (F.col("signal") == i) & (4 * F.col("upto") >= q * F.col("rows"))
-            aggs.append(F.min(F.when(reached, F.col("low"))).alias(f"q{q}_{i}"))
+        for p in fences.percents(i):
+            reached = (F.col("signal") == i) & (100 * F.col("upto") >= p * F.col("rows"))
+            aggs.append(F.min(F.when(reached, F.col("low"))).alias(quantile_name(p, i)))
     return placed.groupBy(*keys).agg(*aggs)
 
 
-def thresholds(sketches: DataFrame, fences: Fences) -> DataFrame:
+def thresholds(sketches: DataFrame, fences: Fences | TailFences) -> DataFrame:
     """Lower and upper fence of every signal for every (language, source), however small."""
-    values = [f"q{q}_{i}" for i in range(len(SIGNALS)) for q in (1, 3)]
-    own = quartiles(sketches, ["k0", "k1"])
-    lang = quartiles(merge_sketches(sketches, ["k0"]), ["k0"])
-    every = quartiles(merge_sketches(sketches.withColumn("all", F.lit(1)), ["all"]), ["all"])
+    values = [quantile_name(p, i) for i in range(len(SIGNALS)) for p in fences.percents(i)]
+    own = quantiles(sketches, ["k0", "k1"], fences)
+    lang = quantiles(merge_sketches(sketches, ["k0"]), ["k0"], fences)
+    every = quantiles(merge_sketches(sketches.withColumn("all", F.lit(1)), ["all"]), ["all"], fences)
 
     def renamed(df: DataFrame, level: str) -> DataFrame:
         return df.withColumnsRenamed({c: f"{level}_{c}" for c in df.columns})
@@ -166,10 +205,9 @@ def thresholds(sketches: DataFrame, fences: Fences) -> DataFrame:
 
     picked = joined.select("k0", "k1", *[chosen(v).alias(v) for v in values])
     bounds = []
-    for i, least in enumerate(fences.least):
-        q1, q3 = F.col(f"q1_{i}"), F.col(f"q3_{i}")
-        gap = F.greatest(fences.spreads * (q3 - q1), F.lit(least))
-        bounds += [(q1 - gap).alias(f"low_{i}"), (q3 + gap).alias(f"high_{i}")]
+    for i in range(len(SIGNALS)):
+        low, high = fences.bounds(i)
+        bounds += [low.alias(f"low_{i}"), high.alias(f"high_{i}")]
     return picked.select("k0", "k1", *bounds)
 
 
@@ -179,7 +217,7 @@ def quality_rules(
     lang_col: str = "lang",
     source_col: str = "source",
     carry: Sequence[str] | None = None,
-    fences: Fences = Fences(),
+    fences: Fences | TailFences = Fences(),
 ) -> tuple[DataFrame, dict[str, str]]:
     """Measures, ``base_failed`` and ``kept`` for every row, beside the ``carry`` columns (default: all).
 

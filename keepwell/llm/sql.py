@@ -67,6 +67,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+# The same measures and sketches, with the fences of TailFences.
+QUALITY_RULES_TAILS = QUALITY_RULES.partition("), quart AS (")[0] + r"""), quant AS (
+  SELECT level, lang, source, signal, max(total) AS total,
+    min(low) FILTER (100 * upto >= [25, 25, 2, 2][signal + 1] * total) AS lo,
+    min(low) FILTER (2 * upto >= total) AS mid,
+    min(low) FILTER (100 * upto >= [75, 75, 98, 98][signal + 1] * total) AS hi
+  FROM placed GROUP BY ALL
+), fences AS (
+  SELECT level, lang, source, signal, total,
+    lo - greatest([10, 10, 1, 2][signal + 1] * (mid - lo), CAST(pow(2, greatest(length(bin(lo)) - 7, 0)) AS BIGINT)) AS least,
+    hi + greatest([10, 10, 1, 2][signal + 1] * (hi - mid), CAST(pow(2, greatest(length(bin(hi)) - 7, 0)) AS BIGINT)) AS most
+  FROM quant
+), chosen AS (
+  SELECT o.lang, o.source, o.signal,
+    CASE WHEN o.total >= 100 THEN o.least WHEN l.total >= 100 THEN l.least ELSE a.least END AS least,
+    CASE WHEN o.total >= 100 THEN o.most WHEN l.total >= 100 THEN l.most ELSE a.most END AS most
+  FROM fences o
+  JOIN fences l ON l.level = 1 AND l.signal = o.signal AND l.lang IS NOT DISTINCT FROM o.lang
+  JOIN fences a ON a.level = 2 AND a.signal = o.signal
+  WHERE o.level = 0
+), outside AS (
+  SELECT DISTINCT rid
+  FROM (SELECT rid, lang, source, unnest([0, 1, 2, 3]) AS signal, unnest(s) AS v FROM f) x
+  JOIN chosen c ON c.signal = x.signal AND c.lang IS NOT DISTINCT FROM x.lang
+    AND c.source IS NOT DISTINCT FROM x.source
+  WHERE v > most OR v < least
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND rid NOT IN (SELECT rid FROM outside) AS kept
+FROM f
+"""
+
 SUBSTRING_DEDUP = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, text FROM documents

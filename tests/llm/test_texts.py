@@ -92,6 +92,31 @@ def test_small_groups_take_the_thresholds_of_their_language(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
 
 
+def test_tail_fences_as_in_sql(documents):
+    judged, _ = quality_rules.quality_rules(documents, carry=["doc_id"], fences=quality_rules.TailFences())
+    assert_same(judged, sql.QUALITY_RULES_TAILS, documents=documents.select("doc_id", "text", "lang", "source"))
+
+
+def test_every_signal_can_reject_by_the_tail_of_its_group(spark):
+    def lines(k, twice):
+        own = [sentence(60 * k + j, 6) for j in range(12)]
+        return "\n".join([*own, *own[:twice]])
+
+    texts = [(k, lines(k, 0)) for k in range(120)]
+    odd = {
+        900: " ".join(f"{w}abcdefghij" for w in lines(900, 0).split(" ")), 901: lines(901, 0) + " ### $$$",
+        902: lines(902, 0) + "\n-" * 9, 903: lines(903, 0) + " " + " ".join(lines(903, 0).split()[:7]),
+    }
+    docs = corpus(spark, [*texts, *odd.items()]).withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    kept = {}
+    for fences in (quality_rules.Fences(), quality_rules.TailFences()):
+        judged, names = quality_rules.quality_rules(docs, carry=["doc_id"], fences=fences)
+        assert judged.filter(names["base_failed"]).count() == 0
+        kept[type(fences)] = {r.doc_id for r in judged.filter(names["kept"]).collect()}
+    assert {902, 903} <= kept[quality_rules.Fences]
+    assert kept[quality_rules.TailFences] == set(range(120))
+
+
 def test_empty_tables_and_columns(spark):
     docs = corpus(spark, [])
     assert quality_rules.kept_documents(docs).columns == docs.columns
