@@ -47,6 +47,13 @@ def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _with_spans(substring_dedup.substring_dedup(docs, carry=["doc_id", "text"]))
 
 
+def _substring_dedup_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Every repeated unit but the earliest is cut, however short."""
+    docs = read_table(spark, folder, "documents")
+    every = substring_dedup.EVERY_UNIT
+    return _with_spans(substring_dedup.substring_dedup(docs, carry=["doc_id", "text"], min_words=every))
+
+
 def _line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return _with_spans(line_dedup.line_dedup(docs, carry=["doc_id", "text"]))
@@ -115,6 +122,7 @@ def queries() -> dict[str, Query]:
         "op2_exact_search": _exact_search,
         "op3_simhash_dedup": _simhash,
         "op4_substring_dedup": _substring_dedup,
+        "op4_substring_dedup_units": _substring_dedup_units,
         "op5_line_dedup": _line_dedup,
         "op6_token_counts": _token_counts,
         "op7_packing": _packing,
@@ -129,6 +137,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_search": sql.EXACT_SEARCH,
         "op4_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op4_substring_dedup_units": sql.SUBSTRING_DEDUP_UNITS,
         "op5_line_dedup": sql.LINE_DEDUP,
         "op9_tool_chat": sql.TOOL_CHAT,
         "op10_quality_rules": sql.QUALITY_RULES,

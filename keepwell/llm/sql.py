@@ -138,6 +138,9 @@ SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS
 FROM d LEFT JOIN kept ON d.rid = kept.rid LEFT JOIN spans ON d.rid = spans.rid
 """
 
+# Every repeated unit goes, with no least number of words.
+SUBSTRING_DEDUP_UNITS = SUBSTRING_DEDUP.replace(" HAVING sum(words) >= 30", "")
+
 LINE_DEDUP = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, text, md5(text) AS text_key FROM documents

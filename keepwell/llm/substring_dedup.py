@@ -4,7 +4,8 @@ A unit ends with a line, after the white space that follows a full stop, exclama
 before a capitalised word, so that a passage set into other prose falls into the same units wherever it
 stands. Units are normalised (lower case, single spaces) and grouped by a 128-bit digest; the earliest
 occurrence, by identifier and place, stays. Repeated units are removed where they stand in a row with
-``min_words`` words or more between them, so single common phrases are left alone.
+``min_words`` words or more between them, so single common phrases are left alone. ``EVERY_UNIT`` removes each
+repeated unit: the whole units inside a passage go, however few words they hold together.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from keepwell.scratch import materialise
 
 BOUNDARY = r"(?<=\n)|(?<=[ \t\r])(?=\p{Lu})|(?<=[.!?][ \t\r])(?=\S)"
 MIN_WORDS = 30
+EVERY_UNIT = 1
 
 
 def units_of(text: Column) -> Column:

@@ -49,6 +49,23 @@ def test_substring_dedup_as_in_sql(documents):
     assert all("sentence 3" not in by_id[k].text and f"tail {k}" in by_id[k].text for k in (7, 14, 21, 28, 35))
 
 
+def test_every_repeated_unit_goes(spark, documents, tmp_path):
+    cut = query_like(substring_dedup.substring_dedup(
+        documents, carry=["doc_id", "text"], min_words=substring_dedup.EVERY_UNIT
+    ))
+    assert_same(cut, sql.SUBSTRING_DEDUP_UNITS, documents=documents.select("doc_id", "text"))
+
+    inner = "Five words stand right here. " + " ".join(f"Then six more words stand {k}." for k in range(3)) + " "
+    shared = sentence(7, 16) + ". " + inner + "Last " + sentence(8, 15)
+    assert len(shared.split()) == 55
+    texts = [(1, f"Alpha {shared} beta gamma."), (2, f"Delta own {shared} other end."), (3, "Then six more words stand 1.")]
+    path = str(tmp_path / "documents.parquet")
+    corpus(spark, texts).write.parquet(path)
+    found = {r.doc_id: r.text for r in registry.queries()["op4_substring_dedup_units"](spark, str(tmp_path)).collect()}
+    assert found[1] == texts[0][1] and found[3] == ""
+    assert found[2] == texts[1][1].replace(inner, "")
+
+
 def test_spans_are_offsets_of_the_whole_text(documents):
     for operator in (line_dedup.line_dedup, substring_dedup.substring_dedup):
         whole = {r.doc_id: r.text for r in documents.collect()}
