@@ -153,3 +153,20 @@ def test_whole_run_from_a_file(spark, folder):
     assert stages == {"setup", "data", "search", "test", "selection", "impact"}
     pipeline, fitted = runs.load_model(spark, f"{folder}/out/model")
     assert fitted.names == result.fitted.names and len(pipeline.stages) == 2
+
+
+def test_queries_search_the_whole_grids_with_five_folds(monkeypatch):
+    class Nothing:
+        comparison = None
+        rebalanced = table = lambda self, *_: None
+
+    seen, nothing = [], Nothing()
+    monkeypatch.setattr(registry, "_training_table", lambda bound: nothing)
+    monkeypatch.setattr(registry, "_engineered", lambda bound: None)
+    monkeypatch.setattr(registry.training, "make_folds", lambda table, folds: folds)
+    monkeypatch.setattr(registry.training, "grid_search", lambda table, *job: seen.append(job) or nothing)
+    monkeypatch.setattr(registry.training, "train_select", lambda df, *grids, **job: seen.append((grids, job)) or nothing)
+    for name in ("logistic_search", "forest_search", "train_select"):
+        registry.queries()[name](None, "")
+    assert seen == [(5, training.logistic_grid()), (5, training.forest_grid()), ((), {"run_log": None})]
+    assert [len(grid) for _, grid in seen[:2]] == [16, 24]
