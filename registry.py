@@ -172,6 +172,12 @@ def _smote(bound: StarBinding, **options) -> DataFrame:
     return balance.smote(cleaned, ["tenure_months", "monthly_charges"], **options)
 
 
+def _smote_prepared(bound: StarBinding) -> DataFrame:
+    """Oversampling on every feature of the prepared table, as before training."""
+    fitted, table = prepared(bound)
+    return balance.smote(materialise(fitted.transform(table), "prepared"), fitted.names)
+
+
 def _labels_in_slices(bound: StarBinding) -> DataFrame:
     table = features.engineer(cleaning.clean(churn_table(bound)))
     return features.fit_labels(table, string_columns(table), windowed_labels=0)
@@ -187,6 +193,7 @@ def _features() -> dict[str, Query]:
         "split_profile": _bound(lambda b: rounded(cleaning.label_profile(_split(b), "split"))),
         "stratified_folds": _bound(_folds),
         "smote": _bound(lambda b: rounded(_smote(b))),
+        "smote_prepared": _bound(lambda b: rounded(_smote_prepared(b))),
         # The paths of large tables, by way of small parameters.
         "smote_boxed": _bound(lambda b: rounded(_smote(b, box_rows=32))),
         "label_codes_sliced": _bound(_labels_in_slices),

@@ -154,3 +154,14 @@ def test_rows_without_a_label_belong_to_no_class(spark):
     assert not balance.needs_rebalancing({})
     with pytest.raises(ValueError, match="values"):
         balance.class_counts(spark.range(2000).withColumnRenamed("id", "churn"), "churn")
+
+
+def test_a_query_oversamples_on_all_prepared_features(spark):
+    import registry
+    from keepwell.sources.star_binding import StarBinding
+
+    folder = "/root/testdata/sf0.001"
+    names = registry.prepared(StarBinding(spark, folder))[0].names
+    grown = registry.queries()["smote_prepared"](spark, folder)
+    assert set(names) < set(grown.columns) and len(names) > 20
+    assert len({r["count"] for r in grown.groupBy("churn").count().collect()}) == 1
