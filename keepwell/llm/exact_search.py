@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from keepwell.scratch import materialise
 
 SCALE = 256
-#: Integer components are held within this size, so that scores of up to 512 components are exact everywhere.
-LIMIT = 1 << 22
+#: Up to this size sums of products are exact in doubles; beyond, bounds are rounded outwards.
+EXACT = float(1 << 52)
+LARGEST = float((1 << 63) - 1024)
 CELLS = 64
 TILE_ROWS = 4096
 BLOCK_ROWS = 512
@@ -33,10 +34,7 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     fine = F.forall(F.col(vec_col), lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
     usable = vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & fine)
 
-    def component(x: Column) -> Column:
-        return F.greatest(F.least(F.floor(SCALE * x.cast("double")), F.lit(LIMIT)), F.lit(-LIMIT)).cast("int")
-
-    ints = F.transform(F.col(vec_col), component).alias("ints")
+    ints = F.transform(F.col(vec_col), lambda x: F.floor(SCALE * x.cast("double")).cast("long")).alias("ints")
     return usable.select(F.col(id_col).alias("id"), F.size(vec_col).alias("dim"), ints).distinct()
 
 
@@ -59,9 +57,10 @@ def approximation_tiles(classes: DataFrame, tile_rows: int, cells: int) -> DataF
     def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         x = np.array(frame["ints"].tolist(), dtype=np.int64).reshape(len(frame), -1)
         low = x.min(axis=0)
-        width = -(-(x.max(axis=0) - low + 1) // cells)
-        codes = ((x - low) // width).astype(np.uint8)
-        row = (*key, low, width, codes.tobytes(), frame["no"].to_numpy())
+        above = x.view(np.uint64) - low.view(np.uint64)  # modulo 2**64: exact even across the whole range
+        width = above.max(axis=0, initial=0) // np.uint64(cells) + np.uint64(1)
+        codes = (above // width).astype(np.uint8)
+        row = (*key, low, width.astype(np.int64), codes.tobytes(), frame["no"].to_numpy())
         return pd.DataFrame([row], columns=["dim", "tile", "low", "width", "codes", "nos"])
 
     placed = classes.select("no", "dim", "ints", F.pmod(F.xxhash64("no"), F.lit(tiles)).alias("tile"))
@@ -71,10 +70,14 @@ def approximation_tiles(classes: DataFrame, tile_rows: int, cells: int) -> DataF
 
 def bounds(q: np.ndarray, low: np.ndarray, width: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Upper and lower bounds of the inner products of queries with vectors known by their cells."""
-    near = (low + codes * width).astype(np.float64)
-    far = near + (width - 1)
-    plus, minus = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
-    return plus @ far.T + minus @ near.T, plus @ near.T + minus @ far.T
+    least, step, q = low.astype(np.float64), width.astype(np.float64), q.astype(np.float64)
+    near = least + codes * step
+    far = near + (step - 1)
+    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+    upper, lower = plus @ far.T + minus @ near.T, plus @ near.T + minus @ far.T
+    size = np.abs(q) @ (np.abs(least) + 256 * step)
+    slack = np.where(size < EXACT, 0.0, size * (4 * len(low) + 16) * np.finfo(np.float64).eps)[:, None]
+    return np.clip(np.ceil(upper + slack), -LARGEST, LARGEST), np.clip(np.floor(lower - slack), -LARGEST, LARGEST)
 
 
 def scan(tiles: DataFrame, queries: DataFrame, want: int, block_rows: int) -> DataFrame:
@@ -111,14 +114,14 @@ def scan(tiles: DataFrame, queries: DataFrame, want: int, block_rows: int) -> Da
 
 
 def _exact(candidates: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """(query, ids, own, score): the exact score of every candidate, and whether it is the query's vector."""
-    product = F.zip_with("a", "b", lambda x, y: x.cast("long") * y)
+    """(query, no, ids, own, score): the exact score of every candidate, and whether it is the query's vector."""
+    product = F.zip_with("a", "b", lambda x, y: x * y)
     return (
         candidates.select("query", "no")
         .join(classes.select("no", "ids", F.col("ints").alias("b")), "no")
         .join(queries.select(F.col("no").alias("query"), F.col("ints").alias("a")), "query")
         .select(
-            "query", "ids", (F.col("a") == F.col("b")).alias("own"),
+            "query", "no", "ids", (F.col("a") == F.col("b")).alias("own"),
             F.aggregate(product, F.lit(0).cast("long"), lambda t, x: t + x).alias("score"),
         )
     )
@@ -133,13 +136,16 @@ def _last_of(df: DataFrame, value: str, want: int) -> DataFrame:
 
 def refine(found: DataFrame, queries: DataFrame, classes: DataFrame, want: int) -> DataFrame:
     """Exact scores of all candidates that can be among the ``want`` best classes of a query."""
-    certain = _last_of(found, "lower", want)
+    certain = materialise(_last_of(found, "lower", want), "certain")
     open_ = found.join(certain, "query", "left").filter(F.col("last").isNull() | (F.col("upper") >= F.col("last")))
+    open_ = materialise(open_.select("query", "no", "upper"), "open")
     order = Window.partitionBy("query").orderBy(F.col("upper").desc(), "no")
-    ordered = materialise(open_.select("query", "no", "upper", F.row_number().over(order).alias("place")), "ordered")
-    first = materialise(_exact(ordered.filter(F.col("place") <= want), queries, classes), "scores")
-    rest = ordered.filter(F.col("place") > want).join(_last_of(first, "score", want), "query")
-    return first.unionByName(_exact(rest.filter(F.col("upper") >= F.col("last")), queries, classes))
+    nearest = open_.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= want)
+    first = materialise(_exact(nearest, queries, classes), "scores")
+    last = materialise(_last_of(first, "score", want), "last")
+    rest = open_.join(last, "query").filter(F.col("upper") >= F.col("last"))
+    rest = rest.join(first.select("query", "no"), ["query", "no"], "left_anti")
+    return first.unionByName(_exact(rest, queries, classes))
 
 
 def exact_top_k(
@@ -156,7 +162,7 @@ def exact_top_k(
 
     ``is_query`` is a condition on the column ``id`` (default: divisible by 50). Scores are inner products
     of floor(256 * component); ties go to the smaller identifier. Rows with a NULL identifier, a NULL vector, or a NULL or non-finite
-    component take no part; components beyond 2**22 are held there. Only vectors of equal length are
+    component take no part; a score beyond 64 bits is an error. Only vectors of equal length are
     compared. Repeated rows count once; rows that share an identifier but not the vector are points of
     their own. A query with fewer than ``k`` other
     points has fewer results, an empty table none. Other columns are not read.

@@ -1,13 +1,14 @@
 """Line dedup by a tree of line templates.
 
 A line descends by its number of tokens and its leading tokens, those with digits as a wildcard, to a leaf
-of fixed depth. Within a leaf, a token that stands at the same position in ``min_docs`` texts is constant
+of fixed depth. Within a leaf, a token that stands at the same position in ``min_docs`` documents is constant
 and all others are variable fields, so the template of a line is its constant tokens with wildcards
 between them; a line of which less than ``similar`` of the tokens are constant has none. A template found in
-``min_docs`` different texts is recurring: its earliest line stays, all others are dropped.
+``min_docs`` documents is recurring: its earliest line stays, all others are dropped.
 
 The tree is grown by counting, not line by line, so the result does not depend on the order of the lines and
-no leaf has to fit into a task. Copies of a text count once.
+no leaf has to fit into a task. Documents are told apart by identifier and text, so copies of a text under
+other identifiers count.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ def list_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataF
     listed = docs.select(
         F.col(id_col).alias("id"),
         row_key(F.col(id_col), F.col(text_col)).alias("key"),
-        F.xxhash64(text_col).alias("text_key"),
         F.posexplode(lines_of(F.col(text_col))).alias("line", "content"),
     ).withColumn("content", F.btrim("content", F.lit(SPACES)))
     first = F.slice(F.split("content", SPACE_CLASS + "+", depth + 1), 1, depth)
@@ -43,25 +43,26 @@ def list_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataF
 
 
 def candidate_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int) -> DataFrame:
-    """(id, key, text_key, line, leaf, plain) of the lines whose leaf is in ``min_docs`` texts.
+    """(id, key, line, leaf, plain) of the lines whose leaf is in ``min_docs`` documents.
 
-    Lines whose leading tokens alone are in too few texts are left out before all tokens are read.
+    Lines whose leading tokens alone are in too few documents are left out before all tokens are read.
     """
     lines = list_lines(docs, id_col, text_col, depth)
-    leads = materialise(_in_texts(lines, ["lead"], min_docs), "leads")
+    leads = materialise(_in_documents(lines, ["lead"], min_docs), "leads")
     tokens = words_of(F.col("content"))
     inner = lines.join(leads, "lead", "left_semi").select(
-        "id", "key", "text_key", "line",
+        "id", "key", "line",
         F.concat_ws(" ", F.size(tokens).cast("string"), "lead").alias("leaf"),
         F.array_join(tokens, " ").alias("plain"),
     )
     inner = materialise(inner.distinct(), "lines")
-    return inner.join(_in_texts(inner, ["leaf"], min_docs), "leaf", "left_semi")
+    leaves = materialise(_in_documents(inner, ["leaf"], min_docs), "leaves")  # written, so that a hot leaf's join is split
+    return inner.join(leaves, "leaf", "left_semi")
 
 
-def _in_texts(df: DataFrame, keys: Sequence[str], min_docs: int) -> DataFrame:
-    """The keys that are in ``min_docs`` different texts."""
-    seen = df.select(*keys, "text_key").distinct().groupBy(*keys).agg(F.count("*").alias("n"))
+def _in_documents(df: DataFrame, keys: Sequence[str], min_docs: int) -> DataFrame:
+    """The keys that are in ``min_docs`` different documents."""
+    seen = df.select(*keys, "key").distinct().groupBy(*keys).agg(F.count("*").alias("n"))
     return seen.filter(F.col("n") >= min_docs).select(*keys)
 
 
@@ -72,14 +73,14 @@ def _tokens(df: DataFrame, *columns: str) -> DataFrame:
 def line_templates(lines: DataFrame, min_docs: int, similar: float) -> DataFrame:
     """(leaf, plain, template) for every different line that has a template.
 
-    All tokens of a line that is itself in ``min_docs`` texts are constant, so the line is its own
-    template. A token of no such line is counted over the texts of the other lines alone.
+    All tokens of a line that is itself in ``min_docs`` documents are constant, so the line is its own
+    template. A token of no such line is counted over the documents of the other lines alone.
     """
-    counted = lines.select("leaf", "plain", "text_key").distinct().groupBy("leaf", "plain").agg(F.count("*").alias("n"))
+    counted = lines.select("leaf", "plain", "key").distinct().groupBy("leaf", "plain").agg(F.count("*").alias("n"))
     contents = materialise(counted.withColumn("no", F.monotonically_increasing_id()), "contents")
     common, rare = contents.filter(F.col("n") >= min_docs), contents.filter(F.col("n") < min_docs)
     rare_lines = lines.join(rare.select("leaf", "plain"), ["leaf", "plain"], "left_semi")
-    counts = _in_texts(_tokens(rare_lines, "leaf", "text_key"), ["leaf", "at", "token"], min_docs)
+    counts = _in_documents(_tokens(rare_lines, "leaf", "key"), ["leaf", "at", "token"], min_docs)
     constant = counts.unionByName(_tokens(common, "leaf")).distinct().withColumn("constant", F.lit(True))
     constant = materialise(constant, "constant")
     field = F.when(F.col("constant"), F.col("token")).otherwise(WILDCARD)
@@ -104,11 +105,11 @@ def recurring_lines(
     """(id, key, line, template) of the lines to drop."""
     lines = materialise(candidate_lines(docs, id_col, text_col, depth, min_docs), "candidates")
     templates = materialise(line_templates(lines, min_docs, similar), "templates")
-    parsed = lines.join(templates, ["leaf", "plain"]).select("id", "key", "text_key", "line", "template")
+    parsed = lines.join(templates, ["leaf", "plain"]).select("id", "key", "line", "template")
     parsed = materialise(parsed, "parsed")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key", "line")
     first = parsed.groupBy("template").agg(F.min(rank).alias("first"))
-    recurring = materialise(_in_texts(parsed, ["template"], min_docs).join(first, "template"), "recurring")
+    recurring = materialise(_in_documents(parsed, ["template"], min_docs).join(first, "template"), "recurring")
     later = parsed.join(recurring, "template")
     return later.filter(rank != F.col("first")).select("id", "key", "line", "template")
 
@@ -124,7 +125,9 @@ def line_dedup(
 ) -> DataFrame:
     """``carry`` columns (default: all) with lines of recurring templates dropped, and ``removed``.
 
-    ``removed`` lists the dropped lines as spans of the original text; a line goes with its line end.
+    ``removed`` lists the dropped lines as spans of the original text; a line goes with its line end. A carried
+    column ``removed`` keeps its name and the spans get underscores in front. Very long texts are rows of
+    lines like all others; a line of very many words is one row.
     NULL texts stay NULL, empty ones empty, and lines without a word stay. Rows rank by identifier, NULL last,
     and then by a hash of the text; repeated rows (equal identifier and text) count as one document and have equal results. An empty
     table gives an empty result.

@@ -27,34 +27,14 @@ SIGNALS = ("word_length", "symbols", "dup_lines", "repeats")
 
 @dataclass(frozen=True)
 class Fences:
-    """Parameters of the adaptive thresholds.
-
-    ``spreads`` quartile distances, but at least ``least`` of a signal's unit, lie between a quartile
-    and its fence. ``min_rows`` texts make a group's own sketch count; a smaller group takes the sketch
-    of its language, and a smaller language the sketch of all.
-    """
-
-    spreads: int = 6
-    least: tuple[int, int, int, int] = (300, 60, 600, 200)
-    min_rows: int = 30
-
-    def percents(self, signal: int) -> tuple[int, ...]:
-        return 25, 75
-
-    def bounds(self, signal: int) -> tuple[Column, Column]:
-        q1, q3 = quantile_name(25, signal), quantile_name(75, signal)
-        gap = F.greatest(self.spreads * (F.col(q3) - F.col(q1)), F.lit(self.least[signal]))
-        return F.col(q1) - gap, F.col(q3) + gap
-
-
-@dataclass(frozen=True)
-class TailFences:
     """Fences that the group's own sketch decides.
 
     ``upper`` is the percentage of each signal that counts as usual; its mirror image bounds the lower end.
-    A fence lies ``spreads`` times the way from the median to that quantile beyond it, and one bucket's
-    width at least, which decides only where the quantile equals the median. Repeated lines and
-    repeated words are absent from most texts, so their spread shows only far up.
+    A fence lies ``spreads`` times the way from the median to that quantile beyond it, as far as their
+    buckets leave open how long that is, and one bucket's width at least, which decides only where the quantile equals the median. Repeated lines and
+    repeated words are absent from most texts, so their spread shows only far up. ``min_rows`` texts make a
+    group's own sketch count; a smaller group takes the sketch of its language, and a smaller language the
+    sketch of all.
     """
 
     upper: tuple[int, int, int, int] = (75, 75, 98, 98)
@@ -66,8 +46,9 @@ class TailFences:
 
     def bounds(self, signal: int) -> tuple[Column, Column]:
         low, mid, high = (F.col(quantile_name(p, signal)) for p in self.percents(signal))
-        below = F.greatest(self.spreads[signal] * (mid - low), bucket_width(low))
-        above = F.greatest(self.spreads[signal] * (high - mid), bucket_width(high))
+        blur = bucket_width(mid) - 1  # quantiles are known to within their bucket
+        below = F.greatest(self.spreads[signal] * (mid - low + blur), bucket_width(low))
+        above = F.greatest(self.spreads[signal] * (high - mid + blur), bucket_width(high))
         return low - below, high + above
 
 
@@ -167,7 +148,7 @@ def merge_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sketches.groupBy(*keys, "signal", "low").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketches: DataFrame, keys: Sequence[str], fences: Fences | TailFences) -> DataFrame:
+def quantiles(sketches: DataFrame, keys: Sequence[str], fences: Fences) -> DataFrame:
     """One row per key: number of texts, and the quantiles of every signal that the fences need."""
     group = Window.partitionBy(*keys, "signal")
     upto = F.sum("n").over(group.orderBy("low").rowsBetween(Window.unboundedPreceding, 0))
@@ -180,7 +161,7 @@ def quantiles(sketches: DataFrame, keys: Sequence[str], fences: Fences | TailFen
     return placed.groupBy(*keys).agg(*aggs)
 
 
-def thresholds(sketches: DataFrame, fences: Fences | TailFences) -> DataFrame:
+def thresholds(sketches: DataFrame, fences: Fences) -> DataFrame:
     """Lower and upper fence of every signal for every (language, source), however small."""
     values = [quantile_name(p, i) for i in range(len(SIGNALS)) for p in fences.percents(i)]
     own = quantiles(sketches, ["k0", "k1"], fences)
@@ -217,12 +198,13 @@ def quality_rules(
     lang_col: str = "lang",
     source_col: str = "source",
     carry: Sequence[str] | None = None,
-    fences: Fences | TailFences = Fences(),
+    fences: Fences = Fences(),
 ) -> tuple[DataFrame, dict[str, str]]:
     """Measures, ``base_failed`` and ``kept`` for every row, beside the ``carry`` columns (default: all).
 
     NULL and empty texts have no words and fail the fixed rules. NULL languages and sources are groups of
-    their own. Repeated rows are judged, and counted in the sketches, one by one; ties cannot arise. An
+    their own. A very long text is measured in its row, by array expressions whose time grows with its words
+    (times their logarithm where windows repeat). Repeated rows are judged, and counted in the sketches, one by one; ties cannot arise. An
     empty table gives an empty result. Added columns take other names where carried ones clash; the
     second result maps measure to column. The measured rows are written once, to the shared folder, and read for
     the sketches and for the verdict; the join with the fences has one row per group on one side.

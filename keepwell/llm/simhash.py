@@ -13,7 +13,6 @@ from collections.abc import Iterator, Sequence
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -28,6 +27,7 @@ SEED = 42
 PARTS = ((0, 21), (21, 21), (42, 22))
 TILE_ROWS = 8192
 BLOCK = 512
+SLICE_ROWS = 256
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -51,9 +51,11 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprint_column(text: Column, shingle: int) -> Column:
-    @F.pandas_udf("long")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def prints(texts: pa.Array) -> pa.Array:
+        # A few texts at a time, so that a batch is not held as Python strings as well.
+        slices = (texts.slice(at, SLICE_ROWS).to_pylist() for at in range(0, len(texts), SLICE_ROWS))
+        return pa.array([fingerprint(t, shingle) for part in slices for t in part], pa.int64())
 
     return prints(text)
 
@@ -183,7 +185,7 @@ def simhash_groups(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     placed = materialise(placed, "roots")
-    least = placed.groupBy("root").agg(F.min("first").alias("least"))
+    least = materialise(placed.groupBy("root").agg(F.min("first").alias("least")), "least")
     print_col, least_col = fresh_name(rows.columns, "print"), fresh_name(rows.columns, "least")
     grouped = placed.join(least, "root").select(F.col("fp").alias(print_col), F.col("least").alias(least_col))
     names = {n: fresh_name(carry, n) for n in ("fingerprint", "component_id", "first")}

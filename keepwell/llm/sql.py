@@ -42,33 +42,7 @@ WITH d AS (
   SELECT *, sum(n) OVER (PARTITION BY level, lang, source, signal ORDER BY low) AS upto,
     sum(n) OVER (PARTITION BY level, lang, source, signal) AS total
   FROM levels
-), quart AS (
-  SELECT level, lang, source, signal, max(total) AS total,
-    min(low) FILTER (4 * upto >= total) AS q1, min(low) FILTER (4 * upto >= 3 * total) AS q3
-  FROM placed GROUP BY ALL
-), chosen AS (
-  SELECT o.lang, o.source, o.signal,
-    CASE WHEN o.total >= 30 THEN o.q1 WHEN l.total >= 30 THEN l.q1 ELSE a.q1 END AS q1,
-    CASE WHEN o.total >= 30 THEN o.q3 WHEN l.total >= 30 THEN l.q3 ELSE a.q3 END AS q3
-  FROM quart o
-  JOIN quart l ON l.level = 1 AND l.signal = o.signal AND l.lang IS NOT DISTINCT FROM o.lang
-  JOIN quart a ON a.level = 2 AND a.signal = o.signal
-  WHERE o.level = 0
-), outside AS (
-  SELECT DISTINCT rid
-  FROM (SELECT rid, lang, source, unnest([0, 1, 2, 3]) AS signal, unnest(s) AS v FROM f) x
-  JOIN chosen c ON c.signal = x.signal AND c.lang IS NOT DISTINCT FROM x.lang
-    AND c.source IS NOT DISTINCT FROM x.source
-  WHERE v > q3 + greatest(6 * (q3 - q1), [300, 60, 600, 200][x.signal + 1])
-    OR v < q1 - greatest(6 * (q3 - q1), [300, 60, 600, 200][x.signal + 1])
-)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND rid NOT IN (SELECT rid FROM outside) AS kept
-FROM f
-"""
-
-# The same measures and sketches, with the fences of TailFences.
-QUALITY_RULES_TAILS = QUALITY_RULES.partition("), quart AS (")[0] + r"""), quant AS (
+), quant AS (
   SELECT level, lang, source, signal, max(total) AS total,
     min(low) FILTER (100 * upto >= [25, 25, 2, 2][signal + 1] * total) AS lo,
     min(low) FILTER (2 * upto >= total) AS mid,
@@ -76,8 +50,8 @@ QUALITY_RULES_TAILS = QUALITY_RULES.partition("), quart AS (")[0] + r"""), quant
   FROM placed GROUP BY ALL
 ), fences AS (
   SELECT level, lang, source, signal, total,
-    lo - greatest([10, 10, 1, 2][signal + 1] * (mid - lo), CAST(pow(2, greatest(length(bin(lo)) - 7, 0)) AS BIGINT)) AS least,
-    hi + greatest([10, 10, 1, 2][signal + 1] * (hi - mid), CAST(pow(2, greatest(length(bin(hi)) - 7, 0)) AS BIGINT)) AS most
+    lo - greatest([10, 10, 1, 2][signal + 1] * (mid - lo + CAST(pow(2, greatest(length(bin(mid)) - 7, 0)) AS BIGINT) - 1), CAST(pow(2, greatest(length(bin(lo)) - 7, 0)) AS BIGINT)) AS least,
+    hi + greatest([10, 10, 1, 2][signal + 1] * (hi - mid + CAST(pow(2, greatest(length(bin(mid)) - 7, 0)) AS BIGINT) - 1), CAST(pow(2, greatest(length(bin(hi)) - 7, 0)) AS BIGINT)) AS most
   FROM quant
 ), chosen AS (
   SELECT o.lang, o.source, o.signal,
@@ -143,11 +117,11 @@ SUBSTRING_DEDUP_UNITS = SUBSTRING_DEDUP.replace(" HAVING sum(words) >= 30", "")
 
 LINE_DEDUP = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id, text, md5(text) AS text_key FROM documents
+  SELECT row_number() OVER () AS rid, doc_id, text, md5(concat_ws(':', doc_id, text)) AS doc_key FROM documents
 ), split AS (
-  SELECT rid, doc_id, text_key, string_split(text, chr(10)) AS lines FROM d
+  SELECT rid, doc_id, doc_key, string_split(text, chr(10)) AS lines FROM d
 ), listed AS (
-  SELECT rid, doc_id, text_key, unnest(lines) AS bare, unnest(range(len(lines))) AS line, len(lines) AS n_lines FROM split
+  SELECT rid, doc_id, doc_key, unnest(lines) AS bare, unnest(range(len(lines))) AS line, len(lines) AS n_lines FROM split
 ), sized AS (
   SELECT *, bare || CASE WHEN line < n_lines - 1 THEN chr(10) ELSE '' END AS content,
     regexp_extract_all(bare, '[^\x20\x09-\x0D]+') AS tokens
@@ -161,18 +135,18 @@ WITH d AS (
   FROM placed WHERE len(tokens) > 0
 ), inner_lines AS (
   SELECT * FROM leafed
-  WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text_key) >= 10)
+  WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT doc_key) >= 10)
 ), fields AS (
-  SELECT rid, doc_id, text_key, line, leaf, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM inner_lines
+  SELECT rid, doc_id, doc_key, line, leaf, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM inner_lines
 ), constant AS (
-  SELECT leaf, pos, token FROM fields GROUP BY ALL HAVING count(DISTINCT text_key) >= 10
+  SELECT leaf, pos, token FROM fields GROUP BY ALL HAVING count(DISTINCT doc_key) >= 10
 ), parsed AS (
-  SELECT f.rid, f.doc_id, f.text_key, f.line,
+  SELECT f.rid, f.doc_id, f.doc_key, f.line,
     string_agg(CASE WHEN c.pos IS NULL THEN '<*>' ELSE f.token END, ' ' ORDER BY f.pos) AS template
   FROM fields f LEFT JOIN constant c ON f.leaf = c.leaf AND f.pos = c.pos AND f.token = c.token
   GROUP BY ALL HAVING 2 * count(c.pos) >= count(*)
 ), recurring AS (
-  SELECT template FROM parsed GROUP BY template HAVING count(DISTINCT text_key) >= 10
+  SELECT template FROM parsed GROUP BY template HAVING count(DISTINCT doc_key) >= 10
 ), dropped AS (
   SELECT rid, line
   FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, line) AS nth

@@ -1,8 +1,8 @@
 """Substring dedup by hashing units of text across all documents.
 
-A unit ends with a line, after the white space that follows a full stop, exclamation or question mark, and
-before a capitalised word, so that a passage set into other prose falls into the same units wherever it
-stands. Units are normalised (lower case, single spaces) and grouped by a 128-bit digest; the earliest
+Units are lines, paragraphs or, by default, phrases: a phrase ends with a line, after the white space that
+follows a full stop, exclamation or question mark, and before a capitalised word, so that a passage set into
+other prose falls into the same units wherever it stands. Units are normalised (lower case, single spaces) and grouped by a 128-bit digest; the earliest
 occurrence, by identifier and place, stays. Repeated units are removed where they stand in a row with
 ``min_words`` words or more between them, so single common phrases are left alone. ``EVERY_UNIT`` removes each
 repeated unit: the whole units inside a passage go, however few words they hold together.
@@ -19,18 +19,23 @@ from keepwell.llm.common import SPACE_CLASS, SPACES, row_key
 from keepwell.llm.units import remove_runs, texts_replaced
 from keepwell.scratch import materialise
 
-BOUNDARY = r"(?<=\n)|(?<=[ \t\r])(?=\p{Lu})|(?<=[.!?][ \t\r])(?=\S)"
+#: Where a text is cut into units, by their kind.
+BOUNDARIES = {
+    "phrases": r"(?<=\n)|(?<=[ \t\r])(?=\p{Lu})|(?<=[.!?][ \t\r])(?=\S)",
+    "lines": r"(?<=\n)",
+    "paragraphs": r"(?<=\n\n)(?!\n)",
+}
 MIN_WORDS = 30
 EVERY_UNIT = 1
 
 
-def units_of(text: Column) -> Column:
-    return F.split(text, BOUNDARY, -1)
+def units_of(text: Column, kind: str = "phrases") -> Column:
+    return F.split(text, BOUNDARIES[kind], -1)
 
 
-def list_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def list_units(docs: DataFrame, id_col: str, text_col: str, kind: str = "phrases") -> DataFrame:
     """One row per unit that has a word: its document, order among those units, place, words, digest."""
-    placed = F.transform(units_of(F.col(text_col)), lambda u, k: F.struct(k.alias("place"), u.alias("unit")))
+    placed = F.transform(units_of(F.col(text_col), kind), lambda u, k: F.struct(k.alias("place"), u.alias("unit")))
     worded = F.filter(placed, lambda x: x["unit"].rlike(f"[^{SPACE_CLASS[1:]}"))
     listed = docs.select(
         F.col(id_col).alias("id"),
@@ -72,17 +77,20 @@ def substring_dedup(
     text_col: str = "text",
     carry: Sequence[str] | None = None,
     min_words: int = MIN_WORDS,
+    units: str = "phrases",
 ) -> DataFrame:
     """``carry`` columns (default: all) with repeated passages cut, and ``removed``, their original spans.
 
-    Offsets count characters (code points). NULL texts stay NULL, empty ones empty; a text made of repeats
+    ``units`` is phrases, lines or paragraphs. Offsets count characters (code points). A very long text is cut by
+    array expressions in time proportional to its units. A carried column ``removed`` keeps its name and
+    the spans get underscores in front. NULL texts stay NULL, empty ones empty; a text made of repeats
     only becomes empty, and its row stays. Rows rank by identifier, NULL last, and then by a hash of the text; repeated rows (equal identifier
     and text) count as one document and have equal results. An empty table gives an empty result.
     """
     carry = docs.columns if carry is None else list(carry)
-    units = materialise(list_units(docs, id_col, text_col), "units")
-    runs = repeated_runs(units, min_words)
-    return remove_runs(docs, runs, id_col, text_col, units_of(F.col(text_col)), carry)
+    listed = materialise(list_units(docs, id_col, text_col, units), "units")
+    runs = repeated_runs(listed, min_words)
+    return remove_runs(docs, runs, id_col, text_col, units_of(F.col(text_col), units), carry)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:

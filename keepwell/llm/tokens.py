@@ -11,9 +11,9 @@ import numpy as np
 
 from keepwell.llm.common import put
 
-#: Bounds of the cache of one worker process, about 400 MB.
-CACHED_WORDS = 2_000_000
-CACHED_CHARS = 32_000_000
+#: Bounds of the cache of one worker process, about 80 MB: a worker stays alive beside a full heap after its stage.
+CACHED_WORDS = 300_000
+CACHED_CHARS = 6_000_000
 
 #: How byte-level vocabularies write the space, and how many words are encoded at a time; UNKNOWN: no code yet.
 BYTE_SPACE = "\u0120"

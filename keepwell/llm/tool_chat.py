@@ -182,6 +182,7 @@ def link_tool_calls(events: DataFrame, tools: DataFrame) -> DataFrame:
     order = [F.col(c) for c in ("conv_id", "ready", "depth", "place", "row")]
     counted = materialise(running_totals(placed, order, {"upto": F.lit(1)}), "ordered")
     starts = counted.groupBy(F.col("conv_id").alias("s_conv")).agg(F.min("upto").alias("start"))
+    starts = materialise(starts, "starts")  # written, so that the join of a hot conversation is split
     return counted.join(starts, F.col("conv_id").eqNullSafe(F.col("s_conv"))).select(
         "conv_id", (F.col("upto") - F.col("start")).cast("long").alias("position"), "kind", "call_id", "status",
         F.coalesce("errors", F.lit("")).alias("errors"), canonical_json().alias("json"),

@@ -15,7 +15,7 @@ def vectors(spark, rows):
 def best(rows, k=5):
     """All pairs, in exact integers."""
     usable = {
-        (i, tuple(max(-exact_search.LIMIT, min(exact_search.LIMIT, math.floor(256 * x))) for x in v))
+        (i, tuple(math.floor(256 * x) for x in v))
         for i, v in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     }
@@ -40,7 +40,7 @@ def test_awkward_vectors_by_brute_force(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
         (0, [1.0, -0.5]), (50, [1.0, -0.5]), (50, [1.0, -0.5]), (1, [1.0, -0.5]), (2, None), (3, [nan, 1.0]),
-        (4, [inf, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (100, [0.0, 0.0]), (6, [-1e30, 1e30]), (7, [0.003, -0.001]),
+        (4, [inf, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (100, [0.0, 0.0]), (6, [-1e12, 1e6]), (10, [3.0e4, -2.0e4]), (11, [3.0e4, -2.0e4 + 0.25]), (7, [0.003, -0.001]),
         (8, []), (150, []), (9, [1.0, 2.0, 3.0]), (200, [1.0, 1.0, 1.0]), (50, [0.25, 0.25]),
     ]
     rows += [(300 + k, [0.5, 0.5]) for k in range(12)]

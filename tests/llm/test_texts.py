@@ -66,6 +66,24 @@ def test_every_repeated_unit_goes(spark, documents, tmp_path):
     assert found[2] == texts[1][1].replace(inner, "")
 
 
+def test_lines_and_paragraphs_as_units(spark):
+    block = "One line here\nand a second line\n\n"
+    docs = corpus(spark, [(1, block + "own words\n\n"), (2, "and a second line\nother\n\n" + block)]).withColumn("removed", F.lit(1))
+    for kind, left in (("lines", "other\n\n\n"), ("paragraphs", "and a second line\nother\n\n")):
+        cut = substring_dedup.substring_dedup(docs, min_words=1, units=kind)
+        assert cut.columns == [*docs.columns, "_removed"]
+        assert {r.doc_id: r.text for r in cut.collect()} == {1: block + "own words\n\n", 2: left}
+
+
+def test_long_text_with_many_runs(spark):
+    lines = [f"mine {k}\n" if k % 2 else f"shared number {k}\n" for k in range(1500)]
+    docs = corpus(spark, [(1, "".join(lines[::2])), (2, "".join(lines))])
+    found = {r.doc_id: r for r in substring_dedup.substring_dedup(docs, min_words=1, units="lines").collect()}
+    assert found[2].text == "".join(lines[1::2]) and len(found[2].removed) == 750
+    whole = "".join(lines)
+    assert "".join(whole[s["start"] : s["end"]] for s in found[2].removed) == "".join(lines[::2])
+
+
 def test_spans_are_offsets_of_the_whole_text(documents):
     for operator in (line_dedup.line_dedup, substring_dedup.substring_dedup):
         whole = {r.doc_id: r.text for r in documents.collect()}
@@ -109,11 +127,6 @@ def test_small_groups_take_the_thresholds_of_their_language(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
 
 
-def test_tail_fences_as_in_sql(documents):
-    judged, _ = quality_rules.quality_rules(documents, carry=["doc_id"], fences=quality_rules.TailFences())
-    assert_same(judged, sql.QUALITY_RULES_TAILS, documents=documents.select("doc_id", "text", "lang", "source"))
-
-
 def test_every_signal_can_reject_by_the_tail_of_its_group(spark):
     def lines(k, twice):
         own = [sentence(60 * k + j, 6) for j in range(12)]
@@ -125,13 +138,9 @@ def test_every_signal_can_reject_by_the_tail_of_its_group(spark):
         902: lines(902, 0) + "\n-" * 9, 903: lines(903, 0) + " " + " ".join(lines(903, 0).split()[:7]),
     }
     docs = corpus(spark, [*texts, *odd.items()]).withColumns({"lang": F.lit("en"), "source": F.lit("s")})
-    kept = {}
-    for fences in (quality_rules.Fences(), quality_rules.TailFences()):
-        judged, names = quality_rules.quality_rules(docs, carry=["doc_id"], fences=fences)
-        assert judged.filter(names["base_failed"]).count() == 0
-        kept[type(fences)] = {r.doc_id for r in judged.filter(names["kept"]).collect()}
-    assert {902, 903} <= kept[quality_rules.Fences]
-    assert kept[quality_rules.TailFences] == set(range(120))
+    judged, names = quality_rules.quality_rules(docs, carry=["doc_id"])
+    assert judged.filter(names["base_failed"]).count() == 0
+    assert {r.doc_id for r in judged.filter(names["kept"]).collect()} == set(range(120))
 
 
 def test_empty_tables_and_columns(spark):
