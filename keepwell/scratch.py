@@ -41,4 +41,14 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialised tables that nothing reads any more; results read later must not rest on them."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
