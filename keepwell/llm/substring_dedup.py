@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from keepwell.llm.common import SPACE_CLASS, SPACES, row_key
 from keepwell.llm.units import remove_runs, texts_replaced
-from keepwell.scratch import materialise
+from keepwell.scratch import discard, materialise
 
 #: Where a text is cut into units, by their kind.
 BOUNDARIES = {
@@ -68,7 +68,9 @@ def repeated_runs(units: DataFrame, min_words: int) -> DataFrame:
         .agg(F.sum("words").alias("words"), F.min("place").alias("first"), F.max("place").alias("last"))
         .filter(F.col("words") >= min_words)
     )
-    return materialise(runs.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "runs")
+    listed = materialise(runs.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "runs")
+    discard(repeated)
+    return listed
 
 
 def substring_dedup(
@@ -90,6 +92,7 @@ def substring_dedup(
     carry = docs.columns if carry is None else list(carry)
     listed = materialise(list_units(docs, id_col, text_col, units), "units")
     runs = repeated_runs(listed, min_words)
+    discard(listed)
     return remove_runs(docs, runs, id_col, text_col, units_of(F.col(text_col), units), carry)
 
 
