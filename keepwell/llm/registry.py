@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.llm import (
-    exact_search, line_dedup, packing, quality_rules, sampled_pieces, sharding, simhash, sql, substring_dedup, token_counts, tool_chat,
+    exact_search, lexical_search, line_dedup, packing, quality_rules, sampled_pieces, sharding, simhash, spelling, sql, substring_dedup,
+    token_counts, token_files, tool_chat,
 )
 from keepwell.llm.common import read_table
 from keepwell.scratch import scratch_path
@@ -78,6 +79,19 @@ def _exact_search(spark: SparkSession, folder: str) -> DataFrame:
     return exact_search.exact_top_k(read_table(spark, folder, "embeddings"), 5)
 
 
+def _spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.document_words(read_table(spark, folder, "documents")))
+
+
+def _ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked_search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def _token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return token_files.file_digests(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "token-files"))
+
+
 #: The tools that the turns of ``conversations`` are read as calls of.
 TOOLS = {
     "ask": (tool_chat.Parameter("text", "string"), tool_chat.Parameter("words", "integer")),
@@ -123,6 +137,9 @@ def queries() -> dict[str, Query]:
         "op8_sharding": _sharding,
         "op9_tool_chat": _tool_chat,
         "op10_quality_rules": _quality_rules,
+        "op11_spelling_groups": _spelling,
+        "op12_ranked_search": _ranked_search,
+        "op13_token_files": _token_files,
         "op10_quality_rules_tails": _quality_rules,  # the same query under its earlier name
     }
 
@@ -135,5 +152,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": sql.LINE_DEDUP,
         "op9_tool_chat": sql.TOOL_CHAT,
         "op10_quality_rules": sql.QUALITY_RULES,
+        "op12_ranked_search": sql.RANKED_SEARCH,
         "op10_quality_rules_tails": sql.QUALITY_RULES,
     }

@@ -211,3 +211,35 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY ready, depth, p
       'kind', kind, 'name', name, 'role', role)::VARCHAR, 2) AS json
 FROM n JOIN ranks USING (rid)
 """
+
+RANKED_SEARCH = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), i AS (
+  SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark
+), wanted AS (
+  SELECT iid, term, count(*) AS times FROM (SELECT iid, unnest(terms) AS term FROM i) GROUP BY ALL
+), total AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0
+), held AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, total GROUP BY term, n_docs
+), impacts AS (
+  SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS impact
+  FROM held JOIN weights USING (term), total
+), scored AS (
+  SELECT iid, rid, doc_id, CAST(sum(times * impact) AS BIGINT) AS score
+  FROM wanted JOIN impacts USING (term) GROUP BY ALL HAVING sum(times * impact) > 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN i USING (iid) WHERE rank <= 10
+"""

@@ -106,3 +106,97 @@ class WordEncoder:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[Sequence[str]], list[np.ndarray]]:
     return WordEncoder(path)
+
+
+class ApartWordEncoder:
+    """Ids of whole texts from a tokenizer that drops white space, ignores case and reads letters apart from stops.
+
+    The ids of a text are those of its words, split at spaces and line feeds, end to end; each different
+    word is encoded once, by the tokenizers library, and kept in a bounded cache. New words are encoded many
+    at a time, with a control character between them that is one id; those in which it stands, or which may
+    hold special strings, alone. A word with full stops or commas behind a letter has the ids of the word and
+    of these. White space of other kinds stays inside a word and is left to the library.
+    """
+
+    MARK, SPECIAL, STOPS = "\x01", "<|", ".,"
+    CACHED_WORDS = 700_000
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        (self.mark_id,) = self._plain([self.MARK])[0]
+        self.clear()
+
+    clear = WordEncoder.clear
+    _plain = WordEncoder._plain
+
+    def _add(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.codes.update(zip(words, range(self.known, self.known + len(words))))
+        self.starts = put(self.starts, self.known, self.filled + np.cumsum(lengths) - lengths)
+        self.lengths = put(self.lengths, self.known, lengths)
+        self.flat = put(self.flat, self.filled, ids)
+        self.known += len(words)
+        self.filled += len(ids)
+        self.chars += sum(map(len, words))
+
+    def _encode(self, words: list[str]) -> None:
+        """Take words in that are not known."""
+        alone = [w for w in words if self.MARK in w or self.SPECIAL in w]
+        for word, ids in zip(alone, self._plain(alone)):
+            self._add([word], np.array([len(ids)]), ids)
+        if len(alone) < len(words):
+            joined = [w for w in words if not (self.MARK in w or self.SPECIAL in w)] if alone else words
+            gap = f" {self.MARK} "
+            texts = [gap.join(joined[at : at + JOINED_WORDS]) + gap for at in range(0, len(joined), JOINED_WORDS)]
+            ids = np.concatenate(self._plain(texts))
+            ends = np.flatnonzero(ids == self.mark_id)
+            self._add(joined, np.diff(ends, prepend=-1) - 1, np.delete(ids, ends))
+
+    def _learn(self, new: list[str]) -> None:
+        bare = [w.rstrip(self.STOPS) for w in new]
+        stopped = [(w, b) for w, b in zip(new, bare) if len(b) < len(w) and b and b[-1].isalpha()]
+        composed = dict(stopped)
+        wanted = dict.fromkeys([w for w in new if w not in composed])
+        wanted.update(dict.fromkeys([p for w, b in stopped for p in (b, w[len(b) :])]))
+        unknown = [w for w in wanted if w not in self.codes]
+        if unknown:
+            self._encode(unknown)
+        if stopped:
+            parts = np.array([(self.codes[b], self.codes[w[len(b) :]]) for w, b in stopped])
+            self._add(list(composed), self.lengths[parts].sum(axis=1), self._gather(parts.ravel())[0])
+
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words with these codes, end to end, and where each word ends."""
+        sizes = self.lengths[codes]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[codes] - (ends - sizes), sizes)
+        return self.flat[places + np.arange(len(places))], ends
+
+    def _words(self, text: str) -> list[str]:
+        if self.SPECIAL not in text:
+            text = text.lower() if text.isascii() else text.encode().lower().decode()  # A-Z only
+        return text.replace("\n", " ").split(" ")
+
+    def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        if len(self.codes) > self.CACHED_WORDS or self.chars > 2 * CACHED_CHARS:
+            self.clear()
+        split = [self._words(text) for text in texts]
+        words = [w for part in split for w in part]
+        codes = np.fromiter(map(self.codes.get, words, repeat(UNKNOWN)), np.int64, len(words))
+        new = np.flatnonzero(codes == UNKNOWN)
+        if len(new):
+            found = [words[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(found)))
+            codes[new] = np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found))
+        ids, ends = self._gather(codes)
+        last = np.cumsum([len(part) for part in split]) - 1
+        return np.split(ids, ends[last[:-1]])
+
+
+@lru_cache(maxsize=2)
+def apart_encoder(path: str) -> ApartWordEncoder:
+    return ApartWordEncoder(path)
