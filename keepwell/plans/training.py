@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -13,7 +15,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.operators.balance import class_counts, needs_rebalancing, smote, weight_column
@@ -21,11 +23,14 @@ from keepwell.operators.features import (
     FittedFeatures, fit_features, stratified_folds, stratified_split,
 )
 from keepwell.plans.evaluation import METRICS, best_model, compare_models
+from keepwell.plans.nested_forest import nested_scores, node_table
 from keepwell.scratch import materialise
-from keepwell.sources.runs import log_run, new_run_id
+from keepwell.sources.runs import SearchJournal, log_run, new_run_id
 
 LOGISTIC, FOREST = "Logistic Regression", "Random Forest"
 DEEPEST_TREE = 30
+#: A fit's table gets a partition, and so each of its jobs a task, for so many rows.
+ROWS_PER_TASK = 20_000
 # Iteration limit and stopping tolerance of the logistic fits.
 MAX_ITERATIONS = 1000
 TOLERANCE = 1e-4
@@ -147,30 +152,37 @@ def score(model: Model, table: DataFrame, key: str = "customer_id") -> DataFrame
     )
 
 
-def _fit_all(candidates, table: DataFrame, weight: float, seed: int, parallelism: int) -> list[Model]:
-    """Fit the candidates on one cached table, several fits at a time."""
-
-    def fit(candidate: Candidate) -> Model:
-        return candidate.estimator(weight, seed).fit(table)
-
-    table.persist()
-    try:
-        with ThreadPool(parallelism) as pool:
-            return pool.map(inheritable_thread_target(table.sparkSession)(fit), candidates)
-    finally:
-        table.unpersist()
+def _sized(table: DataFrame, rows: float) -> DataFrame:
+    """``table`` in no more partitions than its rows fill: each iteration of a fit is a job with a task per partition."""
+    return table.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
 
 
 @dataclass
 class Fold:
-    """Model input of one training part, its total weight, and the rows held out from it."""
+    """Model input of one training part, its total weight, and the rows held out from it (none for the whole)."""
 
     training: DataFrame
     weight: float
-    held_out: DataFrame
+    held_out: DataFrame | None
+    even: bool = False  # all classes have one size, so balanced weights are 1
 
 
-def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fold") -> list[Fold]:
+@dataclass
+class Parts:
+    """Folds of a training table, and the whole of it for the refit, all filters of one written table.
+
+    ``table`` has key, target, features, ``fold`` and ``weights``: per fold, and last for the whole, the row's balanced
+    weight, 0 where the part does not have the row. Synthetic rows have no fold and a weight in the part
+    that they were made from. ``digest`` names the data and how they are cut.
+    """
+
+    table: DataFrame
+    folds: list[Fold]
+    whole: Fold
+    digest: str
+
+
+def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fold") -> Parts:
     """Stratified folds, made once and shared by every grid.
 
     ``rebalance="fold"`` oversamples the training part of each fold only. ``"train"`` oversamples
@@ -178,40 +190,127 @@ def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fo
     """
     if rebalance == "train":
         table = table.rebalanced()
-    folded = materialise(
-        stratified_folds(table.rows, table.label, table.key, folds, table.seed), "folds"
-    )
-
-    def build(fold: int) -> Fold:
-        part = table.with_rows(folded.filter(F.col("fold") != fold).drop("fold"))
-        if rebalance == "fold":
-            part = part.rebalanced()
-        held_out, _ = table.with_rows(folded.filter(F.col("fold") == fold)).model_input()
-        return Fold(*part.model_input(), held_out)
-
-    with ThreadPool(folds) as pool:
-        return pool.map(inheritable_thread_target(folded.sparkSession)(build), range(folds))
+    folded = materialise(stratified_folds(table.rows, table.label, table.key, folds, table.seed), "folds")
+    numbers = [*range(folds), folds]  # the last for the whole
+
+    def synthetic(number: int) -> DataFrame | None:
+        part = table.with_rows(folded.filter(F.col("fold") != number).drop("fold"))
+        if rebalance != "fold" or not needs_rebalancing(class_counts(part.rows, table.label)):
+            return None
+        grown = smote(part.rows, table.names, table.label, table.key, seed=table.seed).filter("copy_no > 0")
+        named = grown.withColumn(table.key, F.concat_ws("#", table.key, "copy_no")).drop("copy_no")
+        return named.withColumns({"fold": F.lit(None).cast("int"), "part": F.lit(number)})
+
+    with ThreadPool(len(numbers)) as pool:
+        made = [m for m in pool.map(inheritable_thread_target(folded.sparkSession)(synthetic), numbers) if m is not None]
+    doubles = [F.col(c).cast("double").alias(c) for c in table.names]
+    own = folded.select(F.col(table.key).cast("string").alias(table.key), table.label, *doubles, "fold").withColumn("part", F.lit(None).cast("int"))
+    for more in made:
+        own = own.unionByName(more)
+    labelled = own.filter(F.col(table.label).isNotNull())
+    rows = materialise(VectorAssembler(inputCols=table.names, outputCol="features").transform(labelled).select(
+        table.key, table.label, F.col(table.label).cast("double").alias("target"), "features", "fold", "part"
+    ), "parts")
+
+    def inside(number: int) -> Column:
+        return F.coalesce((F.col("part") == number) | F.col("part").isNull() & (F.col("fold") != number), F.lit(False))
+
+    counted = rows.groupBy(table.label).agg(*[F.count(F.when(inside(i), 1)).alias(f"n{i}") for i in numbers]).collect()
+    counts = [{r[table.label]: r[f"n{i}"] for r in counted if r[f"n{i}"]} for i in numbers]
+    weights = [F.when(inside(i), weight_column(c, table.label)).otherwise(0.0) if c else F.lit(0.0) for i, c in zip(numbers, counts)]
+    weighed = rows.select(table.key, "target", "features", "fold", F.array(*weights).alias("weights"))
+    stored = materialise(weighed, "weighted")
+    totals = [sum(c.values()) for c in counts]
+
+    def training(number: int) -> DataFrame:
+        part = stored.filter(F.col("weights")[number] > 0)
+        part = part.select(table.key, "target", F.col("weights")[number].alias("weight"), "features")
+        return _sized(part, totals[number])
+
+    cut = [
+        Fold(
+            training(i), totals[i], stored.filter(F.col("fold") == i).select(table.key, "target", "features"),
+            len(set(counts[i].values())) == 1,
+        )
+        for i in range(folds)
+    ]
+    content = folded.agg(F.count("*"), F.sum(F.xxhash64(*sorted(folded.columns)).cast("decimal(38,0)"))).first()
+    told = (tuple(content), table.names, table.label, folds, table.seed, rebalance)
+    return Parts(stored, cut, Fold(training(folds), totals[folds], None), hashlib.md5(repr(told).encode()).hexdigest())
+
+
+def _jobs(candidates: Sequence[Candidate], even: bool) -> list[list[Candidate]]:
+    """Candidates that one fit scores: forests that differ in size and depth only, and, where the classes are of
+    one size, candidates that differ in the class weight only."""
+    groups: dict[tuple, list[Candidate]] = {}
+    free = {"n_estimators", "max_depth"} | ({"class_weight"} if even else set())
+    for c in candidates:
+        apart = free if c.family == FOREST else free - {"n_estimators", "max_depth"}
+        groups.setdefault((c.family, *(v for k, v in c.params.items() if k not in apart)), []).append(c)
+    return list(groups.values())
+
+
+def _largest(group: Sequence[Candidate]) -> Candidate:
+    """The forest that holds all of a group: as many trees and as deep as any."""
+    options = [dict(c.settings) for c in group]
+    trees, depth = max(o["n_estimators"] for o in options), max(o["max_depth"] or DEEPEST_TREE for o in options)
+    settings = {**options[0], "n_estimators": trees, "max_depth": depth}
+    return Candidate(FOREST, group[0].class_weight, tuple(settings.items()))
+
+
+def _fold_scores(group: Sequence[Candidate], fold: Fold, seed: int) -> list[float]:
+    """ROC-AUC of a job's candidates on the held-out rows, from one fit, whose model is dropped afterwards."""
+    evaluator = BinaryClassificationEvaluator(labelCol="target", metricName="areaUnderROC", numBins=0)
+    held_out = _sized(fold.held_out, fold.weight)
+    if group[0].family == LOGISTIC:
+        model = group[0].estimator(fold.weight, seed).fit(fold.training)
+        return [evaluator.setRawPredictionCol("probability").evaluate(model.transform(held_out))] * len(group)
+    model = _largest(group).estimator(fold.weight, seed).fit(fold.training)
+    options = [dict(c.settings) for c in group]
+    wanted = [(o["n_estimators"], o["max_depth"] or DEEPEST_TREE) for o in options]
+    cuts = sorted(set(wanted))
+    scored = nested_scores(held_out, node_table(held_out.sparkSession, model), cuts).persist()
+    try:
+        evaluator.setRawPredictionCol("score")
+        areas = [evaluator.evaluate(scored.select("target", F.col("scores")[i].alias("score"))) for i in range(len(cuts))]
+        return [areas[cuts.index(c)] for c in wanted]
+    finally:
+        scored.unpersist()
 
 
 def cross_validate(
-    folds: Sequence[Fold], candidates: Sequence[Candidate], seed: int = 42, parallelism: int = 4
+    parts: Parts, candidates: Sequence[Candidate], seed: int = 42, parallelism: int | None = None, journal: str | None = None
 ) -> list[float]:
-    """Mean ROC-AUC of every candidate over the folds."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="target", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
-    )
-    scores = [0.0] * len(candidates)
-    for fold in folds:
-        models = _fit_all(candidates, fold.training, fold.weight, seed, parallelism)
-        fold.held_out.persist()
-        with ThreadPool(parallelism) as pool:
-            area_of = inheritable_thread_target(fold.held_out.sparkSession)(
-                lambda model: evaluator.evaluate(model.transform(fold.held_out))
-            )
-            areas = pool.map(area_of, models)
-        fold.held_out.unpersist()
-        scores = [total + area / len(folds) for total, area in zip(scores, areas)]
-    return scores
+    """Mean ROC-AUC of every candidate over the folds.
+
+    Forests that differ only in size and depth share a fit per fold. With a ``journal``, the path of a run table, each
+    score is recorded as it is known, and scores that are recorded already are not computed again.
+    """
+    spark = parts.table.sparkSession
+    parallelism = parallelism or min(8, spark.sparkContext.defaultParallelism)
+    log = SearchJournal(spark, journal, f"{parts.digest}-{seed}") if journal else None
+    known = log.scores() if log else {}
+    jobs = [
+        (group, number) for number, fold in enumerate(parts.folds) for group in _jobs(candidates, fold.even)
+        if any((c.text, number) not in known for c in group)
+    ]
+
+    def run(job: tuple[list[Candidate], int]) -> dict:
+        group, number = job
+        found = _fold_scores(group, parts.folds[number], seed)
+        if log:
+            log.record([(c.family, c.text, number, s) for c, s in zip(group, found)])
+        return {(c.text, number): s for c, s in zip(group, found)}
+
+    if jobs:
+        parts.table.persist()
+        try:
+            with ThreadPool(parallelism) as pool:
+                for found in pool.imap_unordered(inheritable_thread_target(spark)(run), jobs):
+                    known.update(found)
+        finally:
+            parts.table.unpersist()
+    return [sum(known[c.text, f] for f in range(len(parts.folds))) / len(parts.folds) for c in candidates]
 
 
 @dataclass
@@ -238,20 +337,21 @@ class Search:
 
 
 def grid_search(
-    table: TrainingTable,
-    folds: Sequence[Fold],
+    parts: Parts,
     candidates: Sequence[Candidate],
-    parallelism: int = 4,
+    seed: int = 42,
+    parallelism: int | None = None,
+    journal: str | None = None,
 ) -> Search:
-    """Cross-validate the candidates and refit the best on all rows of ``table``."""
-    scores = cross_validate(folds, candidates, table.seed, parallelism)
+    """Cross-validate the candidates and refit the best on the whole."""
+    scores = cross_validate(parts, candidates, seed, parallelism, journal)
     search = Search(candidates[0].family, list(candidates), scores)
-    search.model = fit_candidate(table, candidates[search.best])
+    search.model = fit_candidate(parts.whole, candidates[search.best], seed)
     return search
 
 
-def fit_candidate(table: TrainingTable, candidate: Candidate) -> Model:
-    return _fit_all([candidate], *table.model_input(), table.seed, 1)[0]
+def fit_candidate(part: Fold, candidate: Candidate, seed: int = 42) -> Model:
+    return candidate.estimator(part.weight, seed).fit(part.training)
 
 
 def feature_importance(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:
@@ -301,9 +401,8 @@ class TrainingRun:
         return report(spark, model, self.fitted.names)
 
 
-def train_select(
+def training_parts(
     df: DataFrame,
-    grids: Sequence[Sequence[Candidate]] | None = None,
     key: str = "customer_id",
     label: str = "churn",
     test_fraction: float = 0.2,
@@ -311,18 +410,10 @@ def train_select(
     seed: int = 42,
     fit_scope: str = "train",
     rebalance: str | None = "fold",
-    parallelism: int = 4,
-    run_log: str | None = None,
-    experiment: str = "Churn_Prediction",
-) -> TrainingRun:
-    """Split, prepare, search every grid, evaluate on the test part and pick the best model.
-
-    ``df`` is cleaned and engineered. Label codes come from every row, so a category may be absent from
-    the training part; ``fit_scope="train"`` learns moments on that part only, ``"all"`` on every row.
-    """
+) -> tuple[tuple[DataFrame, FittedFeatures, DataFrame], Parts]:
+    """What a search works on: (split, fitted preparation, model input of the test part), and the folds."""
     if fit_scope not in ("train", "all"):
         raise ValueError("fit_scope is 'train' or 'all'")
-    grids = grids or [logistic_grid(), forest_grid()]
     split = materialise(stratified_split(df, label, key, test_fraction, seed), "split")
     train_part = split.filter(F.col("split") == "train").drop("split")
     test_part = split.filter(F.col("split") == "test").drop("split")
@@ -331,12 +422,36 @@ def train_select(
         materialise(fitted.transform(train_part), "train"), fitted.names, key, label, seed
     )
     test, _ = train.with_rows(materialise(fitted.transform(test_part), "test")).model_input()
+    return (split, fitted, test), make_folds(train, folds, rebalance)
+
+
+def train_select(
+    df: DataFrame,
+    grids: Sequence[Sequence[Candidate]] | None = None,
+    key: str = "customer_id",
+    label: str = "churn",
+    test_fraction: float = 0.2,
+    folds: int = 5,
+    seed: int = 42,
+    fit_scope: str = "train",
+    rebalance: str | None = "fold",
+    parallelism: int | None = None,
+    run_log: str | None = None,
+    experiment: str = "Churn_Prediction",
+    journal: str | None = None,
+) -> TrainingRun:
+    """Split, prepare, search every grid, evaluate on the test part and pick the best model.
 
-    parts = make_folds(train, folds, rebalance)
-    whole = train.rebalanced() if rebalance else train
+    ``df`` is cleaned and engineered. Label codes come from every row, so a category may be absent from
+    the training part; ``fit_scope="train"`` learns moments on that part only, ``"all"`` on every row.
+    ``journal`` is the path of a run table from which an interrupted search of the same data goes on.
+    """
+    grids = grids or [logistic_grid(), forest_grid()]
+    prepared, parts = training_parts(df, key, label, test_fraction, folds, seed, fit_scope, rebalance)
+    split, fitted, test = prepared
     searches, scored = {}, {}
     for candidates in grids:
-        search = grid_search(whole, parts, candidates, parallelism)
+        search = grid_search(parts, candidates, seed, parallelism, journal)
         searches[search.family] = search
         scored[search.family] = materialise(score(search.model, test, key), "scored")
     comparison = materialise(compare_models(scored), "comparison")

@@ -24,13 +24,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Only a local session without that setting gets a temporary folder, which goes when the process
     ends; a cluster session must name a folder that all executors can reach.
     """
+    return shared_path(spark, f"{label}-{uuid.uuid4().hex}")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """The path of that name below the shared folder, the same in every call."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_root(context.applicationId)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{name}"
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterable
 
@@ -38,6 +39,38 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{RUN_SCHEMA}, logged_at timestamp").parquet(path)
 
 
+class SearchJournal:
+    """Scores of a search, one record per candidate and fold, in a run table that outlives the search.
+
+    The records of a search carry its digest as run. Each call of :meth:`record` is one append, which Spark commits
+    whole or not at all; a record written twice counts once. Threads of one session may share a journal, but
+    only one session writes to a path at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, search: str):
+        self.spark, self.path, self.search = spark, path, search
+        self._lock = threading.Lock()
+        empty = spark.createDataFrame([], f"{RUN_SCHEMA}, logged_at timestamp")
+        empty.coalesce(1).write.mode("ignore").parquet(path)
+
+    def scores(self) -> dict[tuple[str, int], float]:
+        """Score by (candidate, fold)."""
+        rows = read_runs(self.spark, self.path).filter(
+            (F.col("run_id") == self.search) & (F.col("stage") == "fold_score")
+        )
+        found = {}
+        for row in rows.select("key", "value_double").distinct().collect():
+            fold, candidate = row["key"].split("|", 1)
+            found[candidate, int(fold)] = row["value_double"]
+        return found
+
+    def record(self, scores: Iterable[tuple[str, str, int, float]]) -> None:
+        """Append (family, candidate, fold, score) records."""
+        entries = [("fold_score", family, f"{fold}|{candidate}", float(score)) for family, candidate, fold, score in scores]
+        with self._lock:
+            log_run(self.spark, self.path, self.search, entries)
+
+
 def save_model(path: str, model: PipelineModel, fitted: FittedFeatures) -> None:
     """Write the model and the preparation it needs below one folder."""
     model.write().overwrite().save(f"{path}/model")

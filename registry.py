@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from keepwell.functions import columns
 from keepwell.operators import balance, cleaning, features
 from keepwell.plans import evaluation, extract, impact, reports, training
-from keepwell.scratch import materialise, scratch_path
+from keepwell.scratch import materialise, scratch_path, shared_path
 from keepwell.sources import runs
 from keepwell.sources import star_binding as star
 from keepwell.sources.star_binding import StarBinding
@@ -267,11 +267,20 @@ def _training_table(bound: StarBinding) -> training.TrainingTable:
     return training.TrainingTable(materialise(fitted.transform(table), "train"), fitted.names)
 
 
+def _journal(spark: SparkSession) -> str:
+    """One run table for all searches: equal data and settings share their scores, an interrupted search goes on."""
+    return shared_path(spark, "search-journal")
+
+
+def _search_parts(bound: StarBinding) -> training.Parts:
+    """Folds and whole of the training part, as ``train_select`` makes them."""
+    return training.training_parts(_engineered(bound))[1]
+
+
 def _search(candidates: list[training.Candidate]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        table = _training_table(StarBinding(spark, folder))
-        folds = training.make_folds(table, 5)
-        return training.grid_search(table.rebalanced(), folds, candidates).table(spark)
+        parts = _search_parts(StarBinding(spark, folder))
+        return training.grid_search(parts, candidates, journal=_journal(spark)).table(spark)
 
     return run
 
@@ -279,7 +288,8 @@ def _search(candidates: list[training.Candidate]) -> Query:
 def _drivers(candidate: training.Candidate, report: Callable, top: int | None = None) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         table = _training_table(StarBinding(spark, folder))
-        model = training.fit_candidate(table.rebalanced(), candidate)
+        grown = table.rebalanced()
+        model = training.fit_candidate(training.Fold(*grown.model_input(), None), candidate)
         ranked = report(spark, model, table.names)
         return ranked if top is None else training.top_rows(ranked, top)
 
@@ -287,7 +297,7 @@ def _drivers(candidate: training.Candidate, report: Callable, top: int | None =
 
 
 def _train(bound: StarBinding, run_log: str | None = None) -> training.TrainingRun:
-    return training.train_select(_engineered(bound), run_log=run_log)
+    return training.train_select(_engineered(bound), run_log=run_log, journal=_journal(bound.spark))
 
 
 def _run_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,7 +311,7 @@ def _reloaded_scores(spark: SparkSession, folder: str) -> DataFrame:
     table = _engineered(StarBinding(spark, folder))
     fitted = features.fit_features(table)
     rows = training.TrainingTable(materialise(fitted.transform(table), "train"), fitted.names)
-    model = training.fit_candidate(rows, SHORT_LOGISTIC[0])
+    model = training.fit_candidate(training.Fold(*rows.model_input(), None), SHORT_LOGISTIC[0])
     assembler = training.VectorAssembler(inputCols=fitted.names, outputCol="features")
     path = scratch_path(spark, "model")
     runs.save_model(path, training.PipelineModel(stages=[assembler, model]), fitted)

@@ -1,8 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import registry
-from keepwell.plans import evaluation, training
+from keepwell.plans import evaluation, nested_forest, training
 from keepwell.plans.churn_run import run_churn_model
 from keepwell.sources import runs, tables
 from keepwell.sources.star_binding import StarBinding
@@ -110,28 +111,92 @@ def test_wrong_scope_is_refused(engineered):
         training.train_select(engineered, fit_scope="some")
 
 
-@pytest.mark.parametrize("mode", ["train", None])
-def test_other_rebalancing_modes(spark, engineered, mode):
+@pytest.mark.parametrize("mode", ["fold", "train", None])
+def test_parts_are_filters_of_one_table(spark, engineered, mode):
     fitted = registry.features.fit_features(engineered)
     table = training.TrainingTable(fitted.transform(engineered), fitted.names)
     parts = training.make_folds(table, 3, mode)
-    held = sum(p.held_out.count() for p in parts)
+    held = sum(p.held_out.count() for p in parts.folds)
     assert held == (1920 if mode == "train" else 1150)
-    for part in parts:
+    source = sorted(parts.table.inputFiles())
+    for part in [*parts.folds, parts.whole]:
+        assert sorted(part.training.inputFiles()) == source
         assert part.training.count() == part.weight
-        weights = part.training.agg(F.sum("weight")).first()[0]
-        assert weights == pytest.approx(part.weight)
-    assert len(training.cross_validate(parts, registry.SHORT_FOREST[:1])) == 1
-
-
-def test_balanced_training_parts(engineered):
+        assert part.training.agg(F.sum("weight")).first()[0] == pytest.approx(part.weight)
+        sizes = {r["target"]: r["count"] for r in part.training.groupBy("target").count().collect()}
+        assert (sizes[0.0] == sizes[1.0]) == (mode is not None)
+        if part.held_out is not None:
+            keys = part.training.join(part.held_out, "customer_id", "left_semi")
+            assert keys.isEmpty() and sorted(part.held_out.inputFiles()) == source
+    if mode == "fold":
+        assert [p.weight for p in parts.folds] == [1280.0] * 3 and parts.whole.weight == 1920
+        assert training.make_folds(table, 3, mode).digest == parts.digest != training.make_folds(table, 4, mode).digest
+
+
+def _one_part(engineered):
     fitted = registry.features.fit_features(engineered)
-    table = training.TrainingTable(fitted.transform(engineered), fitted.names)
-    part = training.make_folds(table, 3)[0]
-    sizes = {r["target"]: r["count"] for r in part.training.groupBy("target").count().collect()}
-    assert sizes[0.0] == sizes[1.0] == 640
-    balanced = table.rebalanced()
-    assert balanced.rebalanced() is balanced
+    return training.make_folds(training.TrainingTable(fitted.transform(engineered), fitted.names), 2)
+
+
+def test_nested_scores_are_the_models_own_and_near_real_fits(spark, engineered):
+    fold = _one_part(engineered).folds[0]
+    real = {}
+    for trees, depth in ((60, 30), (60, 4), (25, 4), (25, 30)):
+        candidate = training.forest_grid((trees,), (depth,), (2,), (None,))[0]
+        real[trees, depth] = candidate.estimator(fold.weight, 7).fit(fold.training)
+    nodes = nested_forest.node_table(spark, real[60, 30])
+    found = nested_forest.nested_scores(fold.held_out, nodes, list(real))
+    own = training.score(real[60, 30], fold.held_out).select("label", "p").toPandas()
+    got = found.selectExpr("cast(target as int) label", "scores[0] p").toPandas()
+    assert sorted(got.round(9).itertuples(index=False)) == sorted(own.round(9).itertuples(index=False))
+
+    def area(frame):
+        return evaluation.roc_auc(frame).first()[0]
+
+    for i, (setting, model) in enumerate(real.items()):
+        nested = found.selectExpr("cast(target as int) label", f"scores[{i}] p")
+        assert area(nested) == pytest.approx(area(training.score(model, fold.held_out)), abs=0.04), setting
+
+
+def test_cut_trees_are_pruned_as_a_fit_prunes(spark):
+    nodes = nested_forest.NodeTable(
+        np.array([0]), np.zeros(7, int), np.array([0.0, -1, 1, 0, 0, 0, 0]), np.array([1, 3, 5, -1, -1, -1, -1]),
+        np.array([2, 4, 6, -1, -1, -1, -1]), np.array([0, 1, 1, 2, 2, 2, 2]),
+        np.array([0.6, 0.9, 0.55, 1.0, 0.2, 0.8, 0.3]), np.array([1, 1, 1, 1, 0, 1, 0]),
+    )
+    rows = np.array([[-2.0], [-0.5], [0.5], [2.0]])
+    assert nodes.scores(rows, [(1, 2), (1, 1), (1, 0)]).T.tolist() == [[1.0, 0.2, 0.8, 0.3], [0.6] * 4, [0.6] * 4]
+
+
+def test_interrupted_search_goes_on_with_what_is_missing(spark, engineered, folder, monkeypatch):
+    parts = _one_part(engineered)
+    grid = training.forest_grid((3, 6), (2, None), (1, 2), ("balanced", None)) + training.logistic_grid((0.1, 1.0), ("l2",))
+    whole = training.cross_validate(parts, grid, parallelism=1)
+    journal = f"{folder}/journal"
+    record, fits, fit = runs.SearchJournal.record, [], training._fold_scores
+
+    def counted(group, fold, seed):
+        fits.append(group)
+        if len(fits) == 4:
+            raise RuntimeError("killed")
+        return fit(group, fold, seed)
+
+    monkeypatch.setattr(training, "_fold_scores", counted)
+    with pytest.raises(RuntimeError):
+        training.cross_validate(parts, grid, parallelism=1, journal=journal)
+    log = runs.SearchJournal(spark, journal, f"{parts.digest}-42")
+    before = log.scores()
+    assert 0 < len(before) < 2 * len(grid)
+    fits += [None] * 4  # beyond the fault
+    done = len(fits)
+    assert training.cross_validate(parts, grid, parallelism=1, journal=journal) == pytest.approx(whole)
+    assert len(fits) - done == 8 - 3  # per fold two forests and two logistic fits
+    record(log, [("x", *key, score) for key, score in before.items()])  # again: counts once
+    assert len(log.scores()) == 2 * len(grid)
+    done = len(fits)
+    training.cross_validate(parts, grid, parallelism=1, journal=journal)
+    assert len(fits) == done
+    assert runs.SearchJournal(spark, journal, "another").scores() == {}
 
 
 def test_whole_run_from_a_file(spark, folder):
@@ -155,18 +220,14 @@ def test_whole_run_from_a_file(spark, folder):
     assert fitted.names == result.fitted.names and len(pipeline.stages) == 2
 
 
-def test_queries_search_the_whole_grids_with_five_folds(monkeypatch):
-    class Nothing:
-        comparison = None
-        rebalanced = table = lambda self, *_: None
-
-    seen, nothing = [], Nothing()
-    monkeypatch.setattr(registry, "_training_table", lambda bound: nothing)
-    monkeypatch.setattr(registry, "_engineered", lambda bound: None)
-    monkeypatch.setattr(registry.training, "make_folds", lambda table, folds: folds)
-    monkeypatch.setattr(registry.training, "grid_search", lambda table, *job: seen.append(job) or nothing)
-    monkeypatch.setattr(registry.training, "train_select", lambda df, *grids, **job: seen.append((grids, job)) or nothing)
-    for name in ("logistic_search", "forest_search", "train_select"):
-        registry.queries()[name](None, "")
-    assert seen == [(5, training.logistic_grid()), (5, training.forest_grid()), ((), {"run_log": None})]
-    assert [len(grid) for _, grid in seen[:2]] == [16, 24]
+def test_whole_forest_grid_by_few_fits(spark, tmp_path, monkeypatch):
+    """The registered search, to its end: all candidates, five folds, one fit per leaf size and fold."""
+    fits, fit = [], training._fold_scores
+    monkeypatch.setattr(training, "_fold_scores", lambda *job: fits.append(job[0]) or fit(*job))
+    monkeypatch.setattr(registry, "_journal", lambda _: str(tmp_path / "journal"))
+    rows = registry.queries()["forest_search"](spark, "/root/testdata/sf0.001").collect()
+    assert len(fits) == 10 and sorted(map(len, fits)) == [12] * 10
+    assert len({r["params"] for r in rows}) == 24 and sum(r["is_best"] for r in rows) == 1
+    assert max(rows, key=lambda r: r["cv_roc_auc"])["cv_roc_auc"] == [r for r in rows if r["is_best"]][0]["cv_roc_auc"]
+    again = registry.queries()["forest_search"](spark, "/root/testdata/sf0.001").collect()
+    assert len(fits) == 10 and [r["cv_roc_auc"] for r in again] == [r["cv_roc_auc"] for r in rows]
