@@ -16,6 +16,7 @@ AS_OF = date(2001, 8, 1)
 ACTIVITY_AS_OF = date(2024, 1, 31)
 SIGNUP_FROM = date(1997, 1, 1)
 ACTIVITY_DAYS = 20
+DEFAULT_ACTIVITY_DAYS = 90
 TREND_MONTHS = 24
 CAMPAIGN_MONTHS = 6
 SCORE_THRESHOLD = 0.5

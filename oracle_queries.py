@@ -343,6 +343,60 @@ def cleaning() -> dict[str, str]:
     }
 
 
+#: The training part of the split, cut into five folds.
+FOLDED = (
+    SPLIT
+    + f""", folded as (
+  select customer_id, churn, (place > n // 5)::int + (place > n * 2 // 5)::int + (place > n * 3 // 5)::int
+         + (place > n * 4 // 5)::int as fold
+  from (select *, row_number() over (partition by churn order by {SPREAD}, customer_id) as place,
+               count(*) over (partition by churn) as n
+        from split where split = 'train')
+)"""
+)
+
+PREPARED = (
+    ENCODED
+    + ", prepared as (select customer_id, churn, "
+    + ", ".join(
+        f"({c} - avg({c}) over ()) / if(stddev_pop({c}) over () = 0, 1, stddev_pop({c}) over ()) as {c}"
+        for c in STRING_COLUMNS + NUMBER_COLUMNS + DERIVED_COLUMNS
+    )
+    + " from encoded)"
+)
+
+
+def _smote(names: list[str], source: str, ctes: str) -> str:
+    """Oversampling of the churned rows of a table on the named features, by all pairs."""
+    own = ", ".join(f"{c}::double as {c}" for c in names)
+    gap = " + ".join(f"(q.{c} - p.{c}) * (q.{c} - p.{c})" for c in names)
+    moved = ", ".join(f"round(q.{c} + along * (near.{c} - q.{c}), 6) as {c}" for c in names)
+    return _with(
+        f"""
+        select customer_id, churn, {", ".join(f"round({c}::double, 6) as {c}" for c in names)}, 0::bigint as copy_no
+        from {source}
+        union all
+        select q.customer_id, 1, {moved}, copy_no
+        from copies q join near on near.customer_id = q.customer_id and near.place = q.choice""",
+        ctes
+        + f""", minority as (
+  select customer_id, {own}, {SPREAD} as h, min(customer_id) over (partition by {", ".join(names)}) as pid,
+         row_number() over (order by {SPREAD}, customer_id) as turn, count(*) over () as n
+  from {source} where churn = 1
+), near as (
+  select q.customer_id, {", ".join(f"p.{c}" for c in names)},
+         row_number() over (partition by q.customer_id order by {gap}, p.pid, p.customer_id) - 1 as place
+  from minority q join minority p on p.customer_id <> q.customer_id
+), copies as (
+  select *, (h * 31 + copy_no * 17) % least(5, n - 1) as choice,
+         ((h * 131 + copy_no * 7919 + 42) % 1000003)::double / 1000003 as along
+  from (select *, unnest(range(1, needed // n + (turn <= needed % n)::int + 1)) as copy_no
+        from minority cross join (
+          select sum(1 - churn)::bigint - sum(churn)::bigint as needed from {source}))
+)""",
+    )
+
+
 def features() -> dict[str, str]:
     names = STRING_COLUMNS + NUMBER_COLUMNS + DERIVED_COLUMNS
     return {
@@ -382,36 +436,30 @@ def features() -> dict[str, str]:
                from placed""",
             SPLIT,
         ),
-        "smote": _with(
+        "smote": _smote(["tenure_months", "monthly_charges"], "cleaned", CLEANED),
+        "smote_prepared": _smote(names, "prepared", PREPARED),
+        "search_folds": _with(
             """
-            select customer_id, churn, round(tenure_months, 6) as tenure_months,
-                   round(monthly_charges, 6) as monthly_charges, copy_no
+            select fold, held_out, held_out_churned, 2 * majority as training, majority as training_churned,
+                   majority - minority as synthetic
             from (
-              select customer_id, churn, tenure_months::double as tenure_months, monthly_charges,
-                     0::bigint as copy_no from cleaned
-              union all
-              select q.customer_id, 1, q.a + along * (near.a - q.a), q.b + along * (near.b - q.b), copy_no
-              from copies q join near on near.customer_id = q.customer_id and near.place = q.choice
-            )""",
-            CLEANED
-            + f""", minority as (
-  select customer_id, tenure_months::double as a, monthly_charges as b, {SPREAD} as h,
-         min(customer_id) over (partition by tenure_months, monthly_charges) as pid,
-         row_number() over (order by {SPREAD}, customer_id) as turn, count(*) over () as n
-  from cleaned where churn = 1
-), near as (
-  select q.customer_id, p.a, p.b,
-         row_number() over (partition by q.customer_id
-           order by (q.a - p.a) * (q.a - p.a) + (q.b - p.b) * (q.b - p.b), p.pid, p.customer_id) - 1
-           as place
-  from minority q join minority p on p.customer_id <> q.customer_id
-), copies as (
-  select *, (h * 31 + copy_no * 17) % least(5, n - 1) as choice,
-         ((h * 131 + copy_no * 7919 + 42) % 1000003)::double / 1000003 as along
-  from (select *, unnest(range(1, needed // n + (turn <= needed % n)::int + 1)) as copy_no
-        from minority cross join (
-          select sum(1 - churn)::bigint - sum(churn)::bigint as needed from cleaned))
-)""",
+              select f.fold, coalesce(sum((t.fold = f.fold)::int), 0)::bigint as held_out,
+                     coalesce(sum((t.fold = f.fold and churn = 1)::int), 0)::bigint as held_out_churned,
+                     sum((t.fold <> f.fold and churn = 0)::int)::bigint as majority,
+                     sum((t.fold <> f.fold and churn = 1)::int)::bigint as minority
+              from folded t cross join (select unnest(range(6))::int as fold) f group by 1)""",
+            FOLDED,
+        ),
+        "run_facts": _with(
+            """
+            select 'data' as stage, 'n_features' as key, 25::double as value_double
+            union all select 'data', 'n_' || split, count(*) from split group by split
+            union all select 'data', 'churn_rate_' || split, round(avg(churn), 6) from split group by split
+            union all select 'search', unnest(['C', 'penalty', 'n_estimators', 'max_depth', 'min_samples_leaf']), 1
+            union all select 'search', unnest(['class_weight', 'cv_roc_auc']), 2
+            union all select 'test', unnest(['accuracy', 'roc_auc', 'f1_score', 'churn_precision', 'churn_recall', 'churn_f1']), 2
+            union all select 'selection', 'best_model', 1""",
+            SPLIT,
         ),
     }
 
@@ -564,9 +612,8 @@ def sources() -> dict[str, str]:
     return {
         "csv_round_trip": _with("select * from churn_dataset"),
         "csv_texts": """
-            select doc_id, case doc_id % 8 when 0 then 'none' when 1 then 'Na' when 2 then ' NA ' when 3 then '1D'
-              when 4 then null when 5 then null
-              else 'say "hi", ok' || chr(10) || ' ' || replace(text, chr(13), '') || ' ' end as note
+            select doc_id, 'say "hi", ok' || chr(10) || ' ' || replace(text, chr(13), '') || ' ' as note,
+              (['none', 'Na', ' NA ', '1D', null, null, '-1', 'True'])[doc_id % 8 + 1] as "like"
             from documents""",
         "report_round_trip": evaluation()["retention_impact"],
         "medians_with_infinity": _with(
@@ -630,4 +677,6 @@ def oracle_sql() -> dict[str, str]:
     found = {
         **base_tables(), **sources(), **reports(), **cleaning(), **features(), **evaluation(),
     }
-    return found | {twin: found[name] for twin, name in TWINS.items()}
+    twenty, ninety = "date '2024-01-31' - 20", "date '2024-01-31' - 90"
+    wide = {f"{name}_90": found[name].replace(twenty, ninety) for name in ("activity_metrics", "customer_behavior")}
+    return found | wide | {twin: found[name] for twin, name in TWINS.items()}

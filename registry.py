@@ -73,6 +73,20 @@ def _reports() -> dict[str, Query]:
                 )
             )
         ),
+        "activity_metrics_90": _bound(
+            lambda b: rounded(
+                extract.activity_metrics(
+                    b.customer_activity(), star.ACTIVITY_AS_OF, star.DEFAULT_ACTIVITY_DAYS
+                )
+            )
+        ),
+        "customer_behavior_90": _bound(
+            lambda b: rounded(
+                extract.customer_behavior(
+                    b.customers(), b.customer_activity(), star.ACTIVITY_AS_OF, star.DEFAULT_ACTIVITY_DAYS
+                )
+            )
+        ),
         "cohort_churn": _bound(lambda b: rounded(reports.cohort_churn(churn_table(b)))),
         "churn_trend": _bound(
             lambda b: rounded(reports.churn_trend(b.churn_events(), star.AS_OF, star.TREND_MONTHS))
@@ -319,6 +333,29 @@ def _reloaded_scores(spark: SparkSession, folder: str) -> DataFrame:
     return training.score_customers(pipeline, preparation, table)
 
 
+def _search_folds(bound: StarBinding) -> DataFrame:
+    """What each fit of the search sees: held-out and training rows per fold, and those of the refit (fold 5)."""
+    table, numbers = _search_parts(bound).table, range(6)
+    listed = F.explode(F.array(*[F.struct(F.lit(i).alias("part"), F.col("weights")[i].alias("weight")) for i in numbers]))
+    rows = table.select("target", "fold", listed.alias("of")).select("target", "fold", "of.*")
+    inside = F.col("weight") > 0
+    return rows.groupBy(F.col("part").alias("fold_no")).agg(
+        F.sum(columns.flag(F.col("fold") == F.col("part"))).cast("long").alias("held_out"),
+        F.sum(columns.flag((F.col("fold") == F.col("part")) & (F.col("target") == 1))).cast("long").alias("held_out_churned"),
+        F.sum(columns.flag(inside)).cast("long").alias("training"),
+        F.sum(columns.flag(inside & (F.col("target") == 1))).cast("long").alias("training_churned"),
+        F.sum(columns.flag(inside & F.col("fold").isNull())).cast("long").alias("synthetic"),
+    ).withColumnsRenamed({"fold_no": "fold"})
+
+
+def _run_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The run log's facts that do not hang on a fit: sizes and rates, and how many entries of each kind there are."""
+    log = _run_metrics(spark, folder)
+    data = log.filter("stage = 'data'").select("stage", "key", "value_double")
+    kinds = log.filter("stage IN ('search', 'test', 'selection')").groupBy("stage", "key").agg(F.count("*").cast("double").alias("value_double"))
+    return rounded(data.unionByName(kinds.select("stage", "key", "value_double")))
+
+
 def _training() -> dict[str, Query]:
     return {
         "logistic_search": _search(training.logistic_grid()),
@@ -328,6 +365,8 @@ def _training() -> dict[str, Query]:
         "feature_importance": _drivers(SHORT_FOREST[0], training.feature_importance),
         "top_features": _drivers(SHORT_FOREST[0], training.feature_importance, 15),
         "score_customers": _reloaded_scores,
+        "search_folds": _bound(_search_folds),
+        "run_facts": _run_facts,
         "run_metrics": _run_metrics,
     }
 
@@ -348,14 +387,12 @@ def _report_round_trip(bound: StarBinding) -> DataFrame:
 
 
 def _csv_texts(bound: StarBinding) -> DataFrame:
-    """Texts with quotes, commas, line ends and look-alikes of numbers and missing values, by way of a file."""
+    """Whole texts with quotes, commas and line ends, and look-alikes of numbers and missing values, by way of a file."""
     docs = bound.spark.read.parquet(f"{bound.folder}/documents.parquet")
-    case = F.col("doc_id") % 8
+    likes = F.array(*map(F.lit, ("none", "Na", " NA ", "1D", "NULL", "", "-1", "True")))
     text = F.concat(F.lit('say "hi", ok\n '), F.regexp_replace("text", "\r", ""), F.lit(" "))
-    for place, value in enumerate(("none", "Na", " NA ", "1D", "NULL", "")):
-        text = F.when(case == place, F.lit(value)).otherwise(text)
     path = scratch_path(bound.spark, "texts-csv")
-    write_report(docs.select("doc_id", text.alias("note")), path, "csv")
+    write_report(docs.select("doc_id", text.alias("note"), likes[(F.col("doc_id") % 8).cast("int")].alias("like")), path, "csv")
     return load_csv(bound.spark, path, required=("doc_id", "note"))
 
 
