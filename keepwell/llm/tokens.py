@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Callable, Sequence
 from functools import lru_cache
 from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 
@@ -154,9 +156,10 @@ class ApartWordEncoder:
         """Take words in that are not known."""
         simple = [w for w in words if self.direct and w.isascii() and w.isalpha() and w.islower()]
         if simple:
-            found = [self._by_model(w) for w in simple]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self._add(simple, lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())))
+            pieces = list(map(self.tokenizer.model.tokenize, simple))
+            lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            ids = map(attrgetter("id"), chain.from_iterable(pieces))
+            self._add(simple, lengths, np.fromiter(ids, np.uint32, int(lengths.sum())))
             words = list(dict.fromkeys(words).keys() - simple)
         alone = [w for w in words if self.MARK in w or self.SPECIAL in w]
         for word, ids in zip(alone, self._plain(alone)):
@@ -188,6 +191,13 @@ class ApartWordEncoder:
             return []
         if len(self.codes) > self.CACHED_WORDS or self.chars > 2 * CACHED_CHARS:
             self.clear()
+        gc.disable()  # nothing here forms cycles, and its many small lists would start the collector again and again
+        try:
+            return self._encoded(texts)
+        finally:
+            gc.enable()
+
+    def _encoded(self, texts: Sequence[str]) -> list[np.ndarray]:
         split = [self._words(text) for text in texts]
         words = [w for part in split for w in part]
         codes = np.fromiter(map(self.codes.get, words, repeat(UNKNOWN)), np.int64, len(words))
