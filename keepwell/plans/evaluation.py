@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepwell.functions.columns import flag, ratio
@@ -154,6 +154,46 @@ def roc_curve(scored: DataFrame, all_points: bool = False) -> DataFrame:
     )
 
 
+def score_histogram(scored: DataFrame, bins: int = 1000, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """(bin, positives, negatives) over equal bins of the scores from ``low`` to ``high``, empty ones left out.
+
+    Scores beyond the range count in the first and the last bin, NULL scores nowhere. Histograms of one range merge by
+    adding their counts, so each task and each day can have its own; there are never more than ``bins`` rows.
+    """
+    place = F.floor((F.col("p") - low) / (high - low) * bins)
+    number = F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+    counted = scored.filter(F.col("p").isNotNull()).groupBy(number.alias("bin"))
+    return counted.agg(
+        F.sum(flag(F.col("label") == 1)).alias("positives"), F.sum(flag(F.col("label") == 0)).alias("negatives")
+    )
+
+
+def auc_bounds(histogram: DataFrame) -> DataFrame:
+    """One row: ``lower`` and ``upper``, between which the exact ROC-AUC of the counted scores lies.
+
+    Only pairs within a bin are unknown: all of them in the wrong order give the lower bound, in the right order the
+    upper one. NULL when a class is missing. The window runs over the bins, whose number is bounded.
+    """
+    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    positives, negatives = (F.col(c).cast("double") for c in ("positives", "negatives"))
+    below = histogram.withColumn("below", F.coalesce(F.sum(negatives).over(before), F.lit(0.0)))
+    pairs = F.sum(positives) * F.sum(negatives)
+    return below.agg(
+        ratio(F.sum(positives * F.col("below")), pairs).alias("lower"),
+        ratio(F.sum(positives * (F.col("below") + negatives)), pairs).alias("upper"),
+    )
+
+
+def binned_roc_curve(histogram: DataFrame) -> DataFrame:
+    """(bin, fpr, tpr) of the curve at the lower edge of each bin, exact there; at most one row per bin."""
+    down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy()
+    rates = {"fpr": "negatives", "tpr": "positives"}
+    return histogram.select(
+        "bin", *[ratio(F.sum(c).over(down), F.sum(c).over(whole)).alias(n) for n, c in rates.items()]
+    )
+
+
 def metric_row(scored: DataFrame) -> DataFrame:
     """One row with accuracy, ROC-AUC, F1 and the precision, recall and F1 of class 1."""
     precision, recall, f1, _ = _class_scores(1)

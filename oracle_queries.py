@@ -517,6 +517,12 @@ def _curve(scored: str, all_points: bool, digits: int = 6) -> str:
     )
 
 
+#: A score between 0 and 1 with nearly as many values as customers.
+FINE = """, fine as (
+  select churn as label, 1000 / (coalesce(total_charges, 0) + customer_id / 1e6::double + 1000) as p from churn_dataset
+)"""
+
+
 def evaluation() -> dict[str, str]:
     order = "order by p desc, customer_id, label"
     return {
@@ -557,6 +563,28 @@ def evaluation() -> dict[str, str]:
             "(select churn as label, coalesce(total_charges, 0) + customer_id / 1e6::double as p from churn_dataset)",
             False, 5,
         ),
+        "auc_bounds": _with(
+            " union all ".join(
+                f"""
+                select round(sum(pos * below) / sum(pos) / sum(neg), 6) as lower,
+                       round(sum(pos * (below + neg)) / sum(pos) / sum(neg), 6) as upper, {bins} as bins,
+                       round((select {_auc('fine')}), 6) as exact, true as encloses
+                from (select *, coalesce(sum(neg) over (order by bin rows between unbounded preceding and 1 preceding), 0)
+                        as below
+                      from (select floor(p * {bins}) as bin, sum(label)::double as pos, sum(1 - label)::double as neg
+                            from fine group by 1))"""
+                for bins in (50, 1000)
+            ),
+            FINE,
+        ),
+        "binned_roc_curve": _with(
+            """
+            select bin::int as bin, round(sum(neg) over (order by bin desc) / sum(neg) over (), 6) as fpr,
+                   round(sum(pos) over (order by bin desc) / sum(pos) over (), 6) as tpr
+            from (select floor(p * 50) as bin, sum(label)::double as pos, sum(1 - label)::double as neg
+                  from fine group by 1)""",
+            FINE,
+        ),
         "metric_summary": _with(f"select {_metrics('scored')}"),
         "model_comparison": _with(COMPARISON, MODELS),
         "best_model": _with(

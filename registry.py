@@ -246,6 +246,21 @@ def _fine_curve(bound: StarBinding) -> DataFrame:
     return rounded(evaluation.roc_curve(evaluation.rule_scores(churn_table(bound), 0.5, score)), 5)
 
 
+def _fine_scores(bound: StarBinding) -> DataFrame:
+    """A score between 0 and 1 with a value of its own for nearly every customer."""
+    charges = F.coalesce(F.col("total_charges"), F.lit(0.0)) + F.col("customer_id") / 1e6
+    return evaluation.rule_scores(churn_table(bound), 0.5, 1000 / (charges + 1000))
+
+
+def _auc_bounds(bound: StarBinding) -> DataFrame:
+    """Bounds of the ROC-AUC from 50 and from 1000 bins, beside the exact value."""
+    scored = materialise(_fine_scores(bound), "scored")
+    exact = evaluation.roc_auc(scored).scalar()
+    found = [evaluation.auc_bounds(evaluation.score_histogram(scored, n)).withColumn("bins", F.lit(n)) for n in (50, 1000)]
+    both = found[0].unionByName(found[1]).withColumn("exact", exact)
+    return rounded(both.withColumn("encloses", (F.col("lower") <= F.col("exact")) & (F.col("exact") <= F.col("upper"))))
+
+
 def _evaluation() -> dict[str, Query]:
     return {
         "rule_scores": _bound(
@@ -257,6 +272,10 @@ def _evaluation() -> dict[str, Query]:
         "roc_curve": _scored(evaluation.roc_curve),
         "roc_curve_all": _scored(lambda s: evaluation.roc_curve(s, all_points=True)),
         "roc_curve_fine": _bound(_fine_curve),
+        "auc_bounds": _bound(_auc_bounds),
+        "binned_roc_curve": _bound(
+            lambda b: rounded(evaluation.binned_roc_curve(evaluation.score_histogram(_fine_scores(b), 50)))
+        ),
         "metric_summary": _scored(evaluation.metric_row),
         "model_comparison": _bound(_comparison),
         "best_model": _bound(lambda b: evaluation.best_model(_comparison(b))),

@@ -161,3 +161,26 @@ def test_campaigns_with_repeats_orphans_and_no_baseline(spark):
 def test_reports_default_to_today(spark):
     events = spark.sql("select current_date() churn_date, 1 tenure_months, 1D monthly_charges")
     assert reports.churn_trend(events).count() == 1
+
+
+def test_histograms_merge_and_their_bounds_enclose_the_area(spark):
+    rows = [(k % 3 == 0, ((k * 7919) % 1009) / 1000 + (0.1 if k % 3 == 0 else -0.05)) for k in range(900)]
+    scored = spark.createDataFrame([(int(a), p) for a, p in rows] + [(1, None)], "label int, p double")
+    known = scored.filter("p IS NOT NULL")
+    exact = evaluation.roc_auc(known).first()[0]
+    widths = []
+    for bins in (4, 40, 400):
+        whole = evaluation.score_histogram(scored, bins)
+        assert whole.count() <= bins
+        parts = [evaluation.score_histogram(scored.filter(f"{c} p < 0.4"), bins) for c in ("", "NOT")]
+        merged = parts[0].unionByName(parts[1]).groupBy("bin").agg(
+            F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives")
+        )
+        assert sorted(merged.collect()) == sorted(whole.collect())
+        lower, upper = evaluation.auc_bounds(whole).first()
+        assert lower <= exact <= upper
+        widths.append(upper - lower)
+        assert max(r["tpr"] for r in evaluation.binned_roc_curve(whole).collect()) == 1.0
+    assert widths == sorted(widths)[::-1]
+    one_class = evaluation.score_histogram(scored.filter("label = 1"))
+    assert evaluation.auc_bounds(one_class).first()["lower"] is None
