@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.operators.cleaning import class_values
-from keepwell.operators.neighbours import BOX_ROWS, nearest_neighbours
+from keepwell.operators.neighbours import BOX_ROWS, nearest_neighbours, projected_neighbours
 from keepwell.operators.ordering import HASH_PRIME, class_cuts, cuts_passed, key_hash
 from keepwell.scratch import materialise
 
@@ -54,6 +54,7 @@ def smote(
     k: int = 5,
     seed: int = 42,
     box_rows: int = BOX_ROWS,
+    search: str = "exact",
 ) -> DataFrame:
     """Raise every class to the size of the largest with points between rows and their neighbours.
 
@@ -61,8 +62,11 @@ def smote(
     rows the key of their source row and 1, 2, ... Quotas are dealt evenly in key-hash order, and
     neighbour and position on the segment come from key, copy number and seed, so the outcome does
     not depend on partitioning. ``key`` must be unique. Fewer than k neighbours: all of them are
-    used. Rows without a label belong to no class and are left out.
+    used. Rows without a label belong to no class and are left out. ``search`` is "exact" or "projected":
+    random projections, which may miss a neighbour and whose work per row does not grow with the input.
     """
+    if search not in ("exact", "projected"):
+        raise ValueError(f"unknown search: {search}")
     df = df.filter(F.col(label).isNotNull())
     counts = class_counts(df, label)
     target = max(counts.values(), default=0)
@@ -72,7 +76,7 @@ def smote(
         if n < target:
             rows = df.filter(F.col(label).eqNullSafe(F.lit(value))).select(key, label, *doubles)
             result = result.unionByName(
-                _synthetic(rows, features, label, key, n, target - n, k, seed, box_rows)
+                _synthetic(rows, features, label, key, n, target - n, k, seed, box_rows, search)
             )
     return result
 
@@ -83,11 +87,16 @@ def _stand_in(rows: DataFrame, key: str) -> Column:
     return F.lit(-(2**63)) if whole else F.lit("")
 
 
-def _synthetic(rows, features, label, key, n, needed, k, seed, box_rows) -> DataFrame:
-    rows = materialise(rows.withColumn("vector", F.array(*features)), "minority")
+def distinct_points(rows: DataFrame, key: str) -> DataFrame:
+    """Each different ``vector`` of the rows with its smallest key and its number of rows."""
     smallest = F.coalesce(F.min(key), _stand_in(rows, key)).alias("pid")
-    distinct = rows.groupBy("vector").agg(smallest, F.count("*").alias("copies"))
-    near = nearest_neighbours(materialise(distinct, "points"), k, box_rows)
+    return rows.groupBy("vector").agg(smallest, F.count("*").alias("copies"))
+
+
+def _synthetic(rows, features, label, key, n, needed, k, seed, box_rows, search) -> DataFrame:
+    rows = materialise(rows.withColumn("vector", F.array(*features)), "minority")
+    points = materialise(distinct_points(rows, key), "points")
+    near = nearest_neighbours(points, k, box_rows) if search == "exact" else projected_neighbours(points, k, seed=seed)
     cuts = class_cuts(rows, label, key, lambda _: [needed % n], seed)
     extra = (cuts_passed(rows, label, key, cuts, seed) == 0).cast("long")
     quota = F.lit(needed // n) + extra

@@ -1,20 +1,25 @@
-"""Exact nearest neighbours of every distinct point, without forming all pairs.
+"""Nearest neighbours of every distinct point, without forming all pairs.
 
-Points are cut into boxes by a tree over a bounded sample. Each point is searched in its own box
-first; the distance found there tells which other boxes can still hold a nearer point, and only those
-are searched. Groups are one box and at most ``QUERY_ROWS`` of its queries; a task returns the nearest
-few per query and never the pairs.
+Exact search: points are cut into boxes by a tree over a bounded sample, and boxes that are still too full
+are cut again on the executors, so that a box stays small however many points there are. Each point is
+searched in its own box first; the distance found there tells which other boxes can still hold a nearer
+point, and only those are searched, level by level. Projected search: boxes come from random projections in
+several tables, and a point meets its own box of each table only; its recall is measured.
+
+Groups are at most about ``QUERY_ROWS`` queries and ``POINT_ROWS`` points of a box; a task returns the nearest few
+per query and never the pairs.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +30,9 @@ SAMPLE_ROWS = 200_000
 SAMPLE_CELLS = 5_000_000
 MIN_SAMPLE_PER_BOX = 16
 QUERY_ROWS = 4_096
+POINT_ROWS = 16_384
+SPLIT_SAMPLE = 16_384
+FULL_BOXES = 4
 BLOCK_CELLS = 2_000_000
 
 # The functions of this module travel to the executors with the job, installed there or not.
@@ -93,53 +101,79 @@ def _stack(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()) if len(vectors) else np.zeros((0, 0))
 
 
-def _nearest(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> Iterator[tuple]:
-    """(query index, point index, distance) of the k nearest other points, ties by point id."""
+def _nearest(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query index, point index and distance of the k nearest other points, ties in the order of the points."""
     wanted, stored = _stack(queries["vector"]), _stack(points["vector"])
     ids, asking = points["pid"].to_numpy(), queries["pid"].to_numpy()
     step = max(1, BLOCK_CELLS // max(1, len(stored)))
+    found = []
     for start in range(0, len(wanted), step):
         block = squared_distances(wanted[start : start + step], stored)
         block[asking[start : start + step, None] == ids[None, :]] = np.inf
         last = min(k, block.shape[1]) - 1
         reach = np.partition(block, last, axis=1)[:, last]
-        for i, row in enumerate(block):
-            near = np.flatnonzero((row <= reach[i]) & np.isfinite(row))
-            for j in near[np.argsort(row[near], kind="stable")][:k]:
-                yield start + i, j, row[j]
+        who, where = np.nonzero((block <= reach[:, None]) & np.isfinite(block))
+        gaps = block[who, where]
+        order = np.lexsort((where, gaps, who))
+        who, where, gaps = who[order], where[order], gaps[order]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        near = place < k
+        found.append((who[near] + start, where[near], gaps[near]))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    who, where, gaps = zip(*found)
+    return np.concatenate(who), np.concatenate(where), np.concatenate(gaps)
+
+
+def _parts(rows: int) -> Column:
+    return F.ceil(F.count("*") / rows).cast("int")
+
+
+def _dealt(parts: Column) -> Column:
+    """Part of a row, from its identifier."""
+    return F.pmod(F.xxhash64("pid"), parts).cast("int")
+
+
+def _every(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), parts - 1))
 
 
 def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """Candidates of each query among the points of the boxes it is routed to."""
+    """Candidates of each query among the points of the boxes it is routed to.
+
+    Both sides of a box are dealt into parts, and every part of the one meets every part of the other.
+    """
     points = points.select(*[F.col(c).alias(c) for c in points.columns])
-    rows = F.ceil(F.count("*") / QUERY_ROWS).cast("int")
-    chunks = queries.groupBy("box").agg(rows.alias("chunks"))
-    asked = queries.join(F.broadcast(chunks), "box").select(
-        "box", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int").alias("chunk"), "pid", "vector"
+    # Written, so that the joins below can be split where a box has very many queries.
+    parts = materialise(
+        queries.groupBy("box").agg(_parts(QUERY_ROWS).alias("asked"))
+        .join(points.groupBy("box").agg(_parts(POINT_ROWS).alias("stored")), "box"),
+        "parts",
+    )
+    asked = queries.join(parts, "box").select(
+        "box", _dealt(F.col("asked")).alias("chunk"), _every(F.col("stored")).alias("part"), "pid", "vector"
     )
-    repeated = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    stored = points.join(F.broadcast(chunks), "box").select(
-        "box", repeated.alias("chunk"), "pid", "copies", "vector"
+    stored = points.join(parts, "box").select(
+        "box", _every(F.col("asked")).alias("chunk"), _dealt(F.col("stored")).alias("part"), "pid", "copies", "vector"
     )
     kind = points.schema["pid"].dataType.simpleString()
 
     def nearest(asking: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
         near = near.sort_values("pid", ignore_index=True)
-        hits = list(_nearest(asking, near, k)) if len(asking) and len(near) else []
-        asked_at, found_at = [h[0] for h in hits], [h[1] for h in hits]
+        who, where, gaps = _nearest(asking, near, k) if len(asking) and len(near) else ([], [], [])
         return pd.DataFrame(
             {
-                "pid": asking["pid"].to_numpy()[asked_at],
-                "distance": [float(h[2]) for h in hits],
-                "near_pid": near["pid"].to_numpy()[found_at],
-                "copies": near["copies"].to_numpy()[found_at],
-                "vector": pd.Series(list(near["vector"].to_numpy()[found_at]), dtype=object),
+                "pid": asking["pid"].to_numpy()[who],
+                "distance": np.asarray(gaps, dtype=float),
+                "near_pid": near["pid"].to_numpy()[where],
+                "copies": near["copies"].to_numpy()[where],
+                "vector": pd.Series(list(near["vector"].to_numpy()[where]), dtype=object),
             }
         )
 
     return (
-        asked.groupBy("box", "chunk")
-        .cogroup(stored.groupBy("box", "chunk"))
+        asked.groupBy("box", "chunk", "part")
+        .cogroup(stored.groupBy("box", "chunk", "part"))
         .applyInPandas(
             nearest,
             f"pid {kind}, distance double, near_pid {kind}, copies bigint, vector array<double>",
@@ -148,11 +182,7 @@ def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
 
 
 def _boxed(points: DataFrame, size: int, box_rows: int) -> DataFrame:
-    """Number the box of every point.
-
-    The tree grows on a sample of bounded size, so tree and box table stay small for any input;
-    boxes then grow with the input.
-    """
+    """Name the box of every point, by a tree over a sample of bounded size."""
     sample_size = min(SAMPLE_ROWS, max(1, SAMPLE_CELLS // len(points.first()["vector"])))
     share = min(1.0, sample_size / size)
     sample = points.select("vector").sample(share, seed=7).toPandas()
@@ -161,28 +191,64 @@ def _boxed(points: DataFrame, size: int, box_rows: int) -> DataFrame:
         grow_tree(_stack(sample["vector"]), sample_rows)
     )
 
-    @F.pandas_udf(T.LongType())
+    @F.pandas_udf(T.StringType())
     def box(vectors: pd.Series) -> pd.Series:
-        return pd.Series(box_of(tree.value, _stack(vectors)))
+        return pd.Series(box_of(tree.value, _stack(vectors)).astype(str))
 
     return points.withColumn("box", box("vector"))
 
 
-def nearest_neighbours(points: DataFrame, k: int, box_rows: int = BOX_ROWS) -> DataFrame:
-    """The k nearest neighbours of every distinct point.
+def split_boxes(boxed: DataFrame, box_rows: int, by: str = "vector") -> tuple[DataFrame, int]:
+    """Cut boxes of more than ``FULL_BOXES * box_rows`` points until there are none; also the number of rounds.
 
-    ``points`` has (pid, copies, vector): a distinct vector, how many rows share it, and the smallest
-    key among them. A row's own copies are its nearest neighbours, at distance 0. The result has
-    (vector, neighbours): up to k vectors in the order of (distance, pid).
+    Each round grows a tree per full box, in a task of its own, over about ``SPLIT_SAMPLE`` of the box's points;
+    the points find their new boxes in parts of bounded size. A new box has its number behind the old box's name and
+    a stroke. Boxes that no tree can cut (points too near for a variance) stay as they are.
     """
-    size = points.count()
-    if size <= box_rows:
-        boxed = points.withColumn("box", F.lit(0).cast("long"))
-        candidates = _search(boxed, boxed, k)
-    else:
-        boxed = materialise(_boxed(points, size, box_rows), "boxed")
-        first = materialise(_search(boxed, boxed, k), "near")
-        candidates = first.unionByName(_search(_reachable(boxed, first, k), boxed, k))
+    rounds = 0
+    while True:
+        counts = materialise(boxed.groupBy("box").agg(F.count("*").alias("rows")), "box-rows")
+        full = counts.filter(F.col("rows") > FULL_BOXES * box_rows)
+        if full.isEmpty():
+            return boxed, rounds
+        crowded = boxed.join(full, "box")
+
+        def grow(rows: pd.DataFrame) -> pd.DataFrame:
+            share = min(1.0, len(rows) / rows["rows"].iloc[0])
+            # Ordered, so that a task that runs again grows the same tree.
+            sample = _stack(rows.sort_values("pid")[by])
+            least = max(MIN_SAMPLE_PER_BOX, int(box_rows * share))
+            tree = grow_tree(sample, least if share < 1 else box_rows)
+            return pd.DataFrame({"box": rows["box"].iloc[:1], "tree": [cloudpickle.dumps(tree)], "nodes": len(tree[0])})
+
+        drawn = F.pmod(F.xxhash64("pid", F.lit(rounds)), F.col("rows")) < SPLIT_SAMPLE
+        trees = materialise(
+            crowded.filter(drawn).select("box", "pid", by, "rows").groupBy("box")
+            .applyInPandas(grow, "box string, tree binary, nodes int").filter("nodes > 1"),
+            "trees",
+        )
+        if trees.isEmpty():
+            return boxed, rounds
+        parts = F.ceil(F.col("rows") / POINT_ROWS).cast("int")
+        dealt = crowded.select(*boxed.columns, _dealt(parts).alias("part"))
+        grown = trees.join(full, "box").select("box", "tree", _every(parts).alias("part"))
+
+        def place(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+            if len(rows) and len(tree):
+                number = box_of(pickle.loads(tree["tree"].iloc[0]), _stack(rows[by]))
+                rows["box"] = rows["box"] + "/" + number.astype(str)
+            return rows.drop(columns="part")
+
+        moved = (
+            dealt.groupBy("box", "part").cogroup(grown.groupBy("box", "part")).applyInPandas(place, boxed.schema)
+        )
+        kept = boxed.join(full.select("box"), "box", "left_anti").select(*boxed.columns)
+        boxed = materialise(kept.unionByName(moved), "boxed")
+        rounds += 1
+
+
+def _lists(points: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """Up to k vectors per point from its own copies and its candidates, by distance and identifier."""
     own = points.select(
         "pid",
         F.lit(-1.0).alias("distance"),
@@ -203,20 +269,131 @@ def nearest_neighbours(points: DataFrame, k: int, box_rows: int = BOX_ROWS) -> D
     ).drop("pid")
 
 
-def _reachable(boxed: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """Route each point to the other boxes that may hold a nearer neighbour."""
+def nearest_neighbours(points: DataFrame, k: int, box_rows: int = BOX_ROWS) -> DataFrame:
+    """The k nearest neighbours of every distinct point.
+
+    ``points`` has (pid, copies, vector): a distinct vector, how many rows share it, and the smallest
+    key among them. A row's own copies are its nearest neighbours, at distance 0. The result has
+    (vector, neighbours): up to k vectors in the order of (distance, pid).
+    """
+    size = points.count()
+    if size <= box_rows:
+        boxed = points.withColumn("box", F.lit("0"))
+        candidates = _search(boxed, boxed, k)
+    else:
+        boxed, rounds = split_boxes(materialise(_boxed(points, size, box_rows), "boxed"), box_rows)
+        first = materialise(_search(boxed, boxed, k), "near")
+        reached = materialise(_reachable(boxed, first, k, rounds), "reached")
+        candidates = first.unionByName(_search(reached, boxed, k))
+    return _lists(points, candidates, k)
+
+
+def projected_neighbours(
+    points: DataFrame, k: int, tables: int = 8, directions: int = 3, bucket_rows: int = 1_024, seed: int = 42
+) -> DataFrame:
+    """The k nearest among the points that share a bucket of random projections with a point in some table.
+
+    Same input and result as :func:`nearest_neighbours`, but neighbours may be missed; :func:`recall` measures how many.
+    In each table a point's bucket comes from its coordinates along ``directions`` random directions, cut into
+    equally full steps of a bounded sample; buckets that are still too full are cut further by the same coordinates.
+    The work per point is ``tables`` buckets of about ``bucket_rows`` points and does not grow with the input.
+    """
+    size = points.count()
+    first = points.first()
+    if size <= bucket_rows or first is None:
+        return nearest_neighbours(points, k, max(size, 1))
+    planes = np.random.default_rng(seed).normal(size=(tables, len(first["vector"]), directions))
+    share = min(1.0, max(1, SAMPLE_CELLS // planes[0].size) / size)
+    sample = _stack(points.select("vector").sample(share, seed=7).toPandas()["vector"])
+    sample = sample if len(sample) else np.array([first["vector"]])
+    steps = max(1, round((size / bucket_rows) ** (1 / directions)))
+    cuts = np.quantile(
+        np.einsum("nw,twd->tnd", sample, planes), np.arange(1, steps) / steps, axis=1
+    )  # step, table, direction
+    kind = points.schema["pid"].dataType.simpleString()
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            vectors = _stack(batch["vector"])
+            for table in range(tables if len(batch) else 0):
+                along = vectors @ planes[table]
+                places = (along[None] > cuts[:, table, None, :]).sum(axis=0)
+                names = [f"{table}:" + "-".join(map(str, place)) for place in places]
+                yield pd.DataFrame({**batch, "along": pd.Series(list(along), dtype=object), "box": names})
+
+    schema = f"pid {kind}, copies bigint, vector array<double>, along array<double>, box string"
+    dealt = materialise(points.select("pid", "copies", "vector").mapInPandas(project, schema), "buckets")
+    boxed, _ = split_boxes(dealt, bucket_rows, "along")
+    boxed = boxed.drop("along")
+    found = _search(boxed, boxed, k).dropDuplicates(["pid", "near_pid"])
+    return _lists(points, found, k)
+
+
+def recall(found: DataFrame, points: DataFrame, k: int, every: int = 50) -> DataFrame:
+    """Share of the true neighbours among those found, for one in ``every`` points against all points in blocks.
+
+    A found neighbour counts if it is no further away than the last true one. One row: ``queries``, ``wanted``, ``hits``
+    and ``recall`` (NULL without neighbours).
+    """
+    chosen = points.filter(F.pmod(F.xxhash64("pid"), F.lit(every)) == 0)
+    whole = F.lit("0")
+    exact = _lists(chosen, _search(chosen.withColumn("box", whole), points.withColumn("box", whole), k), k)
+
+    def gaps(neighbours: str) -> Column:
+        def gap(near: Column) -> Column:
+            moved = F.zip_with(near, "vector", lambda a, b: (a - b) * (a - b))
+            return F.aggregate(moved, F.lit(0.0), lambda total, x: total + x)
+
+        return F.transform(neighbours, gap)
+
+    true = exact.select("vector", gaps("neighbours").alias("true"))
+    both = true.join(found.select("vector", gaps("neighbours").alias("got")), "vector", "left")
+    wanted = F.size("true")
+    got = F.coalesce("got", F.array().cast("array<double>"))
+    hits = F.least(F.size(F.filter(got, lambda d: d <= F.array_max("true"))), wanted)
+    totals = both.agg(
+        F.count("*").alias("queries"),
+        F.coalesce(F.sum(wanted), F.lit(0)).alias("wanted"),
+        F.coalesce(F.sum(hits), F.lit(0)).alias("hits"),
+    )
+    return totals.withColumn("recall", F.try_divide("hits", "wanted"))
+
+
+def _gap(vector: str, lower: str, upper: str) -> Column:
+    """Squared distance from a vector to a box, in the order of :func:`box_distances`."""
+    below = F.zip_with(lower, vector, lambda low, x: low - x)
+    above = F.zip_with(vector, upper, lambda x, up: x - up)
+    outside = F.zip_with(below, above, lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    return F.aggregate(outside, F.lit(0.0), lambda total, x: total + x * x)
+
+
+def _level(level: int) -> Column:
+    """Name of the box at a level, that is, the first parts of the whole name."""
+    return F.substring_index("box", "/", level + 1)
+
+
+def _reachable(boxed: DataFrame, first: DataFrame, k: int, rounds: int) -> DataFrame:
+    """Route each point to the other boxes that may hold a nearer neighbour.
+
+    The boxes of the first tree, whose number is bounded, go to every task; what is left is carried on to the parts
+    of these boxes by joins, one level at a time.
+    """
     width = len(boxed.first()["vector"])
-    edges = boxed.groupBy("box").agg(
-        *[F.min(F.col("vector")[j]).alias(f"lo{j}") for j in range(width)],
-        *[F.max(F.col("vector")[j]).alias(f"hi{j}") for j in range(width)],
+    low = [F.min(F.col("vector")[j]) for j in range(width)]
+    high = [F.max(F.col("vector")[j]) for j in range(width)]
+    edges = materialise(
+        boxed.groupBy("box").agg(F.array(*low).alias("lower"), F.array(*high).alias("upper")), "edges"
     )
-    table = edges.orderBy("box").toPandas()
+
+    def edges_at(level: int) -> DataFrame:
+        lows = [F.min(F.col("lower")[j]) for j in range(width)]
+        highs = [F.max(F.col("upper")[j]) for j in range(width)]
+        grouped = edges.groupBy(_level(level).alias("at"))
+        return grouped.agg(F.array(*lows).alias("lower"), F.array(*highs).alias("upper"))
+
+    table = edges_at(0).orderBy("at").toPandas()
     boxes = boxed.sparkSession.sparkContext.broadcast(
-        (
-            table["box"].to_numpy(),
-            table[[f"lo{j}" for j in range(width)]].to_numpy(),
-            table[[f"hi{j}" for j in range(width)]].to_numpy(),
-        )
+        (table["at"].to_numpy(), _stack(table["lower"]), _stack(table["upper"]))
     )
     order = Window.partitionBy("pid").orderBy("distance", "near_pid")
     reach = (
@@ -228,7 +405,7 @@ def _reachable(boxed: DataFrame, first: DataFrame, k: int) -> DataFrame:
     asking = (
         boxed.filter(F.col("copies") <= k)
         .join(reach, "pid", "left")
-        .select("pid", "vector", "box", F.coalesce("full", F.lit(float("inf"))).alias("reach"))
+        .select("pid", "vector", F.col("box").alias("own"), F.coalesce("full", F.lit(float("inf"))).alias("reach"))
     )
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,17 +415,20 @@ def _reachable(boxed: DataFrame, first: DataFrame, k: int) -> DataFrame:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
                 gaps = box_distances(_stack(part["vector"]), lower, upper)
-                open_box = (gaps <= part["reach"].to_numpy()[:, None]) & (
-                    part["box"].to_numpy()[:, None] != names[None, :]
-                )
-                who, where = np.nonzero(open_box)
-                yield pd.DataFrame(
-                    {
-                        "pid": part["pid"].to_numpy()[who],
-                        "vector": pd.Series(list(part["vector"].to_numpy()[who]), dtype=object),
-                        "box": names[where],
-                    }
-                )
+                who, where = np.nonzero(gaps <= part["reach"].to_numpy()[:, None])
+                # Batches of rows that repeat a vector once per box.
+                for at in range(0, len(who), step):
+                    rows, found = who[at : at + step], where[at : at + step]
+                    yield part.iloc[rows].assign(box=names[found])
 
     kind = boxed.schema["pid"].dataType.simpleString()
-    return asking.mapInPandas(route, f"pid {kind}, vector array<double>, box bigint")
+    routed = asking.mapInPandas(route, f"pid {kind}, vector array<double>, own string, reach double, box string")
+    for level in range(1, rounds + 1):
+        parts = edges_at(level).withColumn("box", F.substring_index("at", "/", level)).filter(F.col("at") != F.col("box"))
+        near = _gap("vector", "lower", "upper") <= F.col("reach")
+        routed = (
+            routed.join(materialise(parts, "edges"), "box", "left")
+            .filter(F.col("at").isNull() | near)
+            .select("pid", "vector", "own", "reach", F.coalesce("at", "box").alias("box"))
+        )
+    return routed.filter(F.col("box") != F.col("own")).select("pid", "vector", "box")

@@ -32,6 +32,71 @@ def test_neighbours_match_brute_force(spark, box_rows, partitions):
     assert found == brute_force(vectors, copies, 5)
 
 
+def numbered(spark, vectors):
+    rows = [(i, 1 + i % 3, v.tolist()) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "pid bigint, copies bigint, vector array<double>")
+
+
+def test_full_boxes_are_cut_again(spark, monkeypatch):
+    """A first tree of few boxes: later rounds keep the largest box as small while rows grow 16 times."""
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 64)
+    monkeypatch.setattr(neighbours, "SPLIT_SAMPLE", 256)
+    rng = np.random.default_rng(3)
+    largest = {}
+    for n in (1_000, 16_000):
+        points = numbered(spark, rng.normal(size=(n, 3)))
+        first = neighbours._boxed(points, n, 10)
+        boxed, rounds = neighbours.split_boxes(first, 10)
+        sizes = [r["count"] for r in boxed.groupBy("box").count().collect()]
+        assert sum(sizes) == n and rounds >= 1
+        largest[n] = max(sizes)
+    assert max(largest.values()) <= neighbours.FULL_BOXES * 10
+    assert max(r["count"] for r in first.groupBy("box").count().collect()) > 500
+
+
+def test_boxes_in_levels_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 48)
+    monkeypatch.setattr(neighbours, "SPLIT_SAMPLE", 64)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 16)
+    monkeypatch.setattr(neighbours, "POINT_ROWS", 16)
+    rng = np.random.default_rng(4)
+    vectors = np.unique(np.round(rng.normal(size=(900, 2)) * 9) / 9, axis=0)
+    points = numbered(spark, vectors)
+    _, rounds = neighbours.split_boxes(neighbours._boxed(points, len(vectors), 4), 4)
+    assert rounds >= 2
+    got = neighbours.nearest_neighbours(points, 5, 4).collect()
+    found = {tuple(r["vector"]): [tuple(n) for n in r["neighbours"]] for r in got}
+    assert found == brute_force(vectors, [1 + i % 3 for i in range(len(vectors))], 5)
+
+
+def test_points_too_near_for_a_cut_stay_in_one_box(spark):
+    vectors = np.array([[i * 5e-324] for i in range(200)])
+    boxed = numbered(spark, vectors).withColumn("box", F.lit("0"))
+    same, rounds = neighbours.split_boxes(boxed, 4)
+    assert rounds == 0 and same.select("box").distinct().count() == 1
+
+
+@pytest.mark.parametrize("width", [3, 20])
+def test_projected_search_reaches_its_recall(spark, width):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, width)) * 4
+    vectors = centres[rng.integers(0, 30, 6_000)] + rng.normal(size=(6_000, width)) * rng.random((6_000, 1))
+    points = numbered(spark, vectors)
+    found = neighbours.projected_neighbours(points, 5, bucket_rows=512)
+    row = neighbours.recall(found, points, 5, every=20).first()
+    assert row["queries"] > 200 and row["wanted"] == 5 * row["queries"] and row["recall"] >= 0.9
+    own = neighbours.recall(neighbours.nearest_neighbours(points, 5, 512), points, 5, every=20).first()
+    assert own["recall"] == 1.0
+    none = neighbours.recall(found.filter("false"), points, 5, every=20).first()
+    assert none["hits"] == 0 and none["recall"] == 0.0
+
+
+def test_projected_search_without_points(spark):
+    points = numbered(spark, np.zeros((0, 2)))
+    assert neighbours.projected_neighbours(points, 5).count() == 0
+    assert neighbours.recall(points.select("vector", F.array("vector").alias("neighbours")), points, 5).first()[:3] == (0, 0, 0)
+
+
 def test_box_distance_never_exceeds_a_point_inside():
     rng = np.random.default_rng(2)
     points, queries = rng.normal(size=(200, 6)), rng.normal(size=(50, 6)) * 3
@@ -90,6 +155,13 @@ def test_oversampling_ignores_partitioning(skewed):
     assert rows(skewed) == sorted(map(str, balance.smote(skewed, ["a", "b"], box_rows=8).collect()))
 
 
+def test_oversampling_with_projections(skewed):
+    grown = balance.smote(skewed, ["a", "b"], search="projected")
+    assert balance.class_counts(grown, "churn") == {0: 360, 1: 360}
+    with pytest.raises(ValueError, match="unknown search"):
+        balance.smote(skewed, ["a", "b"], search="guess")
+
+
 def test_few_and_repeated_minority_rows(spark):
     rows = [(i, 0, float(i)) for i in range(10)] + [(20, 1, 5.0)]
     lone = balance.smote(spark.createDataFrame(rows, "customer_id bigint, churn int, a double"), ["a"])
