@@ -40,9 +40,14 @@ def left_joins(
     rights: Sequence[DataFrame],
     key: str,
     min_rows: int = HOT_KEY_ROWS,
+    heavy_keys: Sequence[Mapping] | None = None,
 ) -> DataFrame:
-    """A chain of left outer joins on ``key``, each by way of :func:`left_join`."""
-    for right, heavy in zip(rights, hot_keys(rights, key, min_rows)):
+    """A chain of left outer joins on ``key``, each by way of :func:`left_join`.
+
+    ``heavy_keys``: the heavy keys of each right table, where they are known; else they are looked for.
+    """
+    found = hot_keys(rights, key, min_rows) if heavy_keys is None else heavy_keys
+    for right, heavy in zip(rights, found):
         left = left_join(left, right, key, heavy, min_rows)
     return left
 

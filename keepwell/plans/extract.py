@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.columns import as_of_column, flag, month_boundaries
+from keepwell.operators.bitmaps import day_bitmaps, distinct_days
 from keepwell.operators.joins import HOT_KEY_ROWS, left_joins
+from keepwell.sources.layout import KeyedStore
 
 CUSTOMER_COLUMNS = ("customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months")
 SERVICE_COLUMNS = (
@@ -29,10 +31,12 @@ def churn_dataset(
     signup_from: date = date(2020, 1, 1),
     statuses: Sequence[str] = ("Active", "Churned"),
     hot_key_rows: int = HOT_KEY_ROWS,
+    heavy_keys: Sequence[Mapping] | None = None,
 ) -> DataFrame:
     """One row per customer and matching service, billing and event row; ``churn`` = an event exists.
 
     Repeated rows on the right multiply the customer's rows; removing them is a separate step.
+    ``heavy_keys``: heavy customers of the three right tables, if known (see :func:`stored_churn_dataset`).
     """
     eligible = customers.filter(
         F.col("status").isin(*statuses) & (F.col("signup_date") >= F.lit(signup_from))
@@ -42,7 +46,7 @@ def churn_dataset(
         billing.select("customer_id", *BILLING_COLUMNS),
         churn_events.select("customer_id", "churn_date"),
     ]
-    joined = left_joins(eligible, rights, "customer_id", hot_key_rows)
+    joined = left_joins(eligible, rights, "customer_id", hot_key_rows, heavy_keys)
     return joined.select(
         *CUSTOMER_COLUMNS,
         *SERVICE_COLUMNS,
@@ -51,6 +55,16 @@ def churn_dataset(
     )
 
 
+def stored_churn_dataset(store: KeyedStore, **options) -> DataFrame:
+    """:func:`churn_dataset` over tables in buckets of the customer, so that its joins need no shuffle.
+
+    The store has ``customers``, ``services``, ``billing`` and ``churn_events``; rows of its heavy keys are salted.
+    """
+    rights = ("services", "billing", "churn_events")
+    heavy = [store.heavy[name] for name in rights]
+    return churn_dataset(store["customers"], *[store[name] for name in rights], heavy_keys=heavy, **options)
+
+
 def _exact_average(measure: str) -> Column:
     """Average of a column from its exact sum in millionths, the same in every order of the rows."""
     total = F.sum(F.col(measure).cast("decimal(28,6)")).cast("double")
@@ -88,6 +102,35 @@ def activity_metrics(
     )
 
 
+def activity_metrics_by_bitmaps(
+    activity: DataFrame, as_of: date | None = None, window_days: int = 90
+) -> DataFrame:
+    """The rows of :func:`activity_metrics`, with login days counted in bitmaps.
+
+    Only the tickets are counted as distinct values, so that no row is multiplied before the shuffle.
+    """
+    today = as_of_column(as_of)
+    windowed = activity.filter(F.col("activity_date") >= F.date_sub(today, window_days))
+    days = distinct_days(day_bitmaps(windowed, ["customer_id"], "login_date"), ["customer_id"])
+    start, end = F.min("signup_date"), F.coalesce(F.max("churn_date"), today)
+    others = windowed.groupBy("customer_id").agg(
+        month_boundaries(start, end).alias("activity_tenure_months"),
+        F.datediff(end, start).alias("tenure_days"),
+        _exact_average("session_duration_minutes").alias("avg_session_duration"),
+        F.countDistinct("support_ticket_id").alias("total_support_tickets"),
+        F.sum(flag(F.col("ticket_status") == "Unresolved")).alias("unresolved_tickets"),
+        F.sum(flag(F.col("payment_status") == "Late")).alias("late_payments"),
+        F.max("days_since_last_payment").alias("days_since_last_payment"),
+    )
+    # Rows without a customer form a group of their own, so the keys are compared as values.
+    days = days.withColumnRenamed("customer_id", "owner")
+    logins = F.coalesce("n_days", F.lit(0).cast("long")).alias("total_logins_last_90_days")
+    return others.join(days, F.col("customer_id").eqNullSafe(F.col("owner")), "left").select(
+        "customer_id", "activity_tenure_months", "tenure_days", logins, "avg_session_duration",
+        "total_support_tickets", "unresolved_tickets", "late_payments", "days_since_last_payment",
+    )
+
+
 def customer_behavior(
     customers: DataFrame,
     activity: DataFrame,

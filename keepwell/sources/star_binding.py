@@ -17,6 +17,7 @@ ACTIVITY_AS_OF = date(2024, 1, 31)
 SIGNUP_FROM = date(1997, 1, 1)
 ACTIVITY_DAYS = 20
 DEFAULT_ACTIVITY_DAYS = 90
+LOGIN_PARTS = ((date(1900, 1, 1), date(2024, 1, 14)), (date(2024, 1, 10), date(2024, 1, 20)), (date(2024, 1, 21), date(9999, 1, 1)))
 TREND_MONTHS = 24
 CAMPAIGN_MONTHS = 6
 SCORE_THRESHOLD = 0.5

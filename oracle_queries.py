@@ -134,6 +134,13 @@ def reports() -> dict[str, str]:
     return {
         "churn_dataset": _with("select * from churn_dataset"),
         "activity_metrics": _with("select * from metrics", METRICS),
+        "login_days": _with(
+            """
+            select customer_id, count(distinct login_date) as all_days,
+                   count(distinct login_date) filter (where login_date >= date '2024-01-31' - 20) as days_20,
+                   count(distinct login_date) filter (where login_date >= date '2024-01-31' - 90) as days_90
+            from customer_activity where login_date is not null group by customer_id"""
+        ),
         "customer_behavior": _with(
             """
             select c.* replace (round(monthly_charges, 6) as monthly_charges),
@@ -697,7 +704,8 @@ def sources() -> dict[str, str]:
 #: Queries that take another path to the same rows.
 TWINS = {
     "smote_boxed": "smote", "label_codes_sliced": "label_codes", "medians_narrowed": "medians",
-    "churn_dataset_salted": "churn_dataset",
+    "churn_dataset_salted": "churn_dataset", "churn_dataset_stored": "churn_dataset",
+    "activity_metrics_stored": "activity_metrics", "activity_metrics_stored_90": "activity_metrics_90",
 }
 
 
@@ -707,4 +715,5 @@ def oracle_sql() -> dict[str, str]:
     }
     twenty, ninety = "date '2024-01-31' - 20", "date '2024-01-31' - 90"
     wide = {f"{name}_90": found[name].replace(twenty, ninety) for name in ("activity_metrics", "customer_behavior")}
-    return found | wide | {twin: found[name] for twin, name in TWINS.items()}
+    found |= wide
+    return found | {twin: found[name] for twin, name in TWINS.items()}

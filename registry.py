@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.functions import columns
-from keepwell.operators import balance, cleaning, features
+from keepwell.operators import balance, bitmaps, cleaning, features, neighbours
 from keepwell.plans import evaluation, extract, impact, reports, training
 from keepwell.scratch import materialise, scratch_path, shared_path
-from keepwell.sources import runs
+from keepwell.sources import layout, runs
 from keepwell.sources import star_binding as star
 from keepwell.sources.star_binding import StarBinding
 from keepwell.sources.tables import (
@@ -56,6 +56,40 @@ def _base_tables() -> dict[str, Query]:
     }
 
 
+def stored_by_customer(bound: StarBinding, **options) -> layout.KeyedStore:
+    """The four tables of the extraction in buckets of the customer, as many as there are shuffle partitions."""
+    tables = {
+        "customers": bound.customers(), "services": bound.services(), "billing": bound.billing(),
+        "churn_events": bound.churn_events(),
+    }
+    buckets = int(bound.spark.conf.get("spark.sql.shuffle.partitions"))
+    return layout.store_by_key(tables, "customer_id", buckets, **options)
+
+
+def _stored_activity(bound: StarBinding, days: int) -> DataFrame:
+    """Activity from folders per month, of which only those of the window are read, with days in bitmaps."""
+    activity = bound.customer_activity()
+    path = layout.write_by_month(activity, "activity_date")
+    recent = layout.read_window(bound.spark, path, activity, "activity_date", star.ACTIVITY_AS_OF, days)
+    return extract.activity_metrics_by_bitmaps(recent, star.ACTIVITY_AS_OF, days)
+
+
+def _login_days(bound: StarBinding) -> DataFrame:
+    """Login days per customer and in two windows, from bitmaps of three parts that are stored and merged."""
+    activity, keys = bound.customer_activity(), ["customer_id"]
+    parts = [
+        bitmaps.day_bitmaps(activity.filter(F.col("login_date").between(*ends)), keys, "login_date")
+        for ends in star.LOGIN_PARTS
+    ]
+    stored = materialise(bitmaps.merge_bitmaps(parts, keys), "bitmaps")
+    found = bitmaps.distinct_days(stored, keys).withColumnRenamed("n_days", "all_days")
+    for name, days in (("days_20", star.ACTIVITY_DAYS), ("days_90", star.DEFAULT_ACTIVITY_DAYS)):
+        start = F.date_sub(F.lit(star.ACTIVITY_AS_OF), days)
+        window = bitmaps.distinct_days(stored, keys, start, star.ACTIVITY_AS_OF).withColumnRenamed("n_days", name)
+        found = found.join(window, keys, "left").fillna(0, [name])
+    return found
+
+
 def _reports() -> dict[str, Query]:
     return {
         "churn_dataset": _bound(churn_table),
@@ -87,6 +121,12 @@ def _reports() -> dict[str, Query]:
                 )
             )
         ),
+        "activity_metrics_stored": _bound(lambda b: rounded(_stored_activity(b, star.ACTIVITY_DAYS))),
+        "activity_metrics_stored_90": _bound(lambda b: rounded(_stored_activity(b, star.DEFAULT_ACTIVITY_DAYS))),
+        "churn_dataset_stored": _bound(
+            lambda b: extract.stored_churn_dataset(stored_by_customer(b), signup_from=star.SIGNUP_FROM)
+        ),
+        "login_days": _bound(_login_days),
         "cohort_churn": _bound(lambda b: rounded(reports.cohort_churn(churn_table(b)))),
         "churn_trend": _bound(
             lambda b: rounded(reports.churn_trend(b.churn_events(), star.AS_OF, star.TREND_MONTHS))
@@ -192,6 +232,17 @@ def _smote_prepared(bound: StarBinding) -> DataFrame:
     return balance.smote(materialise(fitted.transform(table), "prepared"), fitted.names)
 
 
+def _projected_recall(bound: StarBinding) -> DataFrame:
+    """Recall of the search by random projections among the churned customers, on all prepared features."""
+    fitted, table = prepared(bound)
+    rows = fitted.transform(table).filter("churn = 1")
+    vector = F.array(*[F.col(c).cast("double") for c in fitted.names])
+    points = balance.distinct_points(rows.select("customer_id", vector.alias("vector")), "customer_id")
+    points = materialise(points, "points")
+    found = neighbours.projected_neighbours(points, 5, bucket_rows=128)
+    return neighbours.recall(materialise(found, "found"), points, 5)
+
+
 def _labels_in_slices(bound: StarBinding) -> DataFrame:
     table = features.engineer(cleaning.clean(churn_table(bound)))
     return features.fit_labels(table, string_columns(table), windowed_labels=0)
@@ -209,6 +260,7 @@ def _features() -> dict[str, Query]:
         "smote": _bound(lambda b: rounded(_smote(b))),
         "smote_prepared": _bound(lambda b: rounded(_smote_prepared(b))),
         # The paths of large tables, by way of small parameters.
+        "projected_recall": _bound(_projected_recall),
         "smote_boxed": _bound(lambda b: rounded(_smote(b, box_rows=32))),
         "label_codes_sliced": _bound(_labels_in_slices),
         "medians_narrowed": _bound(lambda b: rounded(_medians_narrowed(b))),
