@@ -6,7 +6,9 @@ the file's scores are ranks of merges, not probabilities. Forward sums give ever
 end, one incoming edge after the other is drawn in proportion. No piece has a space after another
 character, so each path passes every place where a space follows one, and the lattice falls apart into
 those of words; their forward sums are kept in a bounded cache, and the words of a batch are sampled
-together, one step of all at a time.
+together, one step of all at a time. A text without spaces is one long word; the rest of words that are much longer than
+the others is stepped edge by edge, so that such texts take time in proportion to their length, at a few millionths
+of a second for each character.
 
 A draw depends on the seed, the row's key and the character place alone, so a row has the same
 segmentation in every run and on every partitioning. Characters without a piece become bytes, the character that stands for
@@ -33,6 +35,9 @@ WORD = re.compile(" *[^ ]+| +")
 CACHED_WORDS = 600_000
 CACHED_NODES = 6_000_000
 BATCH_CHARS = 400_000
+#: Where no more than FEW edges or words are left for at least LONG steps, they are taken one by one instead of in arrays.
+FEW = 32
+LONG = 64
 #: Forward sums below SMALL are scaled; with weights above 32000 ** -MOST_ALPHA none gets lost before.
 SMALL = 1e-60
 MOST_ALPHA = 4
@@ -173,8 +178,13 @@ class Lattices:
         forward[bases] = 1.0
         is_base = np.zeros(nodes + 1, dtype=bool)
         is_base[bases] = True
-        cuts = np.concatenate(([0], np.cumsum(np.bincount(depth)[1:])))
-        for low, high in zip(cuts[:-1], cuts[1:]):
+        per_depth = np.bincount(depth)[1:]
+        cuts = np.concatenate(([0], np.cumsum(per_depth)))
+        crowded = np.flatnonzero(per_depth > FEW)
+        stepped = int(crowded[-1]) + 1 if len(crowded) else 0
+        if len(per_depth) - stepped < LONG:
+            stepped = len(per_depth)
+        for low, high in zip(cuts[:stepped], cuts[1 : stepped + 1]):
             ends = end[low:high]
             heads = np.flatnonzero(np.diff(ends, prepend=-1))
             group = np.cumsum(np.diff(ends, prepend=-1) != 0) - 1
@@ -191,8 +201,51 @@ class Lattices:
                     forward[node] /= by
                     inner = ~is_base[node]
                     node, by = node[inner] - 1, by[inner]
+        if stepped < len(per_depth):
+            rest = cuts[stepped]
+            sums[rest:] = self._forward_few(end[rest:], source[rest:], weight[rest:], forward, is_base)
         return sums
 
+    def _forward_few(
+        self, end: np.ndarray, source: np.ndarray, weight: np.ndarray, forward: np.ndarray, is_base: np.ndarray
+    ) -> list[float]:
+        """The same for the ends of long words, where a depth has too few edges for arrays: one edge at a time."""
+        ahead, sums = forward.tolist(), []
+        ends, sources, weights = end.tolist(), source.tolist(), weight.tolist()
+        at, stop = 0, len(ends)
+        while at < stop:
+            node, shares = ends[at], []
+            while at < stop and ends[at] == node:
+                shares.append(ahead[sources[at]] * weights[at])
+                at += 1
+            total = sum(shares)
+            running = 0.0
+            for share in shares[:-1]:
+                running += share / total
+                sums.append(node + min(running, 1.0))
+            sums.append(node + 1.0)
+            ahead[node] = total
+            if total < SMALL:
+                for n in range(node, node - self.vocabulary.longest - 1, -1):
+                    ahead[n] /= total
+                    if is_base[n]:
+                        break
+        return sums
+
+    def draw(self, base: int, node: int, drawn: np.ndarray) -> list[int]:
+        """Pieces of one word from its end back, without arrays; ``drawn``: a number per node after ``base``."""
+        first = self.first[base : node + 1].tolist()
+        low, high = int(self.first[base]), int(self.first[node]) + self.vocabulary.longest + 1
+        sums, sources, pieces = (a[low:high].tolist() for a in (self.sums, self.sources, self.pieces))
+        chances, found, at = drawn.tolist(), [], node
+        while at > base:
+            edge, chance = first[at - base] - low, at + chances[at - base]
+            while sums[edge] <= chance:
+                edge += 1
+            found.append(pieces[edge])
+            at = sources[edge]
+        return found
+
 
 def uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Numbers in [0, 1) with 29 bits, from mixing (seed, place)."""
@@ -221,7 +274,7 @@ class Sampler:
         shift = np.cumsum(node - base) - (node - base)
         heads = np.minimum(np.cumsum(counts) - counts, len(shift) - 1)  # first word of each text
         offset = (shift - np.repeat(shift[heads], counts)).astype(np.uint64)
-        active, steps = np.arange(len(node)), []
+        active, steps, alone = np.arange(len(node)), [], []
         sums, first = self.lattices.sums, self.lattices.first
         while len(active):
             at = node[active]
@@ -234,13 +287,24 @@ class Sampler:
             steps.append((active, self.lattices.pieces[edge]))
             node[active] = self.lattices.sources[edge]
             active = active[node[active] > base[active]]
+            if 0 < len(active) <= FEW and (node[active] - base[active]).max() > LONG:
+                for word in active.tolist():
+                    places = offset[word] + np.arange(node[word] - base[word] + 1, dtype=np.uint64)
+                    chances = uniform(seed[word], places)
+                    alone.append((word, self.lattices.draw(int(base[word]), int(node[word]), chances)))
+                break
         lengths = np.zeros(len(node), dtype=np.int64)
         for active, _ in steps:
             lengths[active] += 1
+        for word, pieces in alone:
+            lengths[word] += len(pieces)
         ends = np.cumsum(lengths)
         ids = np.empty(ends[-1], dtype=np.int32)
         for back, (active, pieces) in enumerate(steps, 1):
             ids[ends[active] - back] = pieces
+        for word, pieces in alone:
+            stop = ends[word] - len(steps)
+            ids[stop - len(pieces) : stop] = pieces[::-1]
         stops = np.concatenate(([0], ends))[np.cumsum(counts)]
         return np.split(ids, stops[:-1])
 

@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -57,6 +58,59 @@ def test_same_ids_alone_and_in_company_and_after_the_cache_is_cleared(core, awkw
         assert np.array_equal(core.encode([text], [7])[0], ids)
 
 
+def unspaced(n, seed=3):
+    """Texts of words without spaces, of Chinese characters and of characters without a piece."""
+    rng = np.random.default_rng(seed)
+    words = ["the", "nation", "Zürich", "0x1f", "ing", "ab"]
+    latin = "".join(words[i] for i in rng.integers(0, len(words), n // 3))
+    chinese = "".join(map(chr, rng.integers(0x4E00, 0x5E00, n)))
+    rare = "".join(map(chr, rng.integers(0x1F300, 0x1F500, n // 4)))
+    return [latin, chinese, rare, latin + " " + chinese, "a" * n]
+
+
+def test_long_words_one_edge_at_a_time_are_drawn_as_in_arrays(core, monkeypatch):
+    texts = unspaced(3_000) + ["some words of a text", "", "x " * 50]
+    seeds = list(range(len(texts)))
+    core.lattices.clear()
+    found = core.encode(texts, seeds)
+    alone = []
+    for text, seed in zip(texts, seeds):
+        core.lattices.clear()
+        alone.append(core.encode([text], [seed])[0])
+    monkeypatch.setattr(sampled_pieces, "FEW", 0)
+    core.lattices.clear()
+    arrays = core.encode(texts, seeds)
+    core.lattices.clear()
+    for a, b, c, text in zip(found, alone, arrays, texts):
+        assert np.array_equal(a, b) and np.array_equal(a, c) and core.decode(a.tolist()) == text
+
+
+def test_long_words_follow_the_weights_of_all_paths(core, monkeypatch):
+    """The path without arrays, on a word whose segmentations can be listed."""
+    monkeypatch.setattr(sampled_pieces, "LONG", 0)
+    core.lattices.clear()
+    exact = segmentations(core.vocabulary, " nationing")
+    drawn = Counter(tuple(core.encode(["nationing"], [seed])[0].tolist()) for seed in range(8_000))
+    core.lattices.clear()
+    total = sum(exact.values())
+    assert set(drawn) <= set(exact)
+    distance = sum(abs(drawn[path] / 8_000 - w / total) for path, w in exact.items()) / 2
+    assert distance < 0.5 * math.sqrt(len(exact) / 8_000) + 0.01
+
+
+def test_time_of_texts_without_spaces_grows_with_their_length(core):
+    def seconds(text):
+        core.lattices.clear()
+        start = time.perf_counter()
+        core.encode([text], [1])
+        return time.perf_counter() - start
+
+    long = unspaced(120_000)[1]
+    seconds(long[:1_000])
+    assert seconds(long) < 4  # a round of array calls for each character takes more than 20
+    core.lattices.clear()
+
+
 def test_round_trip_of_awkward_rows(spark, awkward):
     docs = corpus(spark, awkward)
     encoded = sampled_pieces.sample_pieces(docs, PATH)
