@@ -6,11 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keepwell.functions.columns import ratio
 from keepwell.operators.ordering import EXACT_ROWS, exact_quantiles
-from keepwell.scratch import materialise
+from keepwell.operators.profile import is_missing, write_profiled
 from keepwell.sources.tables import numeric_columns, string_columns
 
 
@@ -42,15 +41,9 @@ def duplicate_report(df: DataFrame, key: str = "customer_id") -> DataFrame:
     )
 
 
-def _is_missing(df: DataFrame, column: str) -> Column:
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return F.col(column).isNull() | F.isnan(column)
-    return F.col(column).isNull()
-
-
 def null_counts(df: DataFrame) -> DataFrame:
     """Missing values per column, only columns that have any. One pass over the table."""
-    wide = df.agg(*[F.count(F.when(_is_missing(df, c), 1)).alias(c) for c in df.columns])
+    wide = df.agg(*[F.count(F.when(is_missing(df, c), 1)).alias(c) for c in df.columns])
     return wide.unpivot([], df.columns, "column", "n_missing").filter(F.col("n_missing") > 0)
 
 
@@ -90,19 +83,20 @@ def clean(
     """Remove duplicate keys, then fill numeric columns with the median and strings with the mode.
 
     A filled numeric column becomes double. Key and label are left alone unless ``include_all``.
-    Columns without any value stay as they are.
+    Columns without any value stay as they are. What is missing is counted while the table without
+    duplicates is written; only columns that need a fill are read again.
     """
-    unique = materialise(drop_duplicate_keys(df, key, order_by), "unique")
+    unique, profile = write_profiled(drop_duplicate_keys(df, key, order_by), "unique")
     kept = set() if include_all else {key, label}
-    missing = {row["column"] for row in null_counts(unique).collect()} - kept
+    missing = {c for c, n in profile.missing.items() if n and profile.present(c)} - kept
     numeric = [c for c in numeric_columns(unique) if c in missing]
     text = [c for c in string_columns(unique) if c in missing]
     fills: dict[str, Column] = {}
     if numeric:
-        for column, value in exact_quantiles(unique, {c: F.col(c) for c in numeric}).items():
-            if value is not None:
-                known = F.when(~_is_missing(unique, column), F.col(column)).cast("double")
-                fills[column] = F.coalesce(known, F.lit(value))
+        sizes = {c: profile.present(c) for c in numeric}
+        for column, value in exact_quantiles(unique, {c: F.col(c) for c in numeric}, sizes=sizes).items():
+            known = F.when(~is_missing(unique, column), F.col(column)).cast("double")
+            fills[column] = F.coalesce(known, F.lit(value))
     if text:
         for row in modes(unique, text).collect():
             fills[row["column"]] = F.coalesce(row["column"], F.lit(row["mode"]))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from keepwell.functions.columns import flag, text_token
 from keepwell.operators.ordering import class_cuts, cuts_passed, running_totals
+from keepwell.operators.profile import code_moments, first_values, value_counts, weighted_moments, write_profiled
 from keepwell.scratch import materialise
 from keepwell.sources.tables import string_columns
 
@@ -49,7 +50,11 @@ def fit_labels(
     values = materialise(
         tokens.unpivot([], list(columns), "column", "value").distinct(), "labels"
     )
-    sizes = _label_sizes(values)
+    return _number_labels(values, _label_sizes(values), windowed_labels)
+
+
+def _number_labels(values: DataFrame, sizes: dict[str, int], windowed_labels: int) -> DataFrame:
+    """Add ``code`` to written rows (column, value, ...), given the number of values per column."""
     if max(sizes.values(), default=0) <= windowed_labels:
         order = Window.partitionBy("column").orderBy("value")
         return values.withColumn("code", F.row_number().over(order) - 1)
@@ -58,7 +63,7 @@ def fit_labels(
     for column in sorted(sizes):
         start = F.when(F.col("column") == column, F.lit(first)).otherwise(start)
         first += sizes[column]
-    return numbered.select("column", "value", (F.col("place") - 1 - start).cast("int").alias("code"))
+    return numbered.select(*values.columns, (F.col("place") - 1 - start).cast("int").alias("code"))
 
 
 def _label_sizes(labels: DataFrame) -> dict[str, int]:
@@ -178,14 +183,8 @@ class FittedFeatures:
         return self
 
 
-def fit_features(
-    df: DataFrame, key: str = "customer_id", label: str = "churn", labels_from: DataFrame | None = None
-) -> FittedFeatures:
-    """Learn label codes and scaling moments for every column but key and label.
-
-    Numeric and string columns are used and scaled, booleans are used as they are. ``labels_from`` is a
-    table with further rows, such as the test part, whose categories have codes too.
-    """
+def _feature_names(df: DataFrame, key: str, label: str) -> tuple[list[str], list[str], list[str]]:
+    """All features, those that are coded and those that are scaled; an error for columns of other types."""
     if label not in df.columns:
         raise ValueError(f"target column {label!r} not found")
     fields = [f for f in df.schema.fields if f.name not in (key, label)]
@@ -199,6 +198,18 @@ def fit_features(
     names = [f.name for f in fields]
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     scaled = [f.name for f in fields if not isinstance(f.dataType, T.BooleanType)]
+    return names, text, scaled
+
+
+def fit_features(
+    df: DataFrame, key: str = "customer_id", label: str = "churn", labels_from: DataFrame | None = None
+) -> FittedFeatures:
+    """Learn label codes and scaling moments for every column but key and label.
+
+    Numeric and string columns are used and scaled, booleans are used as they are. ``labels_from`` is a
+    table with further rows, such as the test part, whose categories have codes too.
+    """
+    names, text, scaled = _feature_names(df, key, label)
     empty = df.sparkSession.createDataFrame([], "column string, value string, code int")
     labels = fit_labels(df if labels_from is None else labels_from, text) if text else empty
     fitted = FittedFeatures(labels, {}, names, text, key, label)._with_inline()
@@ -208,6 +219,39 @@ def fit_features(
     return fitted
 
 
+def fit_while_writing(
+    df: DataFrame, key: str = "customer_id", label: str = "churn"
+) -> tuple[FittedFeatures, DataFrame]:
+    """:func:`fit_features` of a table that is still to be written, and the written table.
+
+    The moments of numbers are taken from the rows on their way to the files, the codes and their moments from
+    one count of the values of all string columns. Two passes: the one that writes, and one over the strings.
+    """
+    names, text, scaled = _feature_names(df, key, label)
+    table, profile = write_profiled(df, "engineered")
+    moments = {c: profile.moments[c] for c in scaled if c not in text}
+    if not text:
+        empty = df.sparkSession.createDataFrame([], "column string, value string, code int")
+        return FittedFeatures(empty, moments, names, text, key, label), table
+    tokens = table.select(*[text_token(F.col(c)).alias(c) for c in text])
+    counts = materialise(value_counts(tokens, text), "labels")
+    first = first_values(counts, INLINE_LABELS + 1)
+    small = {c: found for c, found in first.items() if len(found) <= INLINE_LABELS}
+    sizes = {c: len(found) for c, found in small.items()}
+    if len(small) < len(first):
+        sizes = _label_sizes(counts)
+    coded = _number_labels(counts, sizes, WINDOWED_LABELS)
+    many = [c for c in first if c not in small]
+    if many:
+        coded = materialise(coded, "codes")
+        moments |= weighted_moments(coded.filter(F.col("column").isin(many)))
+    moments |= {c: code_moments([n for _, n in found]) for c, found in small.items()}
+    moments |= {c: (None, None) for c in text if c not in first}
+    inline = {c: [value for value, _ in found] for c, found in small.items()}
+    ordered = {c: moments[c] for c in scaled}
+    return FittedFeatures(coded.drop("n"), ordered, names, text, key, label, inline), table
+
+
 def stratified_split(
     df: DataFrame,
     label: str = "churn",

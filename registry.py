@@ -153,8 +153,7 @@ def unique_customers(bound: StarBinding) -> DataFrame:
 
 def prepared(bound: StarBinding) -> tuple[features.FittedFeatures, DataFrame]:
     """Cleaned and engineered churn table with a preparation fitted on all of it."""
-    table = materialise(features.engineer(cleaning.clean(churn_table(bound))), "engineered")
-    return features.fit_features(table), table
+    return features.fit_while_writing(features.engineer(cleaning.clean(churn_table(bound))))
 
 
 def _stored_churn(bound: StarBinding) -> DataFrame:
