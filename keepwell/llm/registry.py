@@ -92,24 +92,41 @@ def _token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.file_digests(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "token-files"))
 
 
+_SOURCE = tool_chat.Parameter(
+    "source", "object", fields=(tool_chat.Parameter("conv", "integer"), tool_chat.Parameter("turn", "integer", most=5))
+)
 #: The tools that the turns of ``conversations`` are read as calls of.
 TOOLS = {
-    "ask": (tool_chat.Parameter("text", "string"), tool_chat.Parameter("words", "integer")),
-    "note": (tool_chat.Parameter("text", "string"), tool_chat.Parameter("words", "string", required=False)),
+    "ask": (
+        tool_chat.Parameter("text", "string", most=300), tool_chat.Parameter("words", "integer", most=50), _SOURCE,
+        tool_chat.Parameter("tags", "array", items="string", options=("long", "question")),
+    ),
+    "note": (
+        tool_chat.Parameter("text", "string", least=10), tool_chat.Parameter("words", "integer", options=(4, 5, 6, 7)), _SOURCE,
+        tool_chat.Parameter("tags", "array", required=False, items="string", most=1),
+    ),
 }
 
 
 def turn_events(turns: DataFrame) -> DataFrame:
     """User turns as calls, the turn after each as its result, all others as messages.
 
-    A call with up to eight words is of the tool ``note``, whose schema its integer does not fit; of two
-    calls in a row, the second uses the result of the first.
+    A call with up to eight words is of the tool ``note``, others of ``ask``. Of four calls in eight turns, the second and
+    third use the result of the first, and the last uses both of theirs. Arguments are the text, its words, tags of what it
+    is like and where it comes from.
     """
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("[^ ]+"))
     user, answer = F.col("role") == "user", F.col("role") == "assistant"
     identifier = F.concat(F.lit("q"), F.when(user, F.col("turn")).when(answer, F.col("turn") - 1).cast("string"))
-    uses = F.when(user & (F.col("turn") % 4 >= 2), F.concat(F.lit("q"), (F.col("turn") - 2).cast("string")))
-    arguments = F.to_json(F.struct(words.cast("long").alias("words"), F.col("text").alias("text")))
+    phase = F.col("turn") % 8
+    earlier = [F.concat(F.lit("q"), (F.col("turn") - back).cast("string")) for back in (4, 2)]
+    first = F.concat(F.lit("q"), (F.col("turn") - phase).cast("string"))
+    uses = F.when(user & phase.between(2, 5), F.array(first)).when(user & (phase > 5), F.array(*earlier))
+    marks = (("long", words > 32), ("question", F.col("text").contains("?")), ("lines", F.col("text").contains("\n")))
+    tags = F.filter(F.array(*[F.when(mark, tag) for tag, mark in marks]), lambda x: x.isNotNull())
+    source = F.struct(F.col("conv_id").alias("conv"), "turn")
+    fields = F.struct(source.alias("source"), tags.alias("tags"), "text", words.cast("long").alias("words"))
+    arguments = F.to_json(fields, {"ignoreNullFields": "false"})
     return turns.select(
         "conv_id", F.col("turn").alias("place"),
         F.when(user, "call").when(answer, "result").otherwise("message").alias("kind"),

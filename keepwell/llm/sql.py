@@ -179,37 +179,53 @@ WITH points AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-TOOL_CHAT = """
+TOOL_CHAT = r"""
 WITH RECURSIVE e AS (
   SELECT row_number() OVER () AS rid, conv_id, turn AS place, role, text,
     CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
     CASE role WHEN 'user' THEN 'q' || turn WHEN 'assistant' THEN 'q' || (turn - 1) END AS call_id,
-    CASE WHEN role = 'user' AND turn % 4 >= 2 THEN 'q' || (turn - 2) END AS depends_on,
+    CASE WHEN role <> 'user' OR turn % 8 < 2 THEN NULL WHEN turn % 8 < 6 THEN ['q' || (turn - turn % 8)]
+      ELSE ['q' || (turn - 4), 'q' || (turn - 2)] END AS depends_on,
     len(regexp_extract_all(coalesce(text, ''), '[^ ]+')) AS words
   FROM conversations
 ), n AS (
   SELECT *, CASE kind WHEN 'call' THEN 'c:' || call_id WHEN 'result' THEN 'r:' || call_id END AS node,
-    CASE kind WHEN 'result' THEN 'c:' || call_id WHEN 'call' THEN 'r:' || depends_on END AS parent,
-    CASE WHEN kind = 'call' THEN CASE WHEN words <= 8 THEN 'note' ELSE 'ask' END END AS name
+    CASE kind WHEN 'result' THEN ['c:' || call_id] WHEN 'call' THEN list_transform(depends_on, lambda x: 'r:' || x) END AS parents,
+    CASE WHEN kind = 'call' THEN CASE WHEN words <= 8 THEN 'note' ELSE 'ask' END END AS name,
+    list_filter([CASE WHEN words > 32 THEN 'long' END, CASE WHEN contains(text, '?') THEN 'question' END,
+      CASE WHEN contains(text, chr(10)) THEN 'lines' END], lambda x: x IS NOT NULL) AS tags
   FROM e
-), chain AS (
-  SELECT rid, conv_id, parent, place AS ready, 0 AS depth FROM n
-  UNION ALL
-  SELECT c.rid, c.conv_id, p.parent, greatest(c.ready, p.place), c.depth + 1
-  FROM chain c JOIN n p ON p.conv_id = c.conv_id AND p.node = c.parent
+), edges AS (
+  SELECT rid, conv_id, unnest(parents) AS parent FROM n
+), steps AS (
+  SELECT edges.rid, p.rid AS before, p.place FROM edges JOIN n p ON p.conv_id = edges.conv_id AND p.node = edges.parent
+), paths AS (
+  SELECT rid, rid AS origin, place AS ready, 0 AS depth FROM n
+  UNION
+  SELECT paths.rid, steps.before, greatest(ready, steps.place), depth + 1 FROM paths JOIN steps ON steps.rid = paths.origin
 ), ranks AS (
-  SELECT rid, max(ready) AS ready, max(depth) AS depth FROM chain GROUP BY rid
+  SELECT rid, max(ready) AS ready, max(depth) AS depth FROM paths GROUP BY rid
+), faults AS (
+  SELECT rid, CASE name
+    WHEN 'ask' THEN [CASE WHEN list_contains(tags, 'lines') THEN 'items tags' END, CASE WHEN place > 5 THEN 'range source.turn' END,
+      CASE WHEN length(text) > 300 THEN 'range text' END,
+      CASE WHEN words > 50 THEN 'range words' END]
+    WHEN 'note' THEN [CASE WHEN len(tags) > 1 THEN 'range tags' END, CASE WHEN length(text) < 10 THEN 'range text' END,
+      CASE WHEN text IS NULL THEN 'type text' END, CASE WHEN place > 5 THEN 'range source.turn' END, CASE WHEN words NOT BETWEEN 4 AND 7 THEN 'value words' END]
+    END AS found
+  FROM n
 )
 SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY ready, depth, place) - 1 AS position, kind, call_id,
   CASE WHEN kind = 'message' THEN 'message'
     WHEN kind = 'result' AND depth = 0 THEN 'orphan'
     WHEN kind = 'call' AND NOT EXISTS (SELECT 1 FROM n r WHERE r.conv_id = n.conv_id AND r.node = 'r:' || n.call_id)
     THEN 'unanswered' ELSE 'ok' END AS status,
-  CASE WHEN name = 'note' THEN 'type words' ELSE '' END AS errors,
-  '{"arguments":' || CASE WHEN kind = 'call' THEN json_object('text', text, 'words', words)::VARCHAR ELSE 'null' END || ',' ||
+  coalesce(array_to_string(list_sort(list_filter(found, lambda x: x IS NOT NULL)), ','), '') AS errors,
+  '{"arguments":' || CASE WHEN kind = 'call' THEN json_object('source', json_object('conv', conv_id, 'turn', place), 'tags', tags,
+      'text', text, 'words', words)::VARCHAR ELSE 'null' END || ',' ||
     substr(json_object('call_id', call_id, 'content', CASE WHEN kind <> 'call' THEN text END, 'depends_on', depends_on,
       'kind', kind, 'name', name, 'role', role)::VARCHAR, 2) AS json
-FROM n JOIN ranks USING (rid)
+FROM n JOIN ranks USING (rid) JOIN faults USING (rid)
 """
 
 RANKED_SEARCH = r"""
