@@ -297,6 +297,7 @@ def link_tool_calls(events: DataFrame, tools: DataFrame) -> DataFrame:
         ready.alias("ready"), F.coalesce("depth", F.lit(0)).alias("depth"), status.alias("status"), errors.alias("errors"),
     )
     order = [F.col(c) for c in ("conv_id", "ready", "depth", "place", "row")]
+    placed = materialise(placed, "placed")  # the cut into ranges reads it twice
     counted = materialise(running_totals(placed, order, {"upto": F.lit(1)}), "ordered")
     starts = counted.groupBy(F.col("conv_id").alias("s_conv")).agg(F.min("upto").alias("start"))
     starts = materialise(starts, "starts")  # written, so that the join of a hot conversation is split
