@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ from keepwell.scratch import scratch_path
 
 END_ID = 1
 BLOCK_IDS = 1 << 19
-ENCODE_ROWS = 256
+#: Bytes of texts that are encoded at a time, but at least one text.
+ENCODE_BYTES = 6 << 20
 #: The polynomial of CRC-32 with its bits reversed, and the polynomials 1 and x in the same order.
 POLYNOMIAL, ONE, X = 0xEDB88320, 0x80000000, 0x40000000
 
@@ -53,6 +55,16 @@ def shifted(crc: int, n_bytes: int) -> int:
     return _times(power, crc)
 
 
+def _by_bytes(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts, in the second column, have at most so many bytes, or of one row."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+    row, before = 0, 0
+    while row < batch.num_rows:
+        beyond = max(int(np.searchsorted(ends, before + most, "right")), row + 1)
+        yield batch.slice(row, beyond - row)
+        row, before = beyond, int(ends[beyond - 1])
+
+
 def _chunks(docs: DataFrame, tokenizer: str, id_col: str, end_id: int, block_ids: int, words_apart: bool) -> DataFrame:
     """Ids of the documents in order, cut: (part, no, ids, docs), ``no`` numbering the chunks of a partition."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -83,8 +95,7 @@ def _chunks(docs: DataFrame, tokenizer: str, id_col: str, end_id: int, block_ids
         room = block_ids
         for batch in batches:
             id_kind = batch.schema.field(0).type
-            for row in range(0, batch.num_rows, ENCODE_ROWS):
-                some = batch.slice(row, ENCODE_ROWS)
+            for some in _by_bytes(batch, ENCODE_BYTES):
                 for doc, found in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
                     ids, taken = np.append(found, np.uint32(end_id)), 0
                     while taken < len(ids):
@@ -141,7 +152,8 @@ def write_token_files(
     drops white space and reads words apart. NULL identifiers come last; rows with one identifier are documents
     of their own, in the order of a hash of their texts and then as read; NULL and empty texts are ``end_id``
     alone. A very long text spans blocks. An empty table gives files without blocks. Other columns are not read, and
-    clash with nothing. A task holds one batch of texts and the ids of one block.
+    clash with nothing. A task holds one batch of texts, the
+    words of 6 MB of them, and the ids of one block.
     """
     spark = docs.sparkSession
     named = docs.select(F.col(id_col), F.col(text_col).alias("text_"))

@@ -11,6 +11,8 @@ from itertools import chain, repeat
 from operator import attrgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from keepwell.llm.common import put
 
@@ -137,9 +139,12 @@ class ApartWordEncoder:
         self.direct = self._by_model(letters) == self._plain([letters])[0].tolist()
         self.clear()
 
-    clear = WordEncoder.clear
     _plain = WordEncoder._plain
 
+    def clear(self) -> None:
+        WordEncoder.clear(self)
+        self.words = pa.array([], pa.large_string())  # the place of a word is its code
+
     def _add(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
         self.codes.update(zip(words, range(self.known, self.known + len(words))))
         self.starts = put(self.starts, self.known, self.filled + np.cumsum(lengths) - lengths)
@@ -152,8 +157,15 @@ class ApartWordEncoder:
     def _by_model(self, word: str) -> list[int]:
         return [t.id for t in self.tokenizer.model.tokenize(word)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Take words in that are not known."""
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """Take different words in that are not known, and return their codes."""
+        self._encode_new(words)
+        self.words = pa.concat_arrays([self.words, pa.array(list(self.codes), pa.large_string())])
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        self.codes = {}
+        return codes
+
+    def _encode_new(self, words: list[str]) -> None:
         simple = [w for w in words if self.direct and w.isascii() and w.isalpha() and w.islower()]
         if simple:
             pieces = list(map(self.tokenizer.model.tokenize, simple))
@@ -179,17 +191,18 @@ class ApartWordEncoder:
         places = np.repeat(self.starts[codes] - (ends - sizes), sizes)
         return self.flat[places + np.arange(len(places))], ends
 
-    def _words(self, text: str) -> list[str]:
+    def _spaced(self, text: str) -> str:
+        """The text with a space wherever it may be cut into words."""
         if self.SPECIAL not in text:
             text = text.lower() if text.isascii() else text.encode().lower().decode()  # A-Z only
             if not self.BESIDE_STOPS.search(text):
                 text = text.replace(".", " .").replace(",", " ,")
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         if not texts:
             return []
-        if len(self.codes) > self.CACHED_WORDS or self.chars > 2 * CACHED_CHARS:
+        if self.known > self.CACHED_WORDS or self.chars > 2 * CACHED_CHARS:
             self.clear()
         gc.disable()  # nothing here forms cycles, and its many small lists would start the collector again and again
         try:
@@ -198,16 +211,16 @@ class ApartWordEncoder:
             gc.enable()
 
     def _encoded(self, texts: Sequence[str]) -> list[np.ndarray]:
-        split = [self._words(text) for text in texts]
-        words = [w for part in split for w in part]
-        codes = np.fromiter(map(self.codes.get, words, repeat(UNKNOWN)), np.int64, len(words))
-        new = np.flatnonzero(codes == UNKNOWN)
-        if len(new):
-            found = [words[i] for i in new.tolist()]
-            self._learn(list(dict.fromkeys(found)))
-            codes[new] = np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found))
-        ids, ends = self._gather(codes)
-        last = np.cumsum([len(part) for part in split]) - 1
+        """Each different word of these texts is looked up once: Arrow cuts the texts and numbers their words."""
+        split = pc.split_pattern(pa.array(map(self._spaced, texts), pa.large_string()), " ")
+        numbered = split.flatten().dictionary_encode()
+        different = numbered.dictionary
+        known = pc.index_in(different, value_set=self.words)
+        codes = known.fill_null(UNKNOWN).to_numpy().astype(np.int64)
+        if known.null_count:
+            codes[codes == UNKNOWN] = self._learn(different.filter(known.is_null()).to_pylist())
+        ids, ends = self._gather(codes[numbered.indices.to_numpy()])
+        last = np.cumsum(pc.list_value_length(split).to_numpy()) - 1
         return np.split(ids, ends[last[:-1]])
 
 

@@ -4,11 +4,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from keepwell.llm import rans, token_files
-from keepwell.llm.tokens import apart_encoder
+from keepwell.llm.tokens import ApartWordEncoder, apart_encoder
 from tests.llm.conftest import corpus, sentence
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -96,3 +97,23 @@ def test_given_documents_by_brute_force(spark, data, tmp_path):
         assert found[i] == (at, len(ids), crc(ids))
         at += len(ids)
     assert len(found) == len(rows)
+
+
+def test_words_after_the_cache_was_emptied(monkeypatch):
+    encode = ApartWordEncoder(PATH)
+    monkeypatch.setattr(ApartWordEncoder, "CACHED_WORDS", 20)
+    texts = [sentence(k, 30) + " é. X1" for k in range(12)] + [""]
+    for at in range(0, len(texts), 3):
+        some = texts[at : at + 3]
+        assert [[*x.tolist(), 1] for x in encode(some)] == plain(some)
+    assert encode.known < 200 and encode([]) == []
+
+
+@pytest.mark.parametrize("most", [1, 5, 10, 1000])
+def test_slices_by_bytes(most):
+    texts = ["", "abc", "", "é" * 4, "x" * 30, "y", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["id", "text"])
+    found = [s.column(1).to_pylist() for s in token_files._by_bytes(batch, most)]
+    assert [t for part in found for t in part] == texts
+    assert all(len(part) == 1 or sum(len(t.encode()) for t in part) <= most for part in found)
+    assert list(token_files._by_bytes(batch.slice(0, 0), most)) == []
