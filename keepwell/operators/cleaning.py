@@ -83,8 +83,8 @@ def clean(
     """Remove duplicate keys, then fill numeric columns with the median and strings with the mode.
 
     A filled numeric column becomes double. Key and label are left alone unless ``include_all``.
-    Columns without any value stay as they are. What is missing is counted while the table without
-    duplicates is written; only columns that need a fill are read again.
+    Columns without any value stay as they are. What is missing is counted once for all columns;
+    only those that need a fill are read again.
     """
     unique, profile = write_profiled(drop_duplicate_keys(df, key, order_by), "unique")
     kept = set() if include_all else {key, label}

@@ -224,8 +224,8 @@ def fit_while_writing(
 ) -> tuple[FittedFeatures, DataFrame]:
     """:func:`fit_features` of a table that is still to be written, and the written table.
 
-    The moments of numbers are taken from the rows on their way to the files, the codes and their moments from
-    one count of the values of all string columns. Two passes: the one that writes, and one over the strings.
+    The moments of numbers come from one aggregate of the written table, the codes and their moments from
+    one count of the values of all string columns.
     """
     names, text, scaled = _feature_names(df, key, label)
     table, profile = write_profiled(df, "engineered")

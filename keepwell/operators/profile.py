@@ -1,4 +1,4 @@
-"""Counts and moments of all columns, taken while a table is written, and the value counts of its strings."""
+"""Counts and moments of all columns from one aggregate of a written table, and the value counts of its strings."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,20 +35,19 @@ class Profile:
 
 
 def write_profiled(df: DataFrame, label: str) -> tuple[DataFrame, Profile]:
-    """Write ``df`` as :func:`materialise` does and take its profile from the rows on their way to the files.
+    """Write ``df`` as :func:`materialise` does and take its profile from one aggregate over the files.
 
-    The profile is an observed aggregate of the writing stage, whose tasks count once each, however often they are
-    run. A task sends a few numbers per column to the driver and no sketches or values, so what arrives there stays
-    small with very many tasks. An empty table has no rows, nothing missing, and NULL moments.
+    One row of a few numbers per column reaches the driver. An empty table has no rows, nothing missing, and NULL
+    moments. The rows are not observed while they are written: a session that has observed something cannot be
+    serialised, and fitted classifiers hold their session.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     wanted = [F.count(F.lit(1)).alias("rows")]
     wanted += [F.count(F.when(is_missing(df, c), 1)).alias(f"missing{i}") for i, c in enumerate(df.columns)]
     for i, c in enumerate(numeric):
         wanted += [F.avg(c).cast("double").alias(f"mean{i}"), F.stddev_pop(c).alias(f"sd{i}")]
-    seen = Observation()
-    table = materialise(df.observe(seen, *wanted), label)
-    row = seen.get
+    table = materialise(df, label)
+    row = table.agg(*wanted).first()
     return table, Profile(
         row["rows"],
         {c: row[f"missing{i}"] for i, c in enumerate(df.columns)},

@@ -445,6 +445,20 @@ def features() -> dict[str, str]:
         ),
         "smote": _smote(["tenure_months", "monthly_charges"], "cleaned", CLEANED),
         "smote_prepared": _smote(names, "prepared", PREPARED),
+        "rebalancing_gate": _with(
+            """
+            select contract_type, min(n) as smallest, max(n) as largest, min(n) / max(n) < 0.5 as needed
+            from (select contract_type, churn, count(*) as n from churn_dataset where churn is not null group by all)
+            group by all"""
+        ),
+        "model_round_trip": _with("select customer_id, true as same, true as is_share from cleaned", CLEANED),
+        "driver_ranks": _with(
+            """
+            select report, (select count(*) - 2 from (unpivot (from encoded limit 1) on columns(*)::varchar))::int as n_features,
+                   true as falls, 10 as in_report, 15 as in_chart, if(report = 'feature_importance', true, null) as sums_to_one
+            from (values ('coefficients'), ('feature_importance')) as reports(report)""",
+            ENCODED,
+        ),
         "search_folds": _with(
             """
             select fold, held_out, held_out_churned, 2 * majority as training, majority as training_churned,
@@ -703,6 +717,7 @@ def sources() -> dict[str, str]:
 
 #: Queries that take another path to the same rows.
 TWINS = {
+    "prepare_with_extra_text": "prepare",
     "smote_boxed": "smote", "label_codes_sliced": "label_codes", "medians_narrowed": "medians",
     "churn_dataset_salted": "churn_dataset", "churn_dataset_stored": "churn_dataset",
     "activity_metrics_stored": "activity_metrics", "activity_metrics_stored_90": "activity_metrics_90",

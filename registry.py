@@ -215,6 +215,22 @@ def _prepare(bound: StarBinding) -> DataFrame:
     return fitted.transform(table)
 
 
+def _prepare_with_extra_text(bound: StarBinding) -> DataFrame:
+    """Rows with a text column that was not there in fitting, which the preparation drops."""
+    fitted, table = prepared(bound)
+    return fitted.transform(table.withColumn("remark", F.concat(F.lit("new "), "customer_id")))
+
+
+def _rebalancing_gate(bound: StarBinding) -> DataFrame:
+    """Class sizes per contract, and whether training on its customers would oversample."""
+    churn = churn_table(bound)
+    sizes: dict[str | None, dict] = {}
+    for row in churn.filter("churn IS NOT NULL").groupBy("contract_type", "churn").count().collect():
+        sizes.setdefault(row["contract_type"], {})[row["churn"]] = row["count"]
+    rows = [(c, min(n.values()), max(n.values()), balance.needs_rebalancing(n)) for c, n in sizes.items()]
+    return churn.sparkSession.createDataFrame(rows, "contract_type string, smallest long, largest long, needed boolean")
+
+
 def _label_codes(bound: StarBinding) -> DataFrame:
     table = features.engineer(cleaning.clean(churn_table(bound)))
     return features.fit_labels(table, string_columns(table))
@@ -256,6 +272,8 @@ def _features() -> dict[str, Query]:
         "stratified_split": _bound(_split),
         "split_profile": _bound(lambda b: rounded(cleaning.label_profile(_split(b), "split"))),
         "stratified_folds": _bound(_folds),
+        "prepare_with_extra_text": _bound(lambda b: rounded(_prepare_with_extra_text(b))),
+        "rebalancing_gate": _bound(_rebalancing_gate),
         "smote": _bound(lambda b: rounded(_smote(b))),
         "smote_prepared": _bound(lambda b: rounded(_smote_prepared(b))),
         # The paths of large tables, by way of small parameters.
@@ -390,17 +408,48 @@ def _run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return runs.read_runs(spark, path)
 
 
-def _reloaded_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Fit, save, load and score the whole table without its label."""
-    table = _engineered(StarBinding(spark, folder))
-    fitted = features.fit_features(table)
+def _saved_model(bound: StarBinding):
+    """A fitted model with its preparation, the same after saving and loading, and the table of its customers."""
+    spark = bound.spark
+    fitted, table = prepared(bound)
     rows = training.TrainingTable(materialise(fitted.transform(table), "train"), fitted.names)
     model = training.fit_candidate(training.Fold(*rows.model_input(), None), SHORT_LOGISTIC[0])
     assembler = training.VectorAssembler(inputCols=fitted.names, outputCol="features")
-    path = scratch_path(spark, "model")
-    runs.save_model(path, training.PipelineModel(stages=[assembler, model]), fitted)
-    pipeline, preparation = runs.load_model(spark, path)
-    return training.score_customers(pipeline, preparation, table)
+    pipeline, path = training.PipelineModel(stages=[assembler, model]), scratch_path(spark, "model")
+    runs.save_model(path, pipeline, fitted)
+    return (pipeline, fitted), runs.load_model(spark, path), table
+
+
+def _reloaded_scores(bound: StarBinding) -> DataFrame:
+    """Fit, save, load and score the whole table without its label."""
+    _, loaded, table = _saved_model(bound)
+    return training.score_customers(*loaded, table)
+
+
+def _model_round_trip(bound: StarBinding) -> DataFrame:
+    """Per customer, whether a saved and loaded model gives the score of the fitted one, and one between 0 and 1."""
+    fitted, loaded, table = _saved_model(bound)
+    before = training.score_customers(*fitted, table).select("customer_id", F.col("p").alias("before"))
+    after = training.score_customers(*loaded, table).select("customer_id", F.col("p").alias("after"))
+    before, after = materialise(before, "before"), materialise(after, "after")
+    return before.join(after, "customer_id").select(
+        "customer_id", (F.abs(F.col("before") - F.col("after")) < 1e-9).alias("same"), F.col("after").between(0, 1).alias("is_share")
+    )
+
+
+def _driver_ranks(bound: StarBinding) -> DataFrame:
+    """Per report of what drives a model: its features, whether they fall in order, and the rows of report and chart."""
+    spark, found = bound.spark, []
+    for name, candidate, report in (
+        ("coefficients", SHORT_LOGISTIC[0], training.coefficients), ("feature_importance", SHORT_FOREST[0], training.feature_importance)
+    ):
+        table = _drivers(candidate, report)(spark, bound.folder)
+        sizes = [abs(row[1]) for row in table.collect()]  # one row per feature
+        shown = [training.top_rows(table, n).count() for n in (10, 15)]
+        whole = abs(sum(sizes) - 1) < 1e-9 if name == "feature_importance" else None
+        found.append((name, len(sizes), sizes == sorted(sizes, reverse=True), *shown, whole))
+    schema = "report string, n_features int, falls boolean, in_report int, in_chart int, sums_to_one boolean"
+    return spark.createDataFrame(found, schema)
 
 
 def _search_folds(bound: StarBinding) -> DataFrame:
@@ -434,7 +483,9 @@ def _training() -> dict[str, Query]:
         "coefficients": _drivers(SHORT_LOGISTIC[0], training.coefficients),
         "feature_importance": _drivers(SHORT_FOREST[0], training.feature_importance),
         "top_features": _drivers(SHORT_FOREST[0], training.feature_importance, 15),
-        "score_customers": _reloaded_scores,
+        "score_customers": _bound(_reloaded_scores),
+        "model_round_trip": _bound(_model_round_trip),
+        "driver_ranks": _bound(_driver_ranks),
         "search_folds": _bound(_search_folds),
         "run_facts": _run_facts,
         "run_metrics": _run_metrics,
