@@ -65,17 +65,21 @@ def _month(day: Column) -> Column:
     return F.year(day) * 100 + F.month(day)
 
 
-def write_by_month(df: DataFrame, day: str, files_per_month: int = 1) -> str:
+def write_by_month(df: DataFrame, day: str, files_per_month: int | None = None) -> str:
     """Write a table in a folder per month of the date or timestamp ``day`` and return its path.
 
-    ``files_per_month``: how many tasks share the rows of one month, so that a month may be large. Rows without
-    a date are kept in a folder of their own, which no window reads.
+    ``files_per_month``: how many tasks share the rows of one month. By default that follows from their size: a
+    month beyond ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is split over several tasks, so none grows
+    with the input. Rows without a date are kept in a folder of their own, which no window reads.
     """
     path = scratch_path(df.sparkSession, "months")
     monthly = df.withColumn(MONTH, _month(F.col(day)))
-    # A hash of the row, so that a task that runs again deals its rows alike.
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-    monthly.repartition(MONTH, salt).write.partitionBy(MONTH).parquet(path)
+    if files_per_month is None:
+        dealt = monthly.hint("rebalance", F.col(MONTH))
+    else:
+        # A hash of the row, so that a task that runs again deals its rows alike.
+        dealt = monthly.repartition(MONTH, F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month)))
+    dealt.write.partitionBy(MONTH).parquet(path)
     return path
 
 

@@ -103,6 +103,22 @@ def test_a_window_reads_the_folders_of_its_months(spark, year):
     assert few < files(90)[0] <= 8 and 24 <= files(5000)[0] < len(every)
 
 
+def test_a_large_month_is_written_by_several_tasks(spark):
+    day = F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 40).cast("int"))
+    df = spark.range(0, 40_000, 1, 8).select("id", F.when(F.col("id") % 10 != 0, day).alias("day"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "32k")
+    try:
+        path = layout.write_by_month(df, "day")
+    finally:
+        spark.conf.set(name, before)
+    stored = spark.read.parquet(path)
+    assert rows(stored.drop(layout.MONTH)) == rows(df)
+    files = stored.filter(F.col(layout.MONTH) == 202401).groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 1 and max(f["count"] for f in files) < 20_000
+
+
 def test_a_window_of_an_empty_table(spark, year):
     path = layout.write_by_month(year.filter("false"), "day")
     assert layout.read_window(spark, path, year, "day", date(2024, 1, 1)).count() == 0
