@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import registry
-from keepwell.plans import evaluation, nested_forest, training
+from keepwell.plans import evaluation, grown_forest, nested_forest, training
 from keepwell.plans.churn_run import run_churn_model
 from keepwell.sources import runs, tables
 from keepwell.sources.star_binding import StarBinding
@@ -158,6 +158,42 @@ def test_nested_scores_are_the_models_own_and_near_real_fits(spark, engineered):
         assert area(nested) == pytest.approx(area(training.score(model, fold.held_out)), abs=0.04), setting
 
 
+@pytest.mark.parametrize("group_rows", [30_000, 200])
+def test_forest_grown_on_executors_is_near_real_fits(spark, engineered, folder, monkeypatch, group_rows):
+    """More nodes than the driver may hold: no Spark forest is fitted, and scores, importance and storage work as with one."""
+    fold = _one_part(engineered).folds[0]
+    candidate = training.forest_grid((60,), (None,), (2,), ("balanced",))[0]
+    cuts = [(60, 30), (60, 4), (25, 4), (25, 30)]
+    real = [training.forest_grid((n,), (d,), (2,), (None,))[0].estimator(fold.weight, 7).fit(fold.training) for n, d in cuts]
+    monkeypatch.setattr(training, "DRIVER_NODES", 0)
+    monkeypatch.setattr(grown_forest, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(training.Candidate, "estimator", lambda *_: pytest.fail("fitted on the driver"))
+    model = training.fit_candidate(fold, candidate)
+    assert (len(model.top) == 60) == (group_rows == 30_000)
+    found = model.scores(fold.held_out, cuts).selectExpr("cast(target as int) label", "scores")
+    for i, other in enumerate(real):
+        area = evaluation.roc_auc(found.selectExpr("label", f"scores[{i}] p")).first()[0]
+        assert area == pytest.approx(evaluation.roc_auc(training.score(other, fold.held_out)).first()[0], abs=0.04), cuts[i]
+    importance, known = model.featureImportances.toArray(), real[0].featureImportances.toArray()
+    assert importance.sum() == pytest.approx(1) and abs(importance - known).max() < 0.06
+    model.write().save(folder)
+    again = sorted(training.score(grown_forest.GrownForest.load(folder), fold.held_out).collect())
+    assert again == sorted(training.score(model, fold.held_out).collect()) and len(again) == fold.held_out.count()
+    grid = training.forest_grid((5, 10), (3, None), (1,), ("balanced", None))
+    assert len(training._fold_scores(grid, fold, 42)) == 8
+
+
+def test_grown_parts_are_pruned_as_a_fit_prunes():
+    bins = np.array([[0], [1], [2], [3]], np.uint8).repeat(10, 0)
+    ones = np.array([0] * 10 + [0] * 7 + [1] * 3 + [0] * 2 + [1] * 8 + [1] * 10)
+    values = grown_forest._values(ones, np.ones(40), [1.0, 1.0])
+    for limit, leaves in ((1, 2), (30, 2)):
+        nodes, first, importance = grown_forest.grow(bins, values, 0, limit, 1, np.random.default_rng(0))
+        below = nodes[nodes["left"][0] : nodes["left"][0] + 2]
+        assert below["share"].tolist() == [0.15, 0.9] and (below["uniform"] >= 30).all() and nodes["uniform"][0] == 0
+        assert first.tolist() == [0, 1] and importance.tolist() == pytest.approx([20 - 2 * 20 * (0.15 * 0.85 + 0.9 * 0.1)])
+
+
 def test_cut_trees_are_pruned_as_a_fit_prunes(spark):
     nodes = nested_forest.NodeTable(
         np.array([0]), np.zeros(7, int), np.array([0.0, -1, 1, 0, 0, 0, 0]), np.array([1, 3, 5, -1, -1, -1, -1]),
