@@ -191,7 +191,7 @@ def test_grown_parts_are_pruned_as_a_fit_prunes():
         nodes, first, importance = grown_forest.grow(bins, values, 0, limit, 1, np.random.default_rng(0))
         below = nodes[nodes["left"][0] : nodes["left"][0] + 2]
         assert below["share"].tolist() == [0.15, 0.9] and (below["uniform"] >= 30).all() and nodes["uniform"][0] == 0
-        assert first.tolist() == [0, 1] and importance.tolist() == pytest.approx([20 - 2 * 20 * (0.15 * 0.85 + 0.9 * 0.1)])
+        assert first.tolist() == [1, 0] and importance.tolist() == pytest.approx([14.9 + 16.4 - 20.05])
 
 
 def test_cut_trees_are_pruned_as_a_fit_prunes(spark):
