@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -32,10 +33,16 @@ LOGISTIC, FOREST = "Logistic Regression", "Random Forest"
 DEEPEST_TREE = 30
 #: A fit's table gets a partition, and so each of its jobs a task, for so many rows.
 ROWS_PER_TASK = 20_000
+#: Up to so many partitions Spark adds the gradients of a logistic fit's iteration with one stage less.
+ONE_STAGE_PARTITIONS = 5
+#: A task of a logistic fit has no more rows, unless its table has fewer partitions.
+MOST_ROWS_PER_TASK = 1_000_000
 #: A forest that may have more nodes is grown and kept on the executors instead of the driver.
 DRIVER_NODES = 20_000
 #: Fits at once; a forest keeps the cluster busy by itself and its jobs take the driver's memory.
 FITS_AT_ONCE = {LOGISTIC: 8, FOREST: 2}
+#: Each logistic fit keeps a copy of its features (8 bytes a cell) on the executors; fits at once keep no more cells than this.
+CELLS_AT_ONCE = 500_000_000
 #: Parts oversampled at once: plans and compiled code of each stay in the driver's memory.
 PARTS_AT_ONCE = 2
 # Iteration limit and stopping tolerance of the logistic fits.
@@ -172,6 +179,7 @@ class Fold:
     weight: float
     held_out: DataFrame | None
     even: bool = False  # all classes have one size, so balanced weights are 1
+    fits: int = 1  # fits that run at once
 
 
 @dataclass
@@ -180,13 +188,15 @@ class Parts:
 
     ``table`` has key, target, features, ``fold`` and ``weights``: per fold, and last for the whole, the row's balanced
     weight, 0 where the part does not have the row. Synthetic rows have no fold and a weight in the part
-    that they were made from. ``digest`` names the data and how they are cut.
+    that they were made from, ``part``, which names their folder, so that a fit does not read those of other parts.
+    ``digest`` names the data and how they are cut, ``width`` is the number of features.
     """
 
     table: DataFrame
     folds: list[Fold]
     whole: Fold
     digest: str
+    width: int = 1
 
 
 def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fold") -> Parts:
@@ -225,25 +235,27 @@ def make_folds(table: TrainingTable, folds: int = 5, rebalance: str | None = "fo
     counted = rows.groupBy(table.label).agg(*[F.count(F.when(inside(i), 1)).alias(f"n{i}") for i in numbers]).collect()
     counts = [{r[table.label]: r[f"n{i}"] for r in counted if r[f"n{i}"]} for i in numbers]
     weights = [F.when(inside(i), weight_column(c, table.label)).otherwise(0.0) if c else F.lit(0.0) for i, c in zip(numbers, counts)]
-    weighed = rows.select(table.key, "target", "features", "fold", F.array(*weights).alias("weights"))
-    stored = materialise(weighed, "weighted")
+    weighed = rows.select(table.key, "target", "features", "fold", F.array(*weights).alias("weights"), "part")
+    stored = materialise(weighed, "weighted", ["part"])
+    own_rows = F.col("part").isNull()
     totals = [sum(c.values()) for c in counts]
 
     def training(number: int) -> DataFrame:
-        part = stored.filter(F.col("weights")[number] > 0)
+        part = stored.filter(own_rows | (F.col("part") == number)).filter(F.col("weights")[number] > 0)
         part = part.select(table.key, "target", F.col("weights")[number].alias("weight"), "features")
         return _sized(part, totals[number])
 
     cut = [
         Fold(
-            training(i), totals[i], stored.filter(F.col("fold") == i).select(table.key, "target", "features"),
+            training(i), totals[i], stored.filter(own_rows & (F.col("fold") == i)).select(table.key, "target", "features"),
             len(set(counts[i].values())) == 1,
         )
         for i in range(folds)
     ]
     content = folded.agg(F.count("*"), F.sum(F.xxhash64(*sorted(folded.columns)).cast("decimal(38,0)"))).first()
     told = (tuple(content), table.names, table.label, folds, table.seed, rebalance)
-    return Parts(stored, cut, Fold(training(folds), totals[folds], None), hashlib.md5(repr(told).encode()).hexdigest())
+    digest = hashlib.md5(repr(told).encode()).hexdigest()
+    return Parts(stored, cut, Fold(training(folds), totals[folds], None), digest, len(table.names))
 
 
 def _jobs(candidates: Sequence[Candidate], even: bool) -> list[list[Candidate]]:
@@ -265,13 +277,20 @@ def _largest(group: Sequence[Candidate]) -> Candidate:
     return Candidate(FOREST, group[0].class_weight, tuple(settings.items()))
 
 
+def _few(table: DataFrame, rows: float, fits: int) -> DataFrame:
+    """``table`` for one of ``fits`` logistic fits at once: in partitions that keep the cluster busy between them."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.coalesce(max(ONE_STAGE_PARTITIONS, math.ceil(cores / fits), math.ceil(rows / MOST_ROWS_PER_TASK)))
+
+
 def _fold_scores(group: Sequence[Candidate], fold: Fold, seed: int) -> list[float]:
     """ROC-AUC of a job's candidates on the held-out rows, from one fit, whose model is dropped afterwards."""
     evaluator = BinaryClassificationEvaluator(labelCol="target", metricName="areaUnderROC", numBins=0)
     held_out = _sized(fold.held_out, fold.weight)
     if group[0].family == LOGISTIC:
-        model = group[0].estimator(fold.weight, seed).fit(fold.training)
-        return [evaluator.setRawPredictionCol("probability").evaluate(model.transform(held_out))] * len(group)
+        model = group[0].estimator(fold.weight, seed).fit(_few(fold.training, fold.weight, fold.fits))
+        scored = model.transform(_few(held_out, fold.weight, fold.fits)).select("target", "probability")
+        return [evaluator.setRawPredictionCol("probability").evaluate(scored)] * len(group)
     model = fit_candidate(fold, _largest(group), seed)
     options = [dict(c.settings) for c in group]
     wanted = [(o["n_estimators"], o["max_depth"] or DEEPEST_TREE) for o in options]
@@ -288,17 +307,26 @@ def _fold_scores(group: Sequence[Candidate], fold: Fold, seed: int) -> list[floa
         scored.unpersist()
 
 
+def _fits_at_once(parts: Parts, candidates: Sequence[Candidate]) -> int:
+    """As many as the family allows, the cluster has cores, and, for logistic fits, their copies of the features leave room."""
+    most = min(min(FITS_AT_ONCE[c.family] for c in candidates), parts.table.sparkSession.sparkContext.defaultParallelism)
+    if any(c.family == LOGISTIC for c in candidates):
+        cells = max(f.weight for f in parts.folds) * parts.width
+        most = min(most, max(1, int(CELLS_AT_ONCE // max(1, cells))))
+    return most
+
+
 def cross_validate(
     parts: Parts, candidates: Sequence[Candidate], seed: int = 42, parallelism: int | None = None, journal: str | None = None
 ) -> list[float]:
     """Mean ROC-AUC of every candidate over the folds.
 
     Forests that differ only in size and depth share a fit per fold. With a ``journal``, the path of a run table, each
-    score is recorded as it is known, and scores that are recorded already are not computed again.
+    score is recorded as it is known, and scores that are recorded already are not computed again. The rows of a fold
+    are kept from its first fit to its last.
     """
     spark = parts.table.sparkSession
-    at_once = min(FITS_AT_ONCE[c.family] for c in candidates)
-    parallelism = parallelism or min(at_once, spark.sparkContext.defaultParallelism)
+    parallelism = parallelism or _fits_at_once(parts, candidates)
     log = SearchJournal(spark, journal, f"{parts.digest}-{seed}") if journal else None
     known = log.scores() if log else {}
     jobs = [
@@ -306,21 +334,27 @@ def cross_validate(
         if any((c.text, number) not in known for c in group)
     ]
 
-    def run(job: tuple[list[Candidate], int]) -> dict:
+    def run(job: tuple[list[Candidate], int]) -> tuple[int, dict]:
         group, number = job
-        found = _fold_scores(group, parts.folds[number], seed)
+        found = _fold_scores(group, replace(parts.folds[number], fits=parallelism), seed)
         if log:
             log.record([(c.family, c.text, number, s) for c, s in zip(group, found)])
-        return {(c.text, number): s for c, s in zip(group, found)}
-
-    if jobs:
-        parts.table.persist()
-        try:
-            with ThreadPool(parallelism) as pool:
-                for found in pool.imap_unordered(inheritable_thread_target(spark)(run), jobs):
-                    known.update(found)
-        finally:
-            parts.table.unpersist()
+        return number, {(c.text, number): s for c, s in zip(group, found)}
+
+    left = Counter(number for _, number in jobs)
+    kept = {number: (parts.folds[number].training.persist(), parts.folds[number].held_out.persist()) for number in left}
+    try:
+        with ThreadPool(parallelism) as pool:
+            for number, found in pool.imap_unordered(inheritable_thread_target(spark)(run), jobs):
+                known.update(found)
+                left[number] -= 1
+                if not left[number]:
+                    for table in kept.pop(number):
+                        table.unpersist()
+    finally:
+        for tables in kept.values():
+            for table in tables:
+                table.unpersist()
     return [sum(known[c.text, f] for f in range(len(parts.folds))) / len(parts.folds) for c in candidates]
 
 

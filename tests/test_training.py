@@ -267,3 +267,57 @@ def test_whole_forest_grid_by_few_fits(spark, tmp_path, monkeypatch):
     assert max(rows, key=lambda r: r["cv_roc_auc"])["cv_roc_auc"] == [r for r in rows if r["is_best"]][0]["cv_roc_auc"]
     again = registry.queries()["forest_search"](spark, "/root/testdata/sf0.001").collect()
     assert len(fits) == 10 and [r["cv_roc_auc"] for r in again] == [r["cv_roc_auc"] for r in rows]
+
+
+def _unbalanced(spark, rows=400):
+    numbers = spark.range(rows).withColumnRenamed("id", "customer_id")
+    return training.TrainingTable(numbers.selectExpr(
+        "customer_id", "cast(customer_id % 5 = 0 as int) churn", "cast(customer_id * 37 % 101 as double) a",
+        "cast(customer_id * 53 % 97 + 20 * (customer_id % 5) as double) b",
+    ), ["a", "b"])
+
+
+def test_a_fit_reads_no_synthetic_rows_of_other_parts(spark):
+    parts = training.make_folds(_unbalanced(spark), 2)
+    for number, part in enumerate([*parts.folds, parts.whole]):
+        files = part.training.select(F.input_file_name().alias("file")).distinct().collect()
+        assert {row["file"].split("/part=")[1].split("/")[0] for row in files} == {"__HIVE_DEFAULT_PARTITION__", str(number)}
+        plan = part.training._jdf.queryExecution().executedPlan().toString()
+        assert "(part#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert part.training.count() == part.weight
+        if part.held_out is not None:
+            files = part.held_out.select(F.input_file_name().alias("file")).distinct().collect()
+            assert all("/part=__HIVE_DEFAULT_PARTITION__/" in row["file"] for row in files)
+            assert part.held_out.count() == 200
+
+
+def test_rows_of_a_fold_are_kept_from_its_first_fit_to_its_last(spark, monkeypatch):
+    parts, kept, real = training.make_folds(_unbalanced(spark), 2), [], training._fold_scores
+
+    def watched(group, fold, *options):
+        kept.append((fold.training.is_cached, fold.held_out.is_cached, parts.table.is_cached))
+        return real(group, fold, *options)
+
+    monkeypatch.setattr(training, "_fold_scores", watched)
+    scores = training.cross_validate(parts, training.logistic_grid((0.1, 1.0), ("l2",), (None,)))
+    assert kept == [(True, True, False)] * 4 and all(0.5 < s <= 1 for s in scores)
+    assert not any(t.is_cached for f in parts.folds for t in (f.training, f.held_out))
+
+
+def test_copies_of_the_features_bound_the_fits_at_once(spark, monkeypatch):
+    parts, grid = training.make_folds(_unbalanced(spark), 2), training.logistic_grid()
+    assert parts.width == 2 and parts.folds[0].weight == 320
+    most = min(training.FITS_AT_ONCE[training.LOGISTIC], spark.sparkContext.defaultParallelism)
+    assert training._fits_at_once(parts, grid) == most
+    monkeypatch.setattr(training, "CELLS_AT_ONCE", 2 * 320 * 2)
+    assert training._fits_at_once(parts, grid) == min(2, most)
+    monkeypatch.setattr(training, "CELLS_AT_ONCE", 10)
+    assert training._fits_at_once(parts, grid) == 1
+
+
+def test_a_logistic_fit_has_few_tasks_but_bounded_ones(spark, monkeypatch):
+    table, cores = spark.range(100, numPartitions=64), spark.sparkContext.defaultParallelism
+    assert training._few(table, 100, cores).rdd.getNumPartitions() == training.ONE_STAGE_PARTITIONS
+    assert training._few(table, 100, 1).rdd.getNumPartitions() == max(training.ONE_STAGE_PARTITIONS, cores)
+    monkeypatch.setattr(training, "MOST_ROWS_PER_TASK", 2)
+    assert training._few(table, 100, cores).rdd.getNumPartitions() == 50
