@@ -237,3 +237,30 @@ def test_a_query_oversamples_on_all_prepared_features(spark):
     grown = registry.queries()["smote_prepared"](spark, folder)
     assert set(names) < set(grown.columns) and len(names) > 20
     assert len({r["count"] for r in grown.groupBy("churn").count().collect()}) == 1
+
+
+@pytest.mark.parametrize("box_rows", [2_048, 8])
+def test_parts_oversampled_together_are_as_each_alone(spark, skewed, monkeypatch, box_rows):
+    """Overlapping parts of one table with repeated points and a row without key, in one pass of the search."""
+    more = [(None, 1, 3.0, 2), (1_000, 1, 3.0, 2), (1_001, 1, 3.0, 2), (1_002, 2, 7.0, 1), (1_003, 2, 9.0, 4), (1_004, None, 1.0, 1)]
+    table = skewed.unionByName(spark.createDataFrame(more, "customer_id long, churn int, a double, b int")).withColumn("cut", F.coalesce(F.col("customer_id"), F.lit(0)) % 3)
+    table = balance.materialise(table, "test")
+    conditions = {i: F.col("cut") != i for i in range(4)}
+    parts = {i: (inside, balance.class_counts(table.filter(inside), "churn")) for i, inside in conditions.items()}
+    written, write = [], balance.materialise
+    monkeypatch.setattr(balance, "materialise", lambda df, label: written.append(label) or write(df, label))
+    together = balance.smote_parts(table, ["a", "b"], parts, box_rows=box_rows)
+    assert written == ["minority", "points"]
+    for i, inside in conditions.items():
+        alone = balance.smote(table.filter(inside), ["a", "b"], box_rows=box_rows).filter("copy_no > 0")
+        found = together.filter(F.col("part") == i).drop("part")
+        assert found.columns == alone.columns and sorted(map(str, found.collect())) == sorted(map(str, alone.collect()))
+        assert alone.count() > 200
+    assert balance.smote_parts(table, ["a", "b"], {0: (conditions[0], {0: 5, 1: 5})}) is None
+
+
+def test_the_sample_of_the_first_boxes_stays_on_the_executors(spark, monkeypatch):
+    points = numbered(spark, np.random.default_rng(6).normal(size=(300, 3)))
+    monkeypatch.setattr(type(points), "toPandas", lambda _: pytest.fail("sample on the driver"))
+    boxes = neighbours._boxed(points, 300, 40).groupBy("box").count().collect()
+    assert 300 / 40 < len(boxes) < 300 / 40 * 3 and max(r["count"] for r in boxes) <= 40

@@ -135,3 +135,10 @@ def test_slices_follow_the_data_and_keep_the_order(spark, monkeypatch):
     got = ordering.running_totals(df, [F.desc("id")], {"place": F.lit(1)})
     assert got.filter(F.col("place") != 2_000_000 - F.col("id")).count() == 0
     assert written[0].select("_slice").distinct().count() > 1
+
+
+def test_class_cuts_with_ranks_per_class(spark):
+    df = spark.range(90).select(F.col("id").alias("k"), (F.col("id") % 3).alias("c"))
+    cuts = class_cuts(df, "c", "k", {0: [3], 1: [0], 2: [30]})
+    passed = df.withColumn("after", cuts_passed(df, "c", "k", cuts)).filter("after = 0").groupBy("c").count()
+    assert {tuple(r) for r in passed.collect()} == {(0, 3), (2, 30)}
