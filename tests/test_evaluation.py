@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from keepwell.plans import evaluation, impact, reports
@@ -184,3 +185,18 @@ def test_histograms_merge_and_their_bounds_enclose_the_area(spark):
     assert widths == sorted(widths)[::-1]
     one_class = evaluation.score_histogram(scored.filter("label = 1"))
     assert evaluation.auc_bounds(one_class).first()["lower"] is None
+
+
+def test_areas_of_several_scores_are_those_of_the_evaluator(spark, monkeypatch):
+    """One order of all scores, whatever their number; the edges as Spark's evaluator has them."""
+    calls, totals = [], evaluation.running_totals
+    monkeypatch.setattr(evaluation, "running_totals", lambda *a: calls.append(1) or totals(*a))
+    both = spark.range(500).selectExpr(
+        "cast(id % 7 < 2 as double) target",
+        "array(pmod(hash(id), 1000) / 1000d, round(pmod(hash(id), 13) / 13d, 1), 0.5d, (id % 7) / 7d) scores",
+    )
+    for table in (both, both.filter("target = 1"), both.filter("target = 0"), both.filter("false")):
+        single = [table.select("target", F.col("scores")[i].alias("score")) for i in range(4)]
+        evaluator = BinaryClassificationEvaluator(labelCol="target", rawPredictionCol="score", numBins=0)
+        assert evaluation.areas(table, 4) == pytest.approx([evaluator.evaluate(t) for t in single], abs=1e-12)
+    assert len(calls) == 4

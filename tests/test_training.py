@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import registry
+from keepwell.operators import balance
 from keepwell.plans import evaluation, grown_forest, nested_forest, training
 from keepwell.plans.churn_run import run_churn_model
 from keepwell.sources import runs, tables
@@ -321,3 +322,39 @@ def test_a_logistic_fit_has_few_tasks_but_bounded_ones(spark, monkeypatch):
     assert training._few(table, 100, 1).rdd.getNumPartitions() == max(training.ONE_STAGE_PARTITIONS, cores)
     monkeypatch.setattr(training, "MOST_ROWS_PER_TASK", 2)
     assert training._few(table, 100, cores).rdd.getNumPartitions() == 50
+
+
+def test_splits_of_few_rows_are_those_of_whole_histograms(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins = np.stack([rng.integers(0, k, 800) for k in (2, 3, 32, 32, 9, 1)], axis=1).astype(np.uint8)
+    ones = (rng.random(800) < bins[:, 2] / 40).astype(int)
+    values = grown_forest._values(ones, rng.integers(1, 5, 800), [1.0, 1.0])
+    order = rng.permutation(800)
+    for min_leaf in (1, 3):
+        grown = []
+        for few, at in ((0, slice(None)), (1e9, slice(None)), (grown_forest.FEW, order)):
+            monkeypatch.setattr(grown_forest, "FEW", few)
+            grown.append(grown_forest.grow(bins[at], values[at], 0, 30, min_leaf, np.random.default_rng(5)))
+        for nodes, first, importance in grown[1:]:
+            assert len(nodes) > 50 and (nodes == grown[0][0]).all()
+            assert (first == grown[0][1]).all() and importance == pytest.approx(grown[0][2])
+
+
+def test_parts_are_oversampled_and_binned_once(spark, monkeypatch):
+    """One search of neighbours for all parts, and per fold one table of bins and one to score for all its forests."""
+    written, write = [], training.materialise
+    for module in (balance, grown_forest):
+        monkeypatch.setattr(module, "materialise", lambda df, label, *a: written.append(label) or write(df, label, *a))
+    parts = training.make_folds(_unbalanced(spark), 2)
+    assert written == ["minority", "points"]
+    written.clear()
+    monkeypatch.setattr(training, "DRIVER_NODES", 0)
+    monkeypatch.setattr(training, "areas", lambda scored, n: ordered.append(n) or evaluation.areas(scored, n))
+    ordered = []
+    grid = training.forest_grid((3, 6), (2, None), (1, 2))
+    scores = training.cross_validate(parts, grid)
+    assert sorted(written) == ["binned"] * 2 + ["to_score"] * 2 and ordered == [4] * 4
+    again = [training._fold_scores(group, fold, 42) for fold in parts.folds for group in training._jobs(grid, fold.even)]
+    assert sorted(scores) == pytest.approx(sorted(
+        (a + b) / 2 for one, two in zip(again[:2], again[2:]) for a, b in zip(one, two)
+    ))
